@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tenura.operators.cleaning import clean_values, remove_repeats
 from tenura.operators.mapping import apply_mapping
+from tenura.session import small_table, stage
 from tenura.sources.catalog import CATALOG_SCHEMA, Mapping, mapping_rows
 from tenura.sources.csv_source import raw_rows
 
@@ -269,12 +270,12 @@ def catalog(spark: SparkSession) -> DataFrame:
     rows.append(("bank", "bound", "monthly_charges", "0", "2000", None, None, "approved"))
     rows.append(("bank", "bound", "total_charges", "0", "90000", None, None, "approved"))
     rows.append(("bank", "column", "gender", "Surname", "gender", "low", "guess", "draft"))
-    return spark.createDataFrame(rows, CATALOG_SCHEMA)
+    return small_table(spark, rows, CATALOG_SCHEMA)
 
 
 def clients_raw(spark: SparkSession, sf: str) -> DataFrame:
     """All rows of ``churn_raw`` under the headers of three clients, in the shared raw shape."""
-    raw = churn_raw(spark, sf)
+    raw = stage(churn_raw(spark, sf))
     coded = F.when(F.col("Churned") == "Yes", "1").otherwise("0")
     shop = raw.select(
         "src_row", F.col("CustID").alias("CustomerID"), F.col("tenure").alias("Tenure"), F.col("MonthlyFee").alias("CashbackAmount"),

@@ -9,6 +9,7 @@ from tenura.contract import CONTRACT, fields_by_tier
 from tenura.operators import cleaning as K
 from tenura.operators import mapping as M
 from tenura.operators import validation as V
+from tenura.session import stage
 
 # --- repeats ---------------------------------------------------------------------------------------------------
 
@@ -52,7 +53,7 @@ CLN_4 = X.PARSED_SQL + f" SELECT customer_id, {_NUMBERS} FROM parsed"
 
 
 def _issues(spark, sf):
-    return K.issue_counts(X.deduped(spark, sf))
+    return stage(K.issue_counts(X.deduped(spark, sf)))
 
 
 def _garbage(spark, sf, most=0.05):
@@ -152,8 +153,7 @@ CLN_11 = X.CLEANED_SQL + NULLS_CTE + TOTAL_CTE + " SELECT n, pct FROM total"
 
 def cln_12(spark, sf):
     """The cleaned table itself; its report is cln_13."""
-    table, _ = K.clean_table(X.mapped(spark, sf))
-    return table
+    return K.clean_rows(X.mapped(spark, sf))
 
 
 CLN_12 = X.CLEANED_SQL + " SELECT * FROM cleaned"

@@ -12,7 +12,7 @@ from tenura.operators import features as FE
 from tenura.operators import scoring as S
 from tenura.operators import splitting as SP
 from tenura.operators import training as T
-from tenura.session import stage
+from tenura.session import small_table, stage
 
 # --- features --------------------------------------------------------------------------------------------------
 
@@ -39,7 +39,7 @@ def fea_2(spark, sf):
     """Exact medians of the numeric features per column, as learned."""
     summary = FE.numeric_summary(stage(X.cleaned(spark, sf).select(*NUMERIC)), NUMERIC)
     rows = [(c, s["n"], s["min"], s["max"], s["median"]) for c, s in summary.items()]
-    learned = spark.createDataFrame(rows, "feature string, n bigint, least double, most double, median double")
+    learned = small_table(spark, rows, "feature string, n bigint, least double, most double, median double")
     return learned.withColumn("median", F.round("median", 6))
 
 
@@ -107,7 +107,7 @@ FEA_6 = X.CLEANED_SQL + FILLS_CTE + " SELECT customer_id, " + ", ".join(
 
 def fea_7(spark, sf):
     clean = stage(X.cleaned(spark, sf))
-    fills = {r["feature"]: r["impute_num"] for r in FE.fit_features(clean).stats.collect()}
+    fills = {r["feature"]: r["impute_num"] for r in FE.fit_features(clean).rows}
     value = FE.interaction(fills["monthly_charges"], fills["tenure_months"])
     return clean.select("customer_id", F.round(value, 4).alias(FE.INTERACTION))
 
@@ -135,7 +135,7 @@ def fea_8(spark, sf):
     clean = stage(X.cleaned(spark, sf))
     state = FE.fit_features(clean)
     out = FE.apply_features(clean.drop("support_tickets", "gender"), state)
-    return out.select("customer_id", *[F.round(c, 9).alias(c) for c in FE.feature_names(state)])
+    return out.select("customer_id", *[F.round(c, 9).alias(c) for c in state.names])
 
 
 _LACKING = ", zeroed AS (SELECT * REPLACE (0.0::DOUBLE AS support_tickets, 0.0::DOUBLE AS gender) FROM encoded)"
@@ -219,7 +219,7 @@ def training_table(spark, sf):
     table = FE.apply_features(clean, state, vector="features")
     table = SP.stratified_split(table)
     weight = SP.positive_weight(clean).first()["weight"]
-    return stage(SP.with_weights(table, weight)), FE.feature_names(state)
+    return stage(SP.with_weights(table, weight)), state.names
 
 
 ROUNDS = 5

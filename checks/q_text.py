@@ -79,7 +79,7 @@ SELECT feature, n, least, most, (SELECT string_agg(CAST(CAST(floor((least + CAST
 
 def drf_2(spark, sf):
     reference, current = _pair(spark, sf)
-    ranges = D.bin_ranges(reference)
+    ranges = stage(D.bin_ranges(reference))
     sides = [(D.histogram(v, ranges).select(F.lit(s).alias("side"), "feature", "bin", "n")) for s, v in (("r", reference), ("c", current))]
     return sides[0].union(sides[1])
 

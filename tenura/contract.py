@@ -7,6 +7,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenura.session import small_table
+
 REQUIRED, ENGAGEMENT, DEMOGRAPHIC = 1, 2, 3
 
 
@@ -129,9 +131,7 @@ def fields_by_tier(tier: int) -> list[str]:
 def contract_table(spark: SparkSession, fields: list[ContractField] | None = None) -> DataFrame:
     """The contract as a table of one row per field."""
     rows = [(i, *c) for i, c in enumerate(fields or CONTRACT)]
-    return spark.createDataFrame(
-        rows, "pos int, field string, dtype string, tier int, description string, allowed array<string>"
-    )
+    return small_table(spark, rows, "pos int, field string, dtype string, tier int, description string, allowed array<string>")
 
 
 def contract_by_tier(spark: SparkSession, tier: int) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tenura.session import broadcast_if_small, stage
+from tenura.session import stage
 
 
 def running_totals(
@@ -120,21 +120,26 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> dict[str, dict]:
     return out
 
 
-def order_cuts(df: DataFrame, group: Sequence[str], key: str, cuts: DataFrame, prefix: int = 4) -> DataFrame:
+def slot_counts(hashed: DataFrame, group: Sequence[str], key: str, prefix: int = 4) -> DataFrame:
+    """Rows per (group, leading digits of the hex ``key``): at most 16**prefix rows a group, staged."""
+    slot = F.substring(key, 1, prefix).alias("_slot")
+    return stage(hashed.groupBy(*group, slot).agg(F.count("*").alias("_n")), "slots")
+
+
+def order_cuts(hashed: DataFrame, slots: DataFrame, group: Sequence[str], key: str, cuts: DataFrame, prefix: int = 4) -> DataFrame:
     """For every row of ``cuts`` (group columns, cut bigint >= 1), the ``key`` of rank ``cut`` within its group.
 
-    ``key`` is hex text such as an md5, ``group`` holds no nulls. Counts per leading digits find the slot that holds
-    the rank; only the rows of those slots, one in 16**prefix, are then shuffled and ordered.
+    ``slots`` comes from ``slot_counts``, which says in which slot a rank lies; only the rows of those slots, one in
+    16**prefix, are then shuffled and ordered. ``group`` holds no nulls.
     """
     group = list(group)
-    slotted = df.select(*group, F.col(key).alias("cut_key"), F.substring(key, 1, prefix).alias("_slot"))
-    counts = slotted.groupBy(*group, "_slot").agg(F.count("*").alias("_n"))
     upto = Window.partitionBy(*group).orderBy("_slot")
-    ranges = counts.withColumn("_end", F.sum("_n").over(upto))
+    ranges = slots.withColumn("_end", F.sum("_n").over(upto))
     below = F.col("_end") - F.col("_n")
     wanted = ranges.join(cuts, group).filter((F.col("cut") <= F.col("_end")) & (F.col("cut") > below))
     wanted = stage(wanted.select(*group, "_slot", "cut", (F.col("cut") - below).alias("_at")), "cuts")
-    hits = slotted.join(broadcast_if_small(wanted.select(*group, "_slot").distinct()), [*group, "_slot"], "left_semi")
+    slotted = hashed.select(*group, F.col(key).alias("cut_key"), F.substring(key, 1, prefix).alias("_slot"))
+    hits = slotted.join(wanted.select(*group, "_slot").distinct(), [*group, "_slot"], "left_semi")
     in_slot = Window.partitionBy(*group, "_slot").orderBy("cut_key")
     placed = hits.withColumn("_at", F.row_number().over(in_slot).cast("bigint"))
-    return placed.join(broadcast_if_small(wanted), [*group, "_slot", "_at"]).select(*group, "cut", "cut_key")
+    return placed.join(wanted, [*group, "_slot", "_at"]).select(*group, "cut", "cut_key")

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from tenura.contract import CATEGORY_SYNONYMS, ID_FIELD, NUMERIC_BOUNDS
 from tenura.functions import values as V
-from tenura.session import broadcast_if_small
+from tenura.session import broadcast_if_small, stage
 
 Bounds = dict[str, tuple[float, float]]
 
@@ -47,17 +47,36 @@ def remove_repeats(df: DataFrame, keys: Sequence[str] = (ID_FIELD,), order: str
     return keep_first(df, keys, order) if set(keys) <= set(df.columns) else drop_exact_repeats(df, order)
 
 
+def counted_repeats(df: DataFrame, keys: Sequence[str] = (ID_FIELD,), order: str = "src_row") -> DataFrame:
+    """CLN-1, CLN-2 with the counts of CLN-3 in one pass: kept rows plus ``_rows`` and ``_distinct``, the number of
+    rows and of distinct rows that each of them stands for."""
+    cells = [c for c in df.columns if c != order]
+    distinct_rows = df.groupBy(*cells).agg(F.min(order).alias(order), F.count("*").alias("_rows"))
+    if not set(keys) <= set(df.columns):
+        return distinct_rows.select(*df.columns, "_rows", F.lit(1).cast("bigint").alias("_distinct"))
+    rest = [c for c in df.columns if c not in keys]
+    kept = distinct_rows.groupBy(*keys).agg(
+        F.min_by(F.struct(*rest), order).alias("_row"), F.sum("_rows").alias("_rows"), F.count("*").alias("_distinct")
+    )
+    return kept.select(*keys, "_row.*", "_rows", "_distinct").select(*df.columns, "_rows", "_distinct")
+
+
 def repeat_counts(df: DataFrame, keys: Sequence[str] = (ID_FIELD,), order: str = "src_row") -> DataFrame:
     """CLN-3: one row ``(rows_before, exact_repeats, id_repeats, repeats, pct_of_rows, rows_after)``."""
     cells = [c for c in df.columns if c != order]
-    distinct_rows = df.groupBy(*cells).agg(F.count("*").alias("n"))
+    distinct_rows = df.groupBy(*cells).agg(F.count("*").alias("_rows"))
     if set(keys) <= set(df.columns):
-        kept = distinct_rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.count("*").alias("d"))
+        kept = distinct_rows.groupBy(*keys).agg(F.sum("_rows").alias("_rows"), F.count("*").alias("_distinct"))
     else:
-        kept = distinct_rows.withColumn("d", F.lit(1).cast("bigint"))
+        kept = distinct_rows.withColumn("_distinct", F.lit(1).cast("bigint"))
+    return repeat_totals(kept)
+
+
+def repeat_totals(kept: DataFrame) -> DataFrame:
+    """CLN-3 from kept rows that carry ``_rows`` and ``_distinct``."""
     total = kept.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows_before"),
-        F.coalesce(F.sum("d"), F.lit(0)).alias("rows_distinct"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows_before"),
+        F.coalesce(F.sum("_distinct"), F.lit(0)).alias("rows_distinct"),
         F.count("*").alias("rows_after"),
     )
     gone = F.col("rows_before") - F.col("rows_after")
@@ -142,7 +161,7 @@ def issue_counts(
 
     ``(kind, column, value, new_value, n, first_row)`` with kinds ``row``, ``garbage`` (value), ``capped``,
     ``changed`` (value, new_value) and ``null`` (after cleaning). ``df`` has had its repeats removed. Tasks count
-    before the shuffle, so a frequent value costs one row per task.
+    before the shuffle, so a frequent value costs one row per task. The reports below each read this table; stage it.
     """
     bounds = NUMERIC_BOUNDS if bounds is None else bounds
     none = F.lit(None).cast("string")
@@ -311,13 +330,27 @@ def clean_table(
     keys: Sequence[str] = (ID_FIELD,),
     order: str = "src_row",
 ) -> tuple[DataFrame, DataFrame]:
-    """CLN-12: the cleaned table and its report, both lazy.
+    """CLN-12: the cleaned table and its report.
 
-    The report and the table read the same deduplicated rows; pass a staged ``df`` with ``repeats=False`` to compute
-    those once.
+    ``df`` is read once: the rows left after the repeats are staged with their counts, the issues are counted from
+    that copy and staged too, and the table is a projection of it. ``clean_rows`` gives the table without a report.
     """
-    counts = repeat_counts(df, keys, order) if repeats else None
-    left = remove_repeats(df, keys, order) if repeats else df
-    issues = issue_counts(left, cap, categories, bounds, order=order)
+    kept = stage(counted_repeats(df, keys, order) if repeats else df, "kept")
+    left = kept.select(*df.columns)
+    issues = stage(issue_counts(left, cap, categories, bounds, order=order), "issues")
     n_columns = len([c for c in df.columns if c != order])
-    return clean_values(left, cap, categories, bounds), cleaning_report(counts, issues, n_columns, max_garbage, bounds)
+    report = cleaning_report(repeat_totals(kept) if repeats else None, issues, n_columns, max_garbage, bounds)
+    return clean_values(left, cap, categories, bounds), report
+
+
+def clean_rows(
+    df: DataFrame,
+    repeats: bool = True,
+    cap: bool = True,
+    categories: bool = True,
+    bounds: Bounds | None = None,
+    keys: Sequence[str] = (ID_FIELD,),
+    order: str = "src_row",
+) -> DataFrame:
+    """CLN-12 without the report: lazy, one shuffle."""
+    return clean_values(remove_repeats(df, keys, order) if repeats else df, cap, categories, bounds)

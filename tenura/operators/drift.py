@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.session import broadcast_if_small
+from tenura.session import stage
 
 BINS = 10
 FLOOR = 1e-6
@@ -50,9 +50,11 @@ def bin_ranges(values: DataFrame, bins: int = BINS) -> DataFrame:
 
 
 def histogram(values: DataFrame, ranges: DataFrame, bins: int = BINS) -> DataFrame:
-    """DRF-2 per feature of ``ranges``: ``(feature, bin, n, least, most)``; features without a range drop out."""
-    edges = broadcast_if_small(ranges.select("feature", "edges"))
-    binned = values.join(edges, "feature").select("feature", bin_of(F.col("value"), F.col("edges"), bins).alias("bin"), "value")
+    """DRF-2 per feature of ``ranges``: ``(feature, bin, n, least, most)``; features without a range drop out.
+
+    ``ranges`` is one row per feature and should be a stored table, so that its size decides on the broadcast.
+    """
+    binned = values.join(ranges.select("feature", "edges"), "feature").select("feature", bin_of(F.col("value"), F.col("edges"), bins).alias("bin"), "value")
     return binned.groupBy("feature", "bin").agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
 
 
@@ -65,9 +67,13 @@ def _bin_counts(hist: DataFrame, bins: int) -> DataFrame:
 
 
 def training_snapshot(values: DataFrame, bins: int = BINS) -> DataFrame:
-    """DRF-8: what later checks need of the training values: ``(feature, n, least, most, edges, counts)``."""
-    ranges = bin_ranges(clean_values(values), bins)
-    return _bin_counts(histogram(clean_values(values), ranges, bins), bins).withColumn("edges", bin_edges(F.col("least"), F.col("most"), bins))
+    """DRF-8: what later checks need of the training values: ``(feature, n, least, most, edges, counts)``, staged.
+
+    Reads ``values`` twice: once for the ranges, once for the counts.
+    """
+    ranges = stage(bin_ranges(clean_values(values), bins), "ranges")
+    counts = _bin_counts(histogram(clean_values(values), ranges, bins), bins)
+    return stage(counts.withColumn("edges", bin_edges(F.col("least"), F.col("most"), bins)), "snapshot")
 
 
 def psi(ref_counts: Column, ref_n: Column, cur_counts: Column, cur_n: Column) -> Column:

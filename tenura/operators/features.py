@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tenura.contract import CATEGORY_FEATURES, NUMERIC_FEATURES
 from tenura.functions import values as V
 from tenura.functions.order import global_rank, numeric_summary
-from tenura.session import broadcast_if_small, stage
+from tenura.session import broadcast_if_small, small_table, stage
 
 INTERACTION = "interaction_charges_x_tenure"
 STATS_SCHEMA = (
@@ -27,11 +27,34 @@ LITERAL_CLASSES = 100
 
 
 class FeatureState(NamedTuple):
-    """``stats``: per feature its position, fill, class count, least and greatest. ``codes``: value to code."""
+    """``rows``: per feature its position, fill, class count, least and greatest. ``codes``: value to code, a table.
 
-    stats: DataFrame
+    ``maps`` holds the codes of the features whose value list is short.
+    """
+
+    rows: list[dict]
+    maps: dict[str, dict[str, int]]
     codes: DataFrame
 
+    @property
+    def stats(self) -> DataFrame:
+        return small_table(self.codes.sparkSession, [tuple(r.values()) for r in self.rows], STATS_SCHEMA)
+
+    @property
+    def names(self) -> list[str]:
+        return [r["feature"] for r in self.rows]
+
+
+def state_of(rows: list[dict], codes: DataFrame) -> FeatureState:
+    """State with the short code lists, at most ``LITERAL_CLASSES`` values a feature, brought to the driver."""
+    rows = sorted(rows, key=lambda r: r["pos"])
+    short = [r["feature"] for r in rows if r["kind"] == "category" and 0 < (r["n_classes"] or 0) <= LITERAL_CLASSES]
+    maps: dict[str, dict[str, int]] = {c: {} for c in short}
+    if short:
+        for r in codes.filter(F.col("feature").isin(short)).collect():
+            maps[r["feature"]][r["value"]] = r["code"]
+    return FeatureState(rows, maps, codes)
+
 
 def feature_columns(df: DataFrame) -> tuple[list[str], list[str], list[str]]:
     """FEA-1: numeric, category and interaction columns that ``df`` has, in contract order."""
@@ -110,17 +133,16 @@ def fit_features(df: DataFrame) -> FeatureState:
         s = summary[c]
         least, most = (0.0, 0.0) if s["n"] == 0 else (float(s["min"]), float(s["max"]))
         rows.append((c, "numeric", fills[c], None, None, least, most))
-    codes = spark.createDataFrame([], CODES_SCHEMA)
+    codes = small_table(spark, [], CODES_SCHEMA)
     if category:
         counts = stage(category_counts(work, category), "categories")
         cat_fills = category_fills(counts)
-        codes = category_codes(counts, cat_fills)
-        codes = stage(codes, "codes")
-        sizes = {r["feature"]: r["n"] for r in codes.groupBy("feature").agg(F.count("*").alias("n")).collect()}
-        found = {r["feature"]: r["impute_cat"] for r in cat_fills.collect()}
+        codes = stage(category_codes(counts, cat_fills), "codes")
+        sizes = codes.groupBy("feature").agg(F.count("*").alias("n"))
+        known = {r["feature"]: r for r in cat_fills.join(sizes, "feature", "left").collect()}
         for c in category:
-            k = sizes.get(c, 0)
-            rows.append((c, "category", None, found.get(c, "unknown"), k, 0.0, float(max(k - 1, 0))))
+            fill, k = (known[c]["impute_cat"], known[c]["n"] or 0) if c in known else ("unknown", 0)
+            rows.append((c, "category", None, fill, k, 0.0, float(max(k - 1, 0))))
     extra = list(given)
     parts = {c: F.col(c) for c in given}
     if {"monthly_charges", "tenure_months"} <= set(numeric):
@@ -131,8 +153,8 @@ def fit_features(df: DataFrame) -> FeatureState:
         ends = work.agg(*aggs).first()
         for c in extra:
             rows.append((c, "interaction", None, None, None, ends[f"lo_{c}"] or 0.0, ends[f"hi_{c}"] or 0.0))
-    stats = [(feature, pos, *rest) for pos, (feature, *rest) in enumerate(rows)]
-    return FeatureState(spark.createDataFrame(stats, STATS_SCHEMA), codes)
+    columns = ["feature", "pos", "kind", "impute_num", "impute_cat", "n_classes", "min", "max"]
+    return state_of([dict(zip(columns, (feature, pos, *rest))) for pos, (feature, *rest) in enumerate(rows)], codes)
 
 
 def interaction(fill_charges: float, fill_tenure: float) -> Column:
@@ -148,7 +170,7 @@ def scaled(x: Column, least: float, most: float) -> Column:
 
 def fill_values(df: DataFrame, state: FeatureState) -> DataFrame:
     """FEA-4: feature columns with nulls filled; numbers are parsed again first."""
-    rows = {r["feature"]: r for r in state.stats.collect()}
+    rows = {r["feature"]: r for r in state.rows}
     work = _typed(df)
 
     def cell(c: str) -> Column:
@@ -164,15 +186,11 @@ def fill_values(df: DataFrame, state: FeatureState) -> DataFrame:
 
 def encode_categories(df: DataFrame, state: FeatureState) -> DataFrame:
     """FEA-6: filled category columns to codes; an unseen value gets code 0, so does a column not seen in training."""
-    sizes = {r["feature"]: r["n_classes"] for r in state.stats.filter(F.col("kind") == "category").collect()}
+    sizes = {r["feature"]: r["n_classes"] for r in state.rows if r["kind"] == "category"}
     category = [c for c in CATEGORY_FEATURES if c in df.columns]
-    short = [c for c in category if 0 < (sizes.get(c) or 0) <= LITERAL_CLASSES]
-    maps: dict[str, dict[str, int]] = {c: {} for c in short}
-    for r in state.codes.filter(F.col("feature").isin(short)).collect():  # at most LITERAL_CLASSES rows a feature
-        maps[r["feature"]][r["value"]] = r["code"]
     for c in category:
-        if c in short:
-            pairs = F.create_map(*[F.lit(x) for pair in maps[c].items() for x in pair])
+        if c in state.maps:
+            pairs = F.create_map(*[F.lit(x) for pair in state.maps[c].items() for x in pair])
             df = df.withColumn(c, F.coalesce(F.element_at(pairs, F.col(c)), F.lit(0)).cast("double"))
         elif c in sizes:
             df = _joined_codes(df, c, state.codes)
@@ -203,11 +221,11 @@ def apply_features(df: DataFrame, state: FeatureState, vector: str | None = None
     """
     if state is None:
         raise ValueError("scoring needs the state learned in training; call fit_features first")
-    rows = sorted(state.stats.collect(), key=lambda r: r["pos"])
+    rows = state.rows
     filled = encode_categories(fill_values(df, state), state)
     if {"monthly_charges", "tenure_months"} <= set(filled.columns):
         filled = filled.withColumn(INTERACTION, F.col("monthly_charges") * F.col("tenure_months"))
-    names = [r["feature"] for r in rows]
+    names = state.names
     kept = [c for c in df.columns if c not in NUMERIC_FEATURES + CATEGORY_FEATURES + names]
     cells = [
         scaled(F.col(r["feature"]) if r["feature"] in filled.columns else F.lit(0.0), r["min"], r["max"]).alias(r["feature"]) for r in rows
@@ -216,10 +234,6 @@ def apply_features(df: DataFrame, state: FeatureState, vector: str | None = None
     return VectorAssembler(inputCols=names, outputCol=vector).transform(out) if vector else out
 
 
-def feature_names(state: FeatureState) -> list[str]:
-    return [r["feature"] for r in sorted(state.stats.select("feature", "pos").collect(), key=lambda r: r["pos"])]
-
-
 def write_state(state: FeatureState, path: str) -> None:
     """SNK-2."""
     state.stats.write.parquet(f"{path}/stats")
@@ -227,4 +241,5 @@ def write_state(state: FeatureState, path: str) -> None:
 
 
 def read_state(spark: SparkSession, path: str) -> FeatureState:
-    return FeatureState(spark.read.parquet(f"{path}/stats"), spark.read.parquet(f"{path}/codes"))
+    rows = [r.asDict() for r in spark.read.parquet(f"{path}/stats").collect()]
+    return state_of(rows, spark.read.parquet(f"{path}/codes"))

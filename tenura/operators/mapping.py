@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tenura.contract import CONTRACT
 from tenura.functions import values as V
-from tenura.session import broadcast_if_small
+from tenura.session import broadcast_if_small, small_table
 from tenura.sources.catalog import Mapping
 
 # Value lists up to this length become a literal map in the projection; longer ones a join with a lookup table.
@@ -46,9 +46,9 @@ def map_values(df: DataFrame, values: dict[str, dict[str, str]]) -> DataFrame:
         if len(pairs) <= LITERAL_ENTRIES:
             df = df.withColumn(name, replaced(F.col(name), types[name], pairs))
             continue
-        table = df.sparkSession.createDataFrame([(str(a), str(b)) for a, b in pairs.items()], "_from string, _to string")
+        table = small_table(df.sparkSession, [(str(a), str(b)) for a, b in pairs.items()], "_from string, _to string")
         text = V.to_text(F.col(name), types[name])
-        joined = df.withColumn(name, text).join(broadcast_if_small(table), F.col(name) == F.col("_from"), "left")
+        joined = df.withColumn(name, text).join(table, F.col(name) == F.col("_from"), "left")
         df = joined.withColumn(name, F.coalesce("_to", name)).select(*df.columns)
     return df
 
@@ -101,12 +101,18 @@ def apply_catalog(raw: DataFrame, catalog: DataFrame, order: str = "src_row") ->
     joined = raw.join(broadcast_if_small(client_maps(catalog)), "client_id")
     text = T.StringType()
 
-    def cell(name: str) -> Column:
-        value = F.element_at("raw", F.element_at("_columns", F.lit(name)))
-        value = F.coalesce(F.element_at("_values", F.concat(F.lit(name + "\x01"), value)), value)
-        target = F.element_at("_types", F.lit(name))
-        whole = V.to_whole(value, text).cast("string")
+    # One projection per step: the optimizer keeps them apart, because each value is used more than once.
+    fields = [c.field for c in CONTRACT]
+    found = joined.select(
+        "client_id", order, "_values", "_types", *[F.element_at("raw", F.element_at("_columns", F.lit(f))).alias(f) for f in fields]
+    )
+    named = found.select(
+        "client_id", order, "_types", *[F.coalesce(F.element_at("_values", F.concat(F.lit(f + "\x01"), f)), F.col(f)).alias(f) for f in fields]
+    )
+
+    def cell(f: str) -> Column:
+        target, value = F.element_at("_types", F.lit(f)), F.col(f)
         number = F.when(V.to_number(value, text).isNotNull(), value)
-        return F.when(target == "int", whole).when(target == "float", number).otherwise(value)
+        return F.when(target == "int", V.to_whole(value, text).cast("string")).when(target == "float", number).otherwise(value)
 
-    return joined.select("client_id", order, *[cell(c.field).alias(c.field) for c in CONTRACT])
+    return named.select("client_id", order, *[cell(f).alias(f) for f in fields])

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenura.functions.order import order_cuts
-from tenura.session import broadcast_if_small, stage
+from tenura.functions.order import order_cuts, slot_counts
+from tenura.session import stage
 
 
 def stratified_split(
@@ -30,15 +30,17 @@ def stratified_split(
         raise ValueError(f"ratios must sum to 1, got {train + validation + test:.3f}")
     strata = [*group, label]
     hashed = df.withColumn("_hash", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"))))
-    known = hashed.filter(F.col(label).isNotNull())
-    sizes = stage(known.groupBy(*strata).agg(F.count("*").alias("n")), "strata")
+    # The boundaries are looked up in a copy of two narrow columns; ``df`` itself is read once more, for the result.
+    narrow = stage(hashed.filter(F.col(label).isNotNull()).select(*strata, "_hash"), "hashes")
+    slots = slot_counts(narrow, strata, "_hash")
+    sizes = slots.groupBy(*strata).agg(F.sum("_n").alias("n"))
     if not group and sizes.limit(3).count() > 2:
         raise ValueError("labels must be binary")
     n_test = F.floor(F.col("n") * float(test) + 0.5).cast("bigint")
     n_held = n_test + F.floor(F.col("n") * float(validation) + 0.5).cast("bigint")
     both = sizes.select(*strata, n_test.alias("t"), n_held.alias("v"))
     wanted = both.select(*strata, F.explode(F.array_distinct(F.array("t", "v"))).alias("cut")).filter("cut > 0")
-    keys = order_cuts(known, strata, "_hash", wanted)
+    keys = stage(order_cuts(narrow, slots, strata, "_hash", wanted), "keys")
     bounds = (
         both.join(keys.withColumnRenamed("cut", "t").withColumnRenamed("cut_key", "_test_to"), [*strata, "t"], "left")
         .join(keys.withColumnRenamed("cut", "v").withColumnRenamed("cut_key", "_held_to"), [*strata, "v"], "left")
@@ -51,7 +53,7 @@ def stratified_split(
         .when(F.col("_hash") <= F.col("_held_to"), "validation")
         .otherwise("train")
     )
-    return hashed.join(broadcast_if_small(bounds), strata, "left").select(*df.columns, split.alias("split"))
+    return hashed.join(bounds, strata, "left").select(*df.columns, split.alias("split"))
 
 
 def positive_weight(df: DataFrame, label: str = "churn_label", group: Sequence[str] = ()) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tenura.operators.evaluation import auc
 from tenura.operators.scoring import predict
-from tenura.session import shared_folder
+from tenura.session import shared_folder, small_table
 
 # Default settings of the boosted trees.
 DEFAULTS = {"max_depth": 6, "eta": 0.1, "subsample": 0.8, "colsample_bytree": 0.8, "min_child_weight": 3}
@@ -99,4 +99,4 @@ def tune_trees(df: DataFrame, settings: list[dict[str, float]], rounds: int = MA
     with ThreadPool(parallelism) as pool:
         rows = pool.map(run, list(enumerate(settings)))
     names = ", ".join(f"{k} double" for k in SETTING_RANGES)
-    return spark.createDataFrame(rows, f"trial bigint, {names}, trees bigint, auc double").orderBy(F.desc_nulls_last("auc"), "trial")
+    return small_table(spark, rows, f"trial bigint, {names}, trees bigint, auc double").orderBy(F.desc_nulls_last("auc"), "trial")

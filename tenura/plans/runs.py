@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from tenura.contract import LABEL_FIELD
 from tenura.operators import drift as D
 from tenura.operators import prompts as P
-from tenura.operators.cleaning import clean_table, clean_values, remove_repeats
+from tenura.operators.cleaning import clean_rows, clean_table
 from tenura.operators.contributions import Leaf, tree_contributions, tree_leaves
 from tenura.operators.evaluation import evaluate, model_cards
-from tenura.operators.features import FeatureState, apply_features, feature_columns, feature_names, fit_features
+from tenura.operators.features import FeatureState, apply_features, feature_columns, fit_features
 from tenura.operators.mapping import apply_mapping
 from tenura.operators.scoring import deliverable, predict, risk_tier, top_factors
 from tenura.operators.splitting import positive_weight, stratified_split, with_weights
@@ -42,10 +42,8 @@ class Trained(NamedTuple):
 
 
 def prepare(raw: DataFrame, mapping: ClientMapping, order: str = "src_row", **switches) -> Prepared:
-    """Map, clean and validate; the mapped rows are staged, so that the table and its reports read one copy."""
-    mapped = stage(apply_mapping(raw, mapping), "mapped")
-    table, report = clean_table(mapped, order=order, **switches)
-    table = stage(table, "clean")
+    """Map, clean and validate; ``raw`` is read once, table and reports share the copy that cleaning stages."""
+    table, report = clean_table(apply_mapping(raw, mapping), order=order, **switches)
     return Prepared(table, report, validation_report(table))
 
 
@@ -74,7 +72,7 @@ def train_client(
     model = fit_trees(table, settings, rounds, seed=seed)
     tested = predict(model, table.filter(F.col("split") == "test"), "p").withColumnRenamed(LABEL_FIELD, "y")
     outcome = evaluate(tested).withColumns({"client_id": F.lit(mapping.client_id), "dataset_rows": F.lit(table.count())})
-    card = model_cards(outcome, feature_names(state), {**DEFAULTS, **(settings or {}), "rounds": rounds, "scale_pos_weight": weight})
+    card = model_cards(outcome, state.names, {**DEFAULTS, **(settings or {}), "rounds": rounds, "scale_pos_weight": weight})
     numeric = feature_columns(prepared.table)[0]
     snapshot = D.training_snapshot(D.long_values(prepared.table, numeric))
     return Trained(model, tree_leaves(model), state, outcome, card, snapshot, prepared)
@@ -89,8 +87,8 @@ def score_batch(
     order: str = "src_row",
 ) -> DataFrame:
     """Scoring: everything after the removal of repeats is one narrow pass; narratives, where asked for, add theirs."""
-    clean = clean_values(remove_repeats(apply_mapping(raw, mapping), order=order))
-    names = feature_names(trained.state)
+    clean = clean_rows(apply_mapping(raw, mapping), order=order)
+    names = trained.state.names
     table = predict(trained.model, apply_features(clean, trained.state, vector="features")).drop("features")
     scored = tree_contributions(table, trained.leaves, names)
     if call is not None:
@@ -106,6 +104,6 @@ def score_batch(
 
 def check_batch(raw: DataFrame, mapping: ClientMapping, trained_snapshot: DataFrame, run_date: str, threshold: float = D.THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """Drift: ``(scores with bands, report)`` of a later batch; an alert stops nothing."""
-    clean = clean_values(remove_repeats(apply_mapping(raw, mapping)))
+    clean = clean_rows(apply_mapping(raw, mapping))
     scores = stage(D.psi_scores(trained_snapshot, D.long_values(clean, feature_columns(clean)[0])), "psi")
     return D.banded(scores), D.drift_report(scores, run_date, threshold)

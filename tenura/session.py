@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def get_session(master: str = "local[8]", app: str = "tenura", shuffle_partitions: int = 8, **conf) -> SparkSession:
@@ -45,19 +49,46 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_STAGED: list[str] = []
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` once and read it back, so that later steps see one fixed copy after executor loss."""
+    """Write ``df`` once and read it back: later steps read one fixed copy, also after executors are lost.
+
+    The copy's file size is known to the optimizer, so small staged tables are broadcast by Spark's own threshold.
+    """
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
+    _STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_staged(spark: SparkSession) -> int:
+    """Delete the copies this process has staged, once nothing reads them any more; returns how many."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    n = len(_STAGED)
+    while _STAGED:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
+
+
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Driver-side rows (a contract, a config, a few statistics) as a local table whose size the optimizer knows."""
+    struct = T.StructType.fromDDL(schema)
+    records = [dict(zip(struct.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(struct)), struct)
+
+
 # Largest lookup table, in rows, that may be sent whole to every executor.
 BROADCAST_ROWS = 200_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when a bounded count proves the table small; otherwise leave the join to AQE."""
+    """Hint a broadcast when a bounded count proves the table small; otherwise leave the join to AQE.
+
+    The count runs the plan behind ``df``: for config tables and the like, not for results over the data.
+    """
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df

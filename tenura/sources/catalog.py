@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenura.session import small_table
+
 CATALOG_SCHEMA = (
     "client_id string, kind string, field string, from_value string, to_value string, "
     "confidence string, reasoning string, status string"
@@ -38,7 +40,7 @@ def mapping_rows(m: Mapping, status: str = "approved") -> list[tuple]:
 
 
 def catalog_of(spark: SparkSession, mappings: list[Mapping]) -> DataFrame:
-    return spark.createDataFrame([r for m in mappings for r in mapping_rows(m)], CATALOG_SCHEMA)
+    return small_table(spark, [r for m in mappings for r in mapping_rows(m)], CATALOG_SCHEMA)
 
 
 def mapping_of(catalog: DataFrame, client_id: str) -> Mapping:
