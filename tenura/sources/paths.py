@@ -49,5 +49,12 @@ def belongs_to_client(path: Column, bucket: str | Column, client: Column) -> Col
 
 def only_client_files(df: DataFrame, prefix: str) -> DataFrame:
     """SRC-5 on reads: fail the job when a row comes from a file outside ``prefix``; ``df`` is a file scan."""
-    inside = F.startswith(F.col("_metadata.file_path"), F.lit(prefix.rstrip("/") + "/"))
-    return df.filter(F.when(inside, True).otherwise(F.raise_error(F.concat(F.lit("file of another client: "), F.col("_metadata.file_path"))).cast("boolean")))
+    path = F.col("_metadata.file_path")
+    inside = F.startswith(_one_slash(path), F.concat(_one_slash(F.lit(prefix.rstrip("/"))), F.lit("/")))
+    refused = F.raise_error(F.concat(F.lit("file of another client: "), path)).cast("boolean")
+    return df.filter(F.when(inside, True).otherwise(refused))
+
+
+def _one_slash(path: Column) -> Column:
+    """``file:///x`` and ``file:/x`` name the same file."""
+    return F.regexp_replace(path, r"^(\w+:)/+", "$1/")
