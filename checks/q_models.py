@@ -83,7 +83,7 @@ FEA_4 = X.CLEANED_SQL + FILLS_CTE + f" SELECT customer_id, {_ROUND_NUM}, {', '.j
 
 
 def fea_5(spark, sf):
-    counts = FE.category_counts(X.cleaned(spark, sf))
+    counts = stage(FE.category_counts(X.cleaned(spark, sf)))
     return FE.category_codes(counts, FE.category_fills(counts)).select("feature", "value", "code")
 
 

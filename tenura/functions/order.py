@@ -127,19 +127,23 @@ def slot_counts(hashed: DataFrame, group: Sequence[str], key: str, prefix: int =
 
 
 def order_cuts(hashed: DataFrame, slots: DataFrame, group: Sequence[str], key: str, cuts: DataFrame, prefix: int = 4) -> DataFrame:
-    """For every row of ``cuts`` (group columns, cut bigint >= 1), the ``key`` of rank ``cut`` within its group.
+    """``(group, name, cut_key)``: for every row ``(group, name, cut)`` of ``cuts`` the ``key`` of rank ``cut`` in its group.
 
     ``slots`` comes from ``slot_counts``, which says in which slot a rank lies; only the rows of those slots, one in
-    16**prefix, are then shuffled and ordered. ``group`` holds no nulls.
+    16**prefix, are then shuffled and ordered. ``group`` holds no nulls, cuts below 1 have no key.
     """
     group = list(group)
     upto = Window.partitionBy(*group).orderBy("_slot")
     ranges = slots.withColumn("_end", F.sum("_n").over(upto))
     below = F.col("_end") - F.col("_n")
-    wanted = ranges.join(cuts, group).filter((F.col("cut") <= F.col("_end")) & (F.col("cut") > below))
-    wanted = stage(wanted.select(*group, "_slot", "cut", (F.col("cut") - below).alias("_at")), "cuts")
+    held = ranges.join(cuts, group).filter((F.col("cut") <= F.col("_end")) & (F.col("cut") > below))
+    # A slot is asked for as many ranks as there are cuts, a handful.
+    wanted = held.groupBy(*group, "_slot").agg(F.collect_list(F.struct("name", (F.col("cut") - below).alias("at"))).alias("_asked"))
     slotted = hashed.select(*group, F.col(key).alias("cut_key"), F.substring(key, 1, prefix).alias("_slot"))
-    hits = slotted.join(wanted.select(*group, "_slot").distinct(), [*group, "_slot"], "left_semi")
+    hits = slotted.join(wanted.select(*group, "_slot"), [*group, "_slot"], "left_semi")
+    # Equal keys count as one entry of that many ranks, so that a repeated key is no burden.
+    entries = hits.groupBy(*group, "_slot", "cut_key").agg(F.count("*").alias("_n"))
     in_slot = Window.partitionBy(*group, "_slot").orderBy("cut_key")
-    placed = hits.withColumn("_at", F.row_number().over(in_slot).cast("bigint"))
-    return placed.join(wanted, [*group, "_slot", "_at"]).select(*group, "cut", "cut_key")
+    placed = entries.withColumn("_end", F.sum("_n").over(in_slot)).join(wanted, [*group, "_slot"])
+    asked = placed.select(*group, "cut_key", "_n", "_end", F.inline("_asked"))
+    return asked.filter((F.col("at") <= F.col("_end")) & (F.col("at") > F.col("_end") - F.col("_n"))).select(*group, "name", "cut_key")

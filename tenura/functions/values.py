@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 # Fixed value: text that counts as a number. Signs, exponents, ".5", "5." and inf do; "1,000", "0x10", "1d" do not.
 NUMBER_PATTERN = r"(?i)^\s*[+-]?(inf|infinity|(\d+\.?\d*|\.\d+)(e[+-]?\d+)?)\s*$"
 INFINITY_PATTERN = r"(?i)^\s*[+-]?inf"
-SPACE_ENDS = r"(?U)^\s+|\s+$"
+# Fixed value: the characters that count as white space at the ends of a text.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def is_numeric(dtype: T.DataType) -> bool:
@@ -57,7 +58,7 @@ def to_text(c: Column, dtype: T.DataType) -> Column:
 
 def strip(c: Column) -> Column:
     """Trim white space of every kind; ``trim`` alone removes spaces only."""
-    return F.regexp_replace(c, SPACE_ENDS, "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def strip_lower(c: Column) -> Column:
@@ -65,8 +66,9 @@ def strip_lower(c: Column) -> Column:
     return F.lower(strip(c))
 
 
-def literal_map(pairs: Mapping[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+def literal_map(pairs: Mapping[str, str | int]) -> Column:
+    """A constant map; Spark folds it into one literal."""
+    return F.map_from_arrays(F.lit(list(pairs)), F.lit(list(pairs.values())))
 
 
 def lookup(c: Column, pairs: Mapping[str, str]) -> Column:

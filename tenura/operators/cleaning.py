@@ -157,40 +157,50 @@ def issue_counts(
     group: Sequence[str] = (),
     order: str = "src_row",
 ) -> DataFrame:
-    """Everything the report needs, from one scan and one shuffle of counts.
+    """Everything the report needs: plain counts from one aggregate, values that were garbage or changed from another.
 
     ``(kind, column, value, new_value, n, first_row)`` with kinds ``row``, ``garbage`` (value), ``capped``,
     ``changed`` (value, new_value) and ``null`` (after cleaning). ``df`` has had its repeats removed. Tasks count
     before the shuffle, so a frequent value costs one row per task. The reports below each read this table; stage it.
     """
     bounds = NUMERIC_BOUNDS if bounds is None else bounds
-    none = F.lit(None).cast("string")
-    issues = [_issue(F.lit(True), "row", "", none, none)]
+    totals = {("row", ""): F.count("*")}
+    values = []
     for name, dtype in _types(df).items():
         c = F.col(name)
         if name == order or name in group or name.startswith(("_lo_", "_hi_")):
             continue
         if name in bounds:
             number = V.to_number(c, dtype)
-            low, high = limits(name, bounds, df.columns)
-            issues.append(_issue(V.present(c, dtype) & number.isNull(), "garbage", name, V.to_text(c, dtype), none))
+            totals["null", name] = F.count_if(number.isNull())
             if cap:
-                issues.append(_issue((number < low) | (number > high), "capped", name, none, none))
-            issues.append(_issue(number.isNull(), "null", name, none, none))
+                low, high = limits(name, bounds, df.columns)
+                totals["capped", name] = F.count_if((number < low) | (number > high))
+            if not V.is_numeric(dtype):
+                values.append(_found(c.isNotNull() & number.isNull(), name, V.to_text(c, dtype)))
             continue
+        totals["null", name] = F.count_if(~V.present(c, dtype))
         if name in CATEGORY_SYNONYMS and categories:
             text = c.cast("string")
-            new = standard_category(text, name)
-            issues.append(_issue(text != new, "changed", name, text, new))
-        issues.append(_issue(~V.present(c, dtype), "null", name, none, none))
-    found = df.select(*group, F.col(order).alias("_row"), F.explode(F.filter(F.array(*issues), lambda i: i.isNotNull())).alias("i"))
-    keys = ["kind", "column", "value", "new_value"]
-    return found.select(*group, "_row", "i.*").groupBy(*group, *keys).agg(F.count("*").alias("n"), F.min("_row").alias("first_row"))
-
-
-def _issue(test: Column, kind: str, column: str, value: Column, new_value: Column) -> Column:
-    parts = F.struct(F.lit(kind).alias("kind"), F.lit(column).alias("column"), value.alias("value"), new_value.alias("new_value"))
-    return F.when(test, parts)
+            values.append(_found(text != standard_category(text, name), name, text))
+    none_text, none_row = F.lit(None).cast("string"), F.lit(None).cast(df.schema[order].dataType)
+    wide = df.groupBy(*group).agg(*[n.alias(f"n{i}") for i, n in enumerate(totals.values())])
+    rows = [F.struct(F.lit(k).alias("kind"), F.lit(c).alias("column"), F.col(f"n{i}").alias("n")) for i, (k, c) in enumerate(totals)]
+    counts = wide.select(*group, F.inline(F.array(*rows))).filter((F.col("n") > 0) | (F.col("kind") == "row"))
+    counts = counts.select(*group, "kind", "column", none_text.alias("value"), none_text.alias("new_value"), "n", none_row.alias("first_row"))
+    if not values:
+        return counts
+    seen = df.select(*group, F.col(order).alias("_row"), F.explode(F.array(*values)).alias("v")).filter(F.col("v").isNotNull())
+    seen = seen.select(*group, "_row", "v.*").groupBy(*group, "column", "value").agg(F.count("*").alias("n"), F.min("_row").alias("first_row"))
+    kind = F.when(F.col("column").isin(list(bounds)), "garbage").otherwise("changed")
+    new = none_text
+    for name in CATEGORY_SYNONYMS:  # once per distinct spelling, not per row
+        new = F.when(F.col("column") == name, standard_category(F.col("value"), name)).otherwise(new)
+    return counts.unionByName(seen.select(*group, kind.alias("kind"), "column", "value", new.alias("new_value"), "n", "first_row"))
+
+
+def _found(test: Column, column: str, value: Column) -> Column:
+    return F.when(test, F.struct(F.lit(column).alias("column"), value.alias("value")))
 
 
 def _with_rows(df: DataFrame, issues: DataFrame, group: Sequence[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from typing import NamedTuple
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tenura.contract import CATEGORY_FEATURES, NUMERIC_FEATURES
 from tenura.functions import values as V
@@ -24,6 +25,8 @@ CODES_SCHEMA = "feature string, value string, n bigint, code bigint"
 
 # A feature's codes become a literal map up to this many values, beyond it a join with the codes table.
 LITERAL_CLASSES = 100
+# Up to this many distinct values in all, each feature's list is ordered in one task; beyond it by a range partition.
+FEW_VALUES = 100_000
 
 
 class FeatureState(NamedTuple):
@@ -97,11 +100,17 @@ def category_fills(counts: DataFrame) -> DataFrame:
 
 
 def category_codes(counts: DataFrame, fills: DataFrame) -> DataFrame:
-    """FEA-5: code of each value = its place, from 0, among the sorted distinct values after filling."""
+    """FEA-5: code of each value = its place, from 0, among the sorted distinct values after filling.
+
+    ``counts`` is read several times; stage it.
+    """
     filled = counts.join(F.broadcast(fills), "feature")  # one row per category feature
     filled = filled.select("feature", F.coalesce("value", "impute_cat").alias("value"), "n")
     values = filled.groupBy("feature", "value").agg(F.sum("n").alias("n"))
-    ranked = global_rank(values, ["value"], ["feature"], "code")
+    if counts.limit(FEW_VALUES + 1).count() <= FEW_VALUES:
+        ranked = values.withColumn("code", F.row_number().over(Window.partitionBy("feature").orderBy("value")).cast("bigint"))
+    else:
+        ranked = global_rank(values, ["value"], ["feature"], "code")
     return ranked.select("feature", "value", "n", (F.col("code") - 1).alias("code"))
 
 
@@ -190,8 +199,8 @@ def encode_categories(df: DataFrame, state: FeatureState) -> DataFrame:
     category = [c for c in CATEGORY_FEATURES if c in df.columns]
     for c in category:
         if c in state.maps:
-            pairs = F.create_map(*[F.lit(x) for pair in state.maps[c].items() for x in pair])
-            df = df.withColumn(c, F.coalesce(F.element_at(pairs, F.col(c)), F.lit(0)).cast("double"))
+            code = F.element_at(V.literal_map(state.maps[c]), F.col(c))
+            df = df.withColumn(c, F.coalesce(code, F.lit(0)).cast("double"))
         elif c in sizes:
             df = _joined_codes(df, c, state.codes)
         else:

@@ -76,18 +76,31 @@ def apply_mapping(df: DataFrame, m: Mapping) -> DataFrame:
     return coerce_types(map_values(rename_columns(df, m.columns), m.values), m.types)
 
 
-def client_maps(catalog: DataFrame) -> DataFrame:
-    """One row per client with its approved mapping as lookup maps."""
+FIELDS = [c.field for c in CONTRACT]
+
+
+def client_lookups(catalog: DataFrame) -> DataFrame:
+    """One row per client with its approved mapping, as arrays in contract order: source columns, value maps, types.
+
+    Two source columns for one field are an error.
+    """
     live = catalog.filter(F.col("status") == "approved")
 
-    def entries(kind: str, key: Column, value: str) -> Column:
-        pair = F.when(F.col("kind") == kind, F.struct(key.alias("k"), F.col(value).alias("v")))
+    def of(kind: str, field: str) -> Column:
+        return (F.col("kind") == kind) & (F.col("field") == field)
+
+    def source(f: str) -> Column:
+        twice = F.raise_error(F.concat(F.lit(f"two columns become {f} for client "), F.first("client_id"))).cast("string")
+        return F.when(F.count_if(of("column", f)) > 1, twice).otherwise(F.max(F.when(of("column", f), F.col("from_value"))))
+
+    def values(f: str) -> Column:
+        pair = F.when(of("value", f), F.struct(F.col("from_value").alias("k"), F.col("to_value").alias("v")))
         return F.map_from_entries(F.array_distinct(F.collect_list(pair)))
 
     return live.groupBy("client_id").agg(
-        entries("column", F.col("field"), "from_value").alias("_columns"),
-        entries("value", F.concat_ws("\x01", "field", "from_value"), "to_value").alias("_values"),
-        entries("type", F.col("field"), "to_value").alias("_types"),
+        F.array(*[source(f) for f in FIELDS]).alias("_sources"),
+        F.array(*[values(f) for f in FIELDS]).alias("_values"),
+        F.array(*[F.max(F.when(of("type", f), F.col("to_value"))) for f in FIELDS]).alias("_types"),
     )
 
 
@@ -98,21 +111,26 @@ def apply_catalog(raw: DataFrame, catalog: DataFrame, order: str = "src_row") ->
     cleaning; under a numeric coercion text that is no number is null, and ``int`` drops the fraction. A client
     without an approved mapping yields no rows.
     """
-    joined = raw.join(broadcast_if_small(client_maps(catalog)), "client_id")
+    joined = raw.join(broadcast_if_small(client_lookups(catalog)), "client_id")
     text = T.StringType()
+    # What no client asks for is left out of the projection; the catalog is a config table.
+    live = catalog.filter((F.col("status") == "approved") & F.col("field").isin(FIELDS))
+    asked = {(r["kind"], r["field"], r["to_value"]) for r in live.filter("kind = 'type'").select("kind", "field", "to_value").distinct().collect()}
+    mapped = {r["field"] for r in live.filter("kind = 'value'").select("field").distinct().collect()}
+
+    def named(i: int, f: str) -> Column:
+        return F.coalesce(F.element_at(F.col("_values")[i], F.col(f)), F.col(f)) if f in mapped else F.col(f)
+
+    def typed(i: int, f: str) -> Column:
+        target, value, out = F.col("_types")[i], F.col(f), F.col(f)
+        if ("type", f, "float") in asked:
+            out = F.when((target == "float") & V.to_number(value, text).isNull(), F.lit(None)).otherwise(out)
+        if ("type", f, "int") in asked:
+            out = F.when(target == "int", V.to_whole(value, text).cast("string")).otherwise(out)
+        return out
 
     # One projection per step: the optimizer keeps them apart, because each value is used more than once.
-    fields = [c.field for c in CONTRACT]
-    found = joined.select(
-        "client_id", order, "_values", "_types", *[F.element_at("raw", F.element_at("_columns", F.lit(f))).alias(f) for f in fields]
-    )
-    named = found.select(
-        "client_id", order, "_types", *[F.coalesce(F.element_at("_values", F.concat(F.lit(f + "\x01"), f)), F.col(f)).alias(f) for f in fields]
-    )
-
-    def cell(f: str) -> Column:
-        target, value = F.element_at("_types", F.lit(f)), F.col(f)
-        number = F.when(V.to_number(value, text).isNotNull(), value)
-        return F.when(target == "int", V.to_whole(value, text).cast("string")).when(target == "float", number).otherwise(value)
-
-    return named.select("client_id", order, *[cell(f).alias(f) for f in fields])
+    head, fields = ["client_id", order], list(enumerate(FIELDS))
+    found = joined.select(*head, "_values", "_types", *[F.element_at("raw", F.col("_sources")[i]).alias(f) for i, f in fields])
+    values = found.select(*head, "_types", *[named(i, f).alias(f) for i, f in fields])
+    return values.select(*head, *[typed(i, f).alias(f) for i, f in fields])

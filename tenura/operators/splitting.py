@@ -38,15 +38,11 @@ def stratified_split(
         raise ValueError("labels must be binary")
     n_test = F.floor(F.col("n") * float(test) + 0.5).cast("bigint")
     n_held = n_test + F.floor(F.col("n") * float(validation) + 0.5).cast("bigint")
-    both = sizes.select(*strata, n_test.alias("t"), n_held.alias("v"))
-    wanted = both.select(*strata, F.explode(F.array_distinct(F.array("t", "v"))).alias("cut")).filter("cut > 0")
-    keys = stage(order_cuts(narrow, slots, strata, "_hash", wanted), "keys")
-    bounds = (
-        both.join(keys.withColumnRenamed("cut", "t").withColumnRenamed("cut_key", "_test_to"), [*strata, "t"], "left")
-        .join(keys.withColumnRenamed("cut", "v").withColumnRenamed("cut_key", "_held_to"), [*strata, "v"], "left")
-        .select(*strata, "_test_to", "_held_to")
-    )
-    bounds = stage(bounds, "bounds")
+    ends = F.array(F.struct(F.lit("test").alias("name"), n_test.alias("cut")), F.struct(F.lit("held").alias("name"), n_held.alias("cut")))
+    keys = order_cuts(narrow, slots, strata, "_hash", sizes.select(*strata, F.inline(ends)))
+    # One row per stratum, also for those too small to have a boundary.
+    named = [F.max(F.when(F.col("name") == name, F.col("cut_key"))).alias(f"_{name}_to") for name in ("test", "held")]
+    bounds = stage(keys.groupBy(*strata).agg(*named), "bounds")
     split = (
         F.when(F.col(label).isNull(), F.lit(None))
         .when(F.col("_hash") <= F.col("_test_to"), "test")

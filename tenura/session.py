@@ -23,6 +23,10 @@ def get_session(master: str = "local[8]", app: str = "tenura", shuffle_partition
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # The JVM never compiles methods above 8000 bytes of code; a wide projection then runs interpreted, several
+        # times slower. Below this limit Spark splits such stages into small methods instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
     )

@@ -94,6 +94,16 @@ def test_split_by_client_equals_split_alone(spark):
         assert {r["customer_id"]: r["split"] for r in out if r["client_id"] == c} == split_by_hand([(k, y) for g, k, y in rows if g == c])
 
 
+def test_split_with_one_key_on_a_third_of_the_rows(spark):
+    rows = [("hot" if i % 3 == 0 else f"C{i}", i % 2) for i in range(3000)]
+    out = SP.stratified_split(small_table(spark, rows, "customer_id string, churn_label bigint")).collect()
+    assert len(out) == 3000
+    parts = {}
+    for r in out:
+        parts.setdefault((r["customer_id"], r["churn_label"]), set()).add(r["split"])
+    assert all(len(p) == 1 for p in parts.values())  # rows of one key stay together
+
+
 def test_split_refuses_bad_input(spark):
     df = small_table(spark, [("a", 0), ("b", 1), ("c", 2)], "customer_id string, churn_label bigint")
     with pytest.raises(ValueError):
