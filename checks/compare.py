@@ -22,9 +22,8 @@ def rows_of(columns, rows):
     return sorted(columns), sorted((tuple(r[i] for i in order) for r in rows), key=repr)
 
 
-def compare(spark, con, sf, query, sql):
+def compare(con, df, sql):
     """(row count, problem or None)."""
-    df = query(spark, sf)
     columns, ours = rows_of(df.columns, [tuple(r) for r in df.collect()])
     if sql is None:
         return len(ours), None
@@ -52,7 +51,7 @@ def main(argv):
             continue
         at = time.time()
         try:
-            n, problem = compare(spark, con, sf, query, registry.SQL.get(name))
+            n, problem = compare(con, query(spark, sf), registry.SQL.get(name))
         except Exception as error:
             n, problem = -1, f"{type(error).__name__}: {str(error)[:1500]}"
         bad += problem is not None

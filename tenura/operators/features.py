@@ -218,7 +218,8 @@ def _joined_codes(df: DataFrame, c: str, codes: DataFrame) -> DataFrame:
     cold_key = F.when(F.col("_hot").isNull(), F.col(c))
     cold = broadcast_if_small(own.select("_value", "_code"))
     # A hot row needs no match; its key is a per-row salt that no value can equal.
-    salted = hinted.withColumn("_key", F.coalesce(F.concat(F.lit("v"), cold_key), F.concat(F.lit("s"), F.xxhash64(*df.columns).cast("string"))))
+    salt = F.xxhash64(*[f.name for f in df.schema if f.dataType.typeName() != "map"])
+    salted = hinted.withColumn("_key", F.coalesce(F.concat(F.lit("v"), cold_key), F.concat(F.lit("s"), salt.cast("string"))))
     matched = salted.join(cold.withColumn("_value", F.concat(F.lit("v"), F.col("_value"))), F.col("_key") == F.col("_value"), "left")
     return matched.withColumn(c, F.coalesce("_hot_code", "_code", F.lit(0)).cast("double")).select(*df.columns)
 

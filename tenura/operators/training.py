@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.operators.evaluation import auc
@@ -17,6 +17,7 @@ from tenura.session import shared_folder, small_table
 # Default settings of the boosted trees.
 DEFAULTS = {"max_depth": 6, "eta": 0.1, "subsample": 0.8, "colsample_bytree": 0.8, "min_child_weight": 3}
 MAX_ROUNDS = 200
+PATIENCE = 20
 
 # Type, least and greatest setting searched.
 SETTING_RANGES = {
@@ -46,27 +47,69 @@ def tree_classifier(settings: Mapping[str, float] | None = None, rounds: int = M
     )
 
 
-def fit_trees(df: DataFrame, settings: Mapping[str, float] | None = None, rounds: int = MAX_ROUNDS, label: str = "churn_label", weight: str | None = "weight", split: str | None = "split", seed: int = 42) -> GBTClassificationModel:
-    """TRN-3: fit on the train rows; with validation rows, stop when their loss no longer improves.
-
-    ``df`` has ``features``, the label and, where named, the weight and split columns. Rows are cached while training;
-    the lineage of long runs is cut by Spark's checkpoints in the shared folder.
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """How many rounds to keep, and whether ``patience`` rounds without a better loss have passed since."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The model of the first ``n`` rounds."""
+    if n >= model.getNumTrees:
+        return model
+    gateway, java = SparkSession.active().sparkContext._gateway, model._java_obj
+    trees = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    for i, (tree, weight) in enumerate(zip(list(java.trees())[:n], model.treeWeights)):
+        trees[i], weights[i] = tree, float(weight)
+    ml = gateway.jvm.org.apache.spark.ml
+    cut = java.copyValues(ml.classification.GBTClassificationModel(model.uid, trees, weights), ml.param.ParamMap.empty())
+    return GBTClassificationModel._from_java(cut)
+
+
+def fit_trees(
+    df: DataFrame,
+    settings: Mapping[str, float] | None = None,
+    rounds: int = MAX_ROUNDS,
+    label: str = "churn_label",
+    weight: str | None = "weight",
+    split: str | None = "split",
+    seed: int = 42,
+    patience: int = PATIENCE,
+) -> GBTClassificationModel:
+    """TRN-3: fit on the train rows and keep the rounds up to the best validation loss.
+
+    Training ends when ``patience`` rounds have brought no better loss. Spark cannot go on from a fitted model, so it
+    is fitted with three times the patience first, and with twice the rounds while the best loss is still too recent;
+    the early trees come out the same each time. ``df`` has ``features``, the label and, where named, the weight and
+    split columns. Rows are cached while training; long lineages are cut by Spark's checkpoints in the shared folder.
     """
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    columns = {"labelCol": label}
-    if weight:
-        columns["weightCol"] = weight
-    used = df.filter(F.col(label).isNotNull())
-    if split:
-        used = used.filter(F.col(split).isin("train", "validation")).withColumn("_held", F.col(split) == "validation")
-        columns["validationIndicatorCol"] = "_held"
-    used = used.select("features", label, *([weight] if weight else []), *(["_held"] if split else [])).persist()
+    columns = {"labelCol": label, **({"weightCol": weight} if weight else {})}
+    used = df.filter(F.col(label).isNotNull()).select("features", label, *[c for c in (weight, split) if c])
+    train = (used.filter(F.col(split) == "train") if split else used).persist()
+    held = used.filter(F.col(split) == "validation").persist() if split else None
     try:
-        return tree_classifier(settings, rounds, seed, **columns).fit(used)
+        if held is None or held.isEmpty():
+            return tree_classifier(settings, rounds, seed, **columns).fit(train)
+        n = min(rounds, 3 * patience)
+        while True:
+            model = tree_classifier(settings, n, seed, **columns).fit(train)
+            keep, done = best_round(model.evaluateEachIteration(held), patience)
+            if done or n >= rounds:
+                return first_trees(model, keep)
+            n = min(rounds, 2 * n)
     finally:
-        used.unpersist()
+        train.unpersist()
+        if held is not None:
+            held.unpersist()
 
 
 def fit_linear(df: DataFrame, label: str = "churn_label", weight: str | None = "weight", split: str | None = "split", iterations: int = 50) -> LogisticRegressionModel:
