@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tenura.llm import exact_dedup, url_filter
+from tenura.llm import exact_dedup, packing, token_grammar, url_filter
 from tenura.llm.tables import table
 
 
@@ -41,5 +41,21 @@ WITH a AS (
 r AS (SELECT *, CASE {_RULES} END AS rule FROM a)
 SELECT page_id, host, path, rule, CASE rule {_VERDICTS} ELSE CASE WHEN {_STRICT} OR {_SOFT} >= {url_filter.SOFT_LIMIT} THEN 'block' ELSE 'allow' END END AS verdict FROM r"""
 
-QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_url_filter": op3_url_filter}
+
+def vocabulary() -> str:
+    """The public vocabulary file that the registered queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_token_grammar(spark, sf):
+    return token_grammar.token_table(table(spark, sf, "documents"), vocabulary(), end_id=1)
+
+
+def op8_packing(spark, sf):
+    return packing.pack_documents(table(spark, sf, "documents"), vocabulary(), end_id=0)
+
+
+QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_url_filter": op3_url_filter, "op5_token_grammar": op5_token_grammar, "op8_packing": op8_packing}
 SQL = {"op2_exact_dedup": OP2, "op3_url_filter": OP3}
