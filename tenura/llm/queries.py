@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tenura.llm import exact_dedup, packing, token_grammar, url_filter
+from tenura.llm import decontaminate, exact_dedup, packing, simhash, token_grammar, url_filter
 from tenura.llm.tables import table
 
 
@@ -53,9 +53,20 @@ def op5_token_grammar(spark, sf):
     return token_grammar.token_table(table(spark, sf, "documents"), vocabulary(), end_id=1)
 
 
+def op6_decontaminate(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = decontaminate.find_items(docs, table(spark, sf, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), "items_sha256", "contaminated")
+
+
+def op7_simhash(spark, sf):
+    groups = simhash.near_groups(table(spark, sf, "documents"))
+    return groups.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op8_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), vocabulary(), end_id=0)
 
 
-QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_url_filter": op3_url_filter, "op5_token_grammar": op5_token_grammar, "op8_packing": op8_packing}
+QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_url_filter": op3_url_filter, "op5_token_grammar": op5_token_grammar, "op6_decontaminate": op6_decontaminate, "op7_simhash": op7_simhash, "op8_packing": op8_packing}
 SQL = {"op2_exact_dedup": OP2, "op3_url_filter": OP3}
