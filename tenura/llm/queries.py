@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tenura.llm import decontaminate, exact_dedup, packing, simhash, token_grammar, url_filter
+from tenura.llm import decontaminate, exact_dedup, packing, simhash, token_grammar, toxicity, url_filter
 from tenura.llm.tables import table
 
 
@@ -68,5 +68,11 @@ def op8_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), vocabulary(), end_id=0)
 
 
-QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_url_filter": op3_url_filter, "op5_token_grammar": op5_token_grammar, "op6_decontaminate": op6_decontaminate, "op7_simhash": op7_simhash, "op8_packing": op8_packing}
+def op10_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    net = toxicity.fit(docs, table(spark, sf, "labels").select("doc_id", "toxic"))
+    return toxicity.score(docs, net).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_url_filter": op3_url_filter, "op5_token_grammar": op5_token_grammar, "op6_decontaminate": op6_decontaminate, "op7_simhash": op7_simhash, "op8_packing": op8_packing, "op10_toxicity": op10_toxicity}
 SQL = {"op2_exact_dedup": OP2, "op3_url_filter": OP3}
