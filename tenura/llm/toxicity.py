@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenura.llm.tables import pieces
 
@@ -341,5 +342,5 @@ def score(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame:
             values = score_texts(shared.value, batch.column(text_col))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], names=[*batch.schema.names, "score"])
 
-    out = held.mapInArrow(step, held.schema.add("score", "double"))
+    out = held.mapInArrow(step, T.StructType([*held.schema.fields, T.StructField("score", T.DoubleType())]))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
