@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows of one Arrow batch that Python steps look at together; longer texts make smaller pieces.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +27,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
         if column.nbytes <= PIECE_BYTES:
             yield batch
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         part = np.cumsum(sizes) // PIECE_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
