@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tenura.llm import decontaminate, exact_dedup, packing, simhash, token_grammar, toxicity, url_filter
+from tenura.llm import decontaminate, exact_dedup, extract, packing, simhash, token_grammar, toxicity, url_filter
 from tenura.llm.tables import table
 
 
+def op1_extract(spark, sf):
+    return extract.extract(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op2_exact_dedup(spark, sf):
     return exact_dedup.exact_groups(table(spark, sf, "documents")).drop("n_same")
 
@@ -74,5 +78,5 @@ def op10_toxicity(spark, sf):
     return toxicity.score(docs, net).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_url_filter": op3_url_filter, "op5_token_grammar": op5_token_grammar, "op6_decontaminate": op6_decontaminate, "op7_simhash": op7_simhash, "op8_packing": op8_packing, "op10_toxicity": op10_toxicity}
+QUERIES = {"op1_extract": op1_extract, "op2_exact_dedup": op2_exact_dedup, "op3_url_filter": op3_url_filter, "op5_token_grammar": op5_token_grammar, "op6_decontaminate": op6_decontaminate, "op7_simhash": op7_simhash, "op8_packing": op8_packing, "op10_toxicity": op10_toxicity}
 SQL = {"op2_exact_dedup": OP2, "op3_url_filter": OP3}
