@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tenura.llm import decontaminate, exact_dedup, extract, packing, simhash, token_grammar, toxicity, url_filter
+from tenura.llm import decontaminate, exact_dedup, extract, line_dedup, packing, simhash, token_grammar, toxicity, url_filter, warc
 from tenura.llm.tables import table
 
 
@@ -53,6 +53,18 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op4_warc(spark, sf):
+    found = warc.archive_and_read(table(spark, sf, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP4 = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+     g AS (SELECT h, max(page_id) AS first FROM p WHERE n >= {warc.LEAST_REVISIT} GROUP BY h)
+SELECT page_id, n AS payload_bytes, p.h AS payload_digest, CASE WHEN page_id < first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < first THEN first END AS refers_to FROM p LEFT JOIN g ON p.h = g.h AND n >= {warc.LEAST_REVISIT}"""
+
+
 def op5_token_grammar(spark, sf):
     return token_grammar.token_table(table(spark, sf, "documents"), vocabulary(), end_id=1)
 
@@ -72,11 +84,34 @@ def op8_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), vocabulary(), end_id=0)
 
 
+def op9_line_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    return line_dedup.drop_boilerplate(docs).select("doc_id", "text", "n_lines", "n_dropped")
+
+
+OP9 = f"""
+WITH l AS (SELECT doc_id, source, i, string_split(text, chr(10))[i] AS line
+           FROM (SELECT *, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents WHERE text IS NOT NULL)),
+     p AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+     c AS (SELECT source, trim(line, ' ') AS line, count(DISTINCT doc_id) AS n FROM l WHERE trim(line, ' ') <> '' GROUP BY ALL),
+     b AS (SELECT c.source, line FROM c JOIN p ON c.source IS NOT DISTINCT FROM p.source WHERE n >= {line_dedup.LEAST_PAGES} AND n > {line_dedup.RATIO} * pages),
+     k AS (SELECT l.*, b.line IS NOT NULL AS dropped FROM l LEFT JOIN b ON l.source IS NOT DISTINCT FROM b.source AND trim(l.line, ' ') = b.line)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(string_agg(k.line, chr(10) ORDER BY k.i) FILTER (NOT dropped), '') END AS text,
+       count(k.i) AS n_lines, count(k.i) FILTER (dropped) AS n_dropped
+FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id GROUP BY d.doc_id, d.text"""
+
+
 def op10_toxicity(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     net = toxicity.fit(docs, table(spark, sf, "labels").select("doc_id", "toxic"))
     return toxicity.score(docs, net).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {"op1_extract": op1_extract, "op2_exact_dedup": op2_exact_dedup, "op3_url_filter": op3_url_filter, "op5_token_grammar": op5_token_grammar, "op6_decontaminate": op6_decontaminate, "op7_simhash": op7_simhash, "op8_packing": op8_packing, "op10_toxicity": op10_toxicity}
-SQL = {"op2_exact_dedup": OP2, "op3_url_filter": OP3}
+QUERIES = {
+    f.__name__: f
+    for f in [
+        op1_extract, op2_exact_dedup, op3_url_filter, op4_warc, op5_token_grammar, op6_decontaminate, op7_simhash, op8_packing, op9_line_dedup,
+        op10_toxicity,
+    ]
+}
+SQL = {"op2_exact_dedup": OP2, "op3_url_filter": OP3, "op4_warc": OP4, "op9_line_dedup": OP9}
