@@ -129,11 +129,13 @@ def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_co
     ``groups`` is what ``exact_groups`` says of ``docs``. Only the ids that go are joined, so the texts need not be shuffled
     while those are few enough for Spark's broadcast threshold.
     """
-    gone = stage(groups.where(~F.col("kept") | (F.col("n_same") > 1)).select(F.col(id_col).alias("_id"), "text_sha256", "kept", "n_same").distinct(), "gone")
+    odd = groups.where(~F.col("kept") | (F.col("n_same") > 1))
+    gone = stage(odd.select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha"), F.col("kept").alias("__kept")).distinct(), "gone")
     sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
-    meets = same(F.col(id_col), F.col("_id")) & (sha == F.col("text_sha256"))
-    met = docs.join(gone, meets, "left")
-    stays = met.where(F.col("kept").isNull()).select(docs.columns)
+    meets = same(F.col(id_col), F.col("__id")) & (sha == F.col("__sha"))
+    stays = docs.join(gone, meets, "left_anti")
     # Rows that repeat id and text: the few that must be counted against each other.
-    twice = met.where(F.col("kept") & (F.col("n_same") > 1)).dropDuplicates(["_id", "text_sha256"]).select(docs.columns)
-    return stays.unionByName(twice)
+    again = gone.where("__kept")
+    if not again.limit(1).count():
+        return stays
+    return stays.unionByName(docs.join(again, meets).dropDuplicates(["__id", "__sha"]).select(docs.columns))

@@ -277,5 +277,5 @@ def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> Data
 
     ``groups`` is what ``near_groups`` says of ``docs``. Rows that share an id are taken for one document.
     """
-    gone = stage(groups.where(~same(F.col(id_col), F.col("component_id"))).select(F.col(id_col).alias("_id")).where("_id IS NOT NULL").distinct(), "gone")
-    return docs.join(gone, F.col(id_col) == F.col("_id"), "left_anti")
+    gone = stage(groups.where(~same(F.col(id_col), F.col("component_id"))).select(F.col(id_col).alias("__id")).where("__id IS NOT NULL").distinct(), "gone")
+    return docs.join(gone, F.col(id_col) == F.col("__id"), "left_anti")

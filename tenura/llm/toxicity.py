@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tenura.llm.tables import pieces
 
-BUCKETS = 1 << 17
+BUCKETS = 1 << 18
 DIMENSIONS = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 6
@@ -30,7 +30,12 @@ TRAIN_BYTES = 32 << 20
 # Steps of gradient descent, on batches of so many documents; small samples are gone through more often.
 STEPS = 500
 BATCH = 64
+# Rows of each label that a threshold is chosen on at least, and parts for fitting on some and choosing on others.
+ENOUGH = 20
+FOLDS = 5
 RATE = 0.02
+# Documents with the common rate of labels that a bucket is counted with besides its own.
+PRIOR = 8
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _SPAN = 1 << 16
 # Bytes of text hashed at a time.
@@ -199,39 +204,61 @@ def _encoded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return np.concatenate(ids), np.concatenate(heads), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), np.concatenate(language)
 
 
-def _log_odds(ids: np.ndarray, document: np.ndarray, label: np.ndarray) -> np.ndarray:
+def _log_odds(ids: np.ndarray, document: np.ndarray, label: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Of each bucket, from the documents that hold it: log-odds of label 1 against all documents, drawn to 0 where few do."""
     seen = np.unique(document * BUCKETS + ids)
     doc, bucket = seen // BUCKETS, seen % BUCKETS
     one = np.bincount(bucket, weights=label[doc], minlength=BUCKETS)
     all_ = np.bincount(bucket, minlength=BUCKETS)
-    rate = label.mean()
-    return np.log((one + 2 * rate) / (all_ + 2) / rate) - np.log((all_ - one + 2 * (1 - rate)) / (all_ + 2) / (1 - rate))
+    rate = label[rows].mean()
+    return np.log((one + PRIOR * rate) / (all_ + PRIOR) / rate) - np.log((all_ - one + PRIOR * (1 - rate)) / (all_ + PRIOR) / (1 - rate))
 
 
-def train(texts: pa.Array, label: np.ndarray, seed: int = 7) -> Network:
-    """Fit the network to whole texts with labels 0 and 1. With one label only, every score is that label's share."""
+def _fit(ids, heads, offsets, label, rows, seed: int) -> Network:
+    """The network fitted to some of the rows, not calibrated yet. With one label only, every score is that label's share."""
     rng = np.random.default_rng(seed)
-    ids, heads, offsets, language = _encoded(texts)
-    rate = float(np.clip(label.mean() if len(label) else 0.0, 1e-3, 1 - 1e-3))
+    rate = float(np.clip(label[rows].mean() if len(rows) else 0.0, 1e-3, 1 - 1e-3))
     table = [rng.normal(0, 0.05, (BUCKETS, DIMENSIONS)).astype(np.float32) for _ in range(2)]
     filters = [rng.normal(0, 0.1, (w, DIMENSIONS, FILTERS)).astype(np.float32) for w in WIDTHS]
     n = sum(f.shape[2] for f in filters)
     net = Network(table[0], table[1], filters, np.full(n, 0.1), float(np.log(rate / (1 - rate))), np.zeros(len(FUNCTION_WORDS) + 1))
-    if len(np.unique(label)) < 2:
+    if len(np.unique(label[rows])) < 2:
         net.weights = np.zeros(n)
         return net
+    chosen = np.zeros(len(label), bool)
+    chosen[rows] = True
     document = np.repeat(np.arange(len(label)), np.diff(offsets))
-    table[0][:, 0], table[1][:, 0] = _log_odds(ids, document, label) * 0.7, _log_odds(heads, document, label) * 0.3
+    own = chosen[document]
+    table[0][:, 0] = _log_odds(ids[own], document[own], label, rows) * 0.7
+    table[1][:, 0] = _log_odds(heads[own], document[own], label, rows) * 0.3
     for f in filters:
         f[:, 0, :] += 0.5 / f.shape[0]
-    held = rng.random(len(label)) < 0.2
-    fit = np.flatnonzero(~held)
-    for epoch in range(max(2, min(30, -(-STEPS * BATCH // max(1, len(fit)))))):
-        rate_now = RATE / (1 + epoch / 2)
-        for batch in np.array_split(rng.permutation(fit), max(1, len(fit) // BATCH)):
-            _descend(net, ids, heads, offsets, batch, label, rate_now)
-    net.shifts = _calibrate(net.logits(ids, heads, offsets), language, label, held)
+    for epoch in range(max(2, min(30, -(-STEPS * BATCH // max(1, len(rows)))))):
+        for batch in np.array_split(rng.permutation(rows), max(1, len(rows) // BATCH)):
+            _descend(net, ids, heads, offsets, batch, label, RATE / (1 + epoch / 2))
+    return net
+
+
+def train(texts: pa.Array, label: np.ndarray, seed: int = 7) -> Network:
+    """Fit the network to whole texts with labels 0 and 1, and calibrate it on texts that it was not fitted to.
+
+    A fifth of the rows is kept for that; where that holds few rows of either label, each of ``FOLDS`` parts of the rows
+    is scored by a network fitted to the others, and the last network is fitted to all.
+    """
+    ids, heads, offsets, language = _encoded(texts)
+    part = np.random.default_rng(seed).permutation(len(label)) % FOLDS
+    held = np.flatnonzero(part == 0)
+    if min(label[held].sum(), (1 - label[held]).sum()) >= ENOUGH:
+        net = _fit(ids, heads, offsets, label, np.flatnonzero(part), seed)
+        net.shifts = _calibrate(net.logits(ids, heads, offsets)[held], language[held], label[held])
+        return net
+    net = _fit(ids, heads, offsets, label, np.arange(len(label)), seed)
+    if len(np.unique(label)) == 2:
+        logit = np.zeros(len(label))
+        for fold in range(FOLDS):
+            other = _fit(ids, heads, offsets, label, np.flatnonzero(part != fold), seed)
+            logit[part == fold] = other.logits(ids, heads, offsets)[part == fold]
+        net.shifts = _calibrate(logit, language, label)
     return net
 
 
@@ -276,8 +303,8 @@ def _descend(net, ids, heads, offsets, batch, label, rate):
             np.add.at(net.starts, head[p], -rate * 0.3 * grown)
 
 
-def _calibrate(logit: np.ndarray, language: np.ndarray, label: np.ndarray, held: np.ndarray) -> np.ndarray:
-    """The threshold of each language: that of the best F1 on documents not fitted to, over all languages where one has few."""
+def _calibrate(logit: np.ndarray, language: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """The threshold of each language: that of the best F1, over all languages where one has few rows of a label."""
 
     def best(rows):
         order = rows[np.argsort(-logit[rows], kind="stable")]
@@ -287,14 +314,10 @@ def _calibrate(logit: np.ndarray, language: np.ndarray, label: np.ndarray, held:
         below = logit[order[k + 1]] if k + 1 < len(order) else logit[order[k]] - 1
         return (logit[order[k]] + below) / 2
 
-    everyone = np.flatnonzero(held)
-    if label[everyone].sum() < 20:
-        everyone = np.arange(len(label))
-    common = best(everyone)
-    out = np.full(len(FUNCTION_WORDS) + 1, common)
-    for k in range(len(FUNCTION_WORDS) + 1):
-        rows = everyone[language[everyone] == k]
-        if label[rows].sum() >= 20 and (label[rows] == 0).sum() >= 20:
+    out = np.full(len(FUNCTION_WORDS) + 1, best(np.arange(len(label))))
+    for k in range(len(out)):
+        rows = np.flatnonzero(language == k)
+        if min(label[rows].sum(), (1 - label[rows]).sum()) >= ENOUGH:
             out[k] = best(rows)
     return out
 
@@ -344,3 +367,10 @@ def score(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame:
 
     out = held.mapInArrow(step, T.StructType([*held.schema.fields, T.StructField("score", T.DoubleType())]))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def clean(docs: DataFrame, net: Network) -> DataFrame:
+    """The documents that are not predicted to be toxic, with the columns of ``docs``; no row is moved."""
+    held = {c: f"__{c}" for c in docs.columns if c in ("score", "predicted")}
+    scored = score(docs.withColumnsRenamed(held), net)
+    return scored.where(F.col("predicted") == 0).select(*[F.col(held.get(c, c)).alias(c) for c in docs.columns])
