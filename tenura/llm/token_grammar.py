@@ -23,12 +23,13 @@ from tenura.llm.tables import pieces
 from tenura.llm.words import coder
 from tenura.session import new_folder, small_table
 
-SHARD_IDS = 1 << 20
+SHARD_IDS = 1 << 18
 PART_BYTES = 64 << 20
 # A pair is worth a rule from this many uses on; a pass that saves less than this share of the sequence is the last.
 LEAST_USES = 4
-LEAST_GAIN = 0.01
-_SLOTS = 1 << 21
+LEAST_GAIN = 0.03
+SLOT_BITS = 18
+_SLOTS = 1 << SLOT_BITS
 _HEAD = struct.Struct("<4sIIII")
 
 
@@ -39,7 +40,7 @@ def compress(ids: np.ndarray) -> bytes:
     left, right, rules = [], [], 0
     while len(seq) > 1:
         pair = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 21)).astype(np.int64)
+        slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         score = np.bincount(slot, minlength=_SLOTS)[slot]
         score[score < LEAST_USES] = 0
         # Of overlapping pairs the more frequent is taken; in a run of equal ones every second, as in a run of one symbol.

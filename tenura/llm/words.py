@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Words kept between batches. Only speed depends on it: a word that is not kept is encoded again.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 250_000
 # A mark of punctuation behind a letter or digit begins a new token, whatever follows (the apostrophe is the exception).
 _BOUNDARY = r"([a-z0-9])([.,;:!?#$%&*()\"-])"
 # Words that are one pre-token as they stand: letters up to U+00FF (none changes under NFC, all have one lower-case
