@@ -353,19 +353,23 @@ FEATURE_NAMES = [
 ]
 
 
+# One name for each dimension of the embeddings.
+VECTOR_NAMES = [*FEATURE_NAMES, *[f"usage_{i}" for i in range(len(FEATURE_NAMES), 64)]]
+
+
 def scored_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers with a probability and ten contributions, from the embeddings."""
+    """Customers with a probability and contributions, from the whole embeddings."""
     return table(spark, sf, "embeddings").select(
         F.col("vec_id").cast("string").alias("customer_id"),
         F.col("vec_id").alias("src_row"),
         ((F.col("vec_id") * 37 % 1000) / 1000.0).alias("churn_probability"),
-        F.slice("embedding", 1, 10).cast("array<double>").alias("contributions"),
+        F.col("embedding").cast("array<double>").alias("contributions"),
     )
 
 
 VECTORS_SQL = """WITH vectors AS (
   SELECT CAST(vec_id AS VARCHAR) AS customer_id, vec_id AS src_row, CAST(vec_id * 37 % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS churn_probability,
-         CAST(embedding[1:10] AS DOUBLE[]) AS contributions
+         CAST(embedding AS DOUBLE[]) AS contributions
   FROM embeddings)"""
 
 TIER_SQL = "CASE WHEN churn_probability >= 0.7 THEN 'high' WHEN churn_probability >= 0.4 THEN 'medium' ELSE 'low' END"

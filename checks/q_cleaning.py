@@ -23,10 +23,12 @@ CLN_1 = X.MAPPED_SQL + f" SELECT min(src_row) AS src_row, {_F} FROM mapped GROUP
 
 
 def cln_2(spark, sf):
-    return K.keep_first(X.mapped(spark, sf))
+    """Two clients with the same customer ids: a row of each stays."""
+    rows = X.mapped(spark, sf)
+    return K.keep_first(rows.withColumn("client_id", F.lit("a")).union(rows.withColumn("client_id", F.lit("b"))))
 
 
-CLN_2 = X.DEDUPED_SQL + " SELECT * FROM deduped"
+CLN_2 = X.DEDUPED_SQL + " SELECT *, 'a' AS client_id FROM deduped UNION ALL SELECT *, 'b' FROM deduped"
 
 
 def cln_3(spark, sf):
@@ -284,22 +286,23 @@ VAL_6 = X.PARSED_SQL + BAD_SQL + " SELECT * FROM bad"
 
 
 def val_7(spark, sf):
-    return V.validation_report(X.deduped(spark, sf))
+    """With a contract type for each customer: as many bad values as customers."""
+    return V.validation_report(X.deduped(spark, sf).withColumn("contract_type", F.concat(F.lit("way "), "customer_id")))
 
 
 _DTYPES = {c: t for c, t in (("tenure_months", "int"), ("monthly_charges", "float"), ("total_charges", "float"))}
 _BADS = " ".join(f"WHEN '{c}' THEN (SELECT count(*) FROM parsed WHERE {raw} IS NOT NULL AND {c} IS NULL)" for c, raw in _RAWS.items())
-VAL_7 = X.PARSED_SQL + BAD_SQL + f""",
+VAL_7 = X.PARSED_SQL + f""",
 fields AS (
   SELECT pos, field, tier, field <> 'age_bucket' AS present, CASE field {_BADS} ELSE 0 END AS n_num,
-         CASE field WHEN 'contract_type' THEN (SELECT count(*) FROM bad) ELSE 0 END AS n_values,
-         CASE field WHEN 'contract_type' THEN (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM bad) ELSE 0 END AS n_val
+         CASE field WHEN 'contract_type' THEN (SELECT count(*) FROM parsed) ELSE 0 END AS n_values,
+         CASE field WHEN 'contract_type' THEN (SELECT 'way ' || min(customer_id) FROM parsed) END AS first
   FROM (VALUES {_CONTRACT_VALUES}, (11, '*', 1)) k(pos, field, tier))
-SELECT pos, field, tier, present, n_num + n_val AS n_bad, n_values AS n_bad_values,
+SELECT pos, field, tier, present, n_num + n_values AS n_bad, n_values AS n_bad_values,
        CASE WHEN n_num > 0 THEN 'Field ''' || field || ''': expected ' || (CASE field {' '.join(f"WHEN '{c}' THEN '{t}'" for c, t in _DTYPES.items())} END)
               || ', but ' || n_num || ' values cannot be converted to numeric'
-            WHEN n_values > 0 THEN 'Field ''' || field || ''': found invalid values {{' || (SELECT string_agg('''' || value || '''', ', ' ORDER BY value) FROM bad)
-              || '}}. Allowed: [''month-to-month'', ''one_year'', ''two_year'']' END AS error
+            WHEN n_values > 0 THEN 'Field ''' || field || ''': found ' || n_values || ' invalid values, the first of them ''' || first || '''. Allowed: ['
+              || '''month-to-month'', ''one_year'', ''two_year''' || ']' END AS error
 FROM fields"""
 
 QUERIES = {n: f for n, f in list(globals().items()) if n.startswith(("cln_", "val_")) and callable(f)}

@@ -350,12 +350,12 @@ SCR_3 = X.VECTORS_SQL + f" SELECT customer_id, {X.TIER_SQL} AS risk_tier FROM ve
 
 
 def scr_4(spark, sf):
-    return X.scored_vectors(spark, sf).select("customer_id", F.posexplode(S.top_reasons(F.col("contributions"), X.FEATURE_NAMES)).alias("place", "reason"))
+    return X.scored_vectors(spark, sf).select("customer_id", F.posexplode(S.top_reasons(F.col("contributions"), X.VECTOR_NAMES)).alias("place", "reason"))
 
 
-_NAMES = ", ".join(f"'{n}'" for n in X.FEATURE_NAMES)
+_NAMES = ", ".join(f"'{n}'" for n in X.VECTOR_NAMES)
 REASONS_CTE = f""",
-parts AS (SELECT customer_id, unnest(contributions) AS x, unnest(range(10)) AS i, unnest([{_NAMES}]) AS name FROM vectors),
+parts AS (SELECT customer_id, unnest(contributions) AS x, unnest(range(64)) AS i, unnest([{_NAMES}]) AS name FROM vectors),
 placed AS (SELECT customer_id, name, x, row_number() OVER (PARTITION BY customer_id ORDER BY abs(x) DESC, i DESC) AS place FROM parts),
 reasons AS (SELECT customer_id, place, name, x, name || ' (' || {X.signed('x')} || ')' AS reason FROM placed WHERE place <= 3)"""
 SCR_4 = X.VECTORS_SQL + REASONS_CTE + " SELECT customer_id, CAST(place - 1 AS INTEGER) AS place, reason FROM reasons"
@@ -364,7 +364,7 @@ SCR_4 = X.VECTORS_SQL + REASONS_CTE + " SELECT customer_id, CAST(place - 1 AS IN
 def scr_5(spark, sf):
     scored = X.scored_vectors(spark, sf)
     told = scored.withColumn("narrative", F.when(F.col("churn_probability") >= 0.7, F.concat(F.lit("call "), "customer_id")))
-    return S.deliverable(told, X.FEATURE_NAMES)
+    return S.deliverable(told, X.VECTOR_NAMES)
 
 
 DELIVERABLE_CTE = REASONS_CTE + f""",
@@ -377,14 +377,14 @@ SNK_3 = X.VECTORS_SQL + DELIVERABLE_CTE + " SELECT * REPLACE ('N/A' AS narrative
 
 
 def scr_6(spark, sf):
-    return S.tier_counts(S.deliverable(X.scored_vectors(spark, sf), X.FEATURE_NAMES))
+    return S.tier_counts(S.deliverable(X.scored_vectors(spark, sf), X.VECTOR_NAMES))
 
 
 SCR_6 = X.VECTORS_SQL + f" SELECT {X.TIER_SQL} AS risk_tier, count(*) AS n FROM vectors GROUP BY 1"
 
 
 def scr_7(spark, sf):
-    return S.highest_risk(S.deliverable(X.scored_vectors(spark, sf), X.FEATURE_NAMES), 5)
+    return S.highest_risk(S.deliverable(X.scored_vectors(spark, sf), X.VECTOR_NAMES), 5)
 
 
 SCR_7 = X.VECTORS_SQL + DELIVERABLE_CTE + " SELECT * REPLACE ('N/A' AS narrative_explanation) FROM deliverable ORDER BY churn_probability DESC, customer_id LIMIT 5"

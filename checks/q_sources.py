@@ -9,7 +9,7 @@ from tenura.operators import drift as D
 from tenura.operators import features as FE
 from tenura.operators import mapping as M
 from tenura.operators import scoring as S
-from tenura.session import new_folder, stage
+from tenura.session import new_folder, small_table, stage
 from tenura.sources import catalog as C
 from tenura.sources import csv_source as IO
 from tenura.sources import paths as P
@@ -18,10 +18,11 @@ from tenura.sources import paths as P
 
 
 def src_1(spark, sf):
+    """Cells with quotes, commas and line breaks; the columns are asked for in another order than the files have."""
     path = new_folder(spark, "client-csv")
-    raw = X.churn_raw(spark, sf)
+    raw = X.churn_raw(spark, sf).withColumn("note", F.concat(F.lit('said "hi", '), "CustID", F.lit('\nand "left"')))
     IO.write_csv(raw, path)
-    back = IO.read_client_csv(spark, path, raw.columns, order="file_row")
+    back = IO.read_client_csv(spark, path, raw.columns[::-1], order="file_row")
     return back.drop("file_row").withColumn("src_row", F.col("src_row").cast("bigint"))
 
 
@@ -29,7 +30,7 @@ _TOKENS = "('N/A', 'null')"
 SRC_1 = X.RAW_SQL + f"""
 SELECT src_row, CustID, CASE WHEN tenure NOT IN {_TOKENS} THEN tenure END AS tenure,
        CASE WHEN MonthlyFee NOT IN {_TOKENS} THEN MonthlyFee END AS MonthlyFee, TotalSpend, Churned, plan_type, how_they_pay,
-       CAST(complaints AS VARCHAR) AS complaints, sex, partner FROM churn_raw"""
+       CAST(complaints AS VARCHAR) AS complaints, sex, partner, 'said "hi", ' || CustID || chr(10) || 'and "left"' AS note FROM churn_raw"""
 
 
 def src_2(spark, sf):
@@ -157,9 +158,9 @@ def snk_2(spark, sf):
 def snk_3(spark, sf):
     """The deliverable as CSV with a header, read back as text."""
     path = new_folder(spark, "deliverable")
-    out = S.deliverable(X.scored_vectors(spark, sf), X.FEATURE_NAMES)
+    out = S.deliverable(X.scored_vectors(spark, sf), X.VECTOR_NAMES)
     IO.write_csv(out.withColumn("churn_probability", F.format_string("%.4f", "churn_probability")), path)
-    return spark.read.option("header", True).schema("customer_id string, churn_probability double, risk_tier string, top_3_reasons string, narrative_explanation string").csv(path)
+    return spark.read.option("header", True).option("escape", '"').schema("customer_id string, churn_probability double, risk_tier string, top_3_reasons string, narrative_explanation string").csv(path)
 
 
 def snk_4(spark, sf):
@@ -180,12 +181,15 @@ MAP_1 = X.RAW_SQL + " SELECT src_row, " + ", ".join(f"{raw} AS {to}" for raw, to
 
 
 def map_2(spark, sf):
-    values = {"Churned": {"Yes": "1", "No": "0"}, "partner": {"Yes": "1"}, "complaints": {"0": "none"}, "absent": {"a": "b"}}
-    return M.map_values(X.churn_raw(spark, sf), values).select("src_row", "Churned", "partner", "complaints", "plan_type")
+    """Short lists, and one of 300 values of which two keys are one text: the last one counts."""
+    values = {"Churned": {"Yes": "1", "No": "0"}, "partner": {"Yes": "1"}, "complaints": {0: "nothing", "0": "none"}, "absent": {"a": "b"}}
+    values["CustID"] = {**{k: f"x{k}" for k in range(300)}, "7": "seven"}
+    return M.map_values(X.churn_raw(spark, sf), values).select("src_row", "CustID", "Churned", "partner", "complaints", "plan_type")
 
 
 MAP_2 = X.RAW_SQL + """
-SELECT src_row, CASE Churned WHEN 'Yes' THEN '1' WHEN 'No' THEN '0' ELSE Churned END AS Churned,
+SELECT src_row, CASE WHEN CustID = '7' THEN 'seven' WHEN CAST(CustID AS BIGINT) < 300 THEN 'x' || CustID ELSE CustID END AS CustID,
+       CASE Churned WHEN 'Yes' THEN '1' WHEN 'No' THEN '0' ELSE Churned END AS Churned,
        CASE partner WHEN 'Yes' THEN '1' ELSE partner END AS partner,
        CASE CAST(complaints AS VARCHAR) WHEN '0' THEN 'none' ELSE CAST(complaints AS VARCHAR) END AS complaints, plan_type FROM churn_raw"""
 
@@ -208,10 +212,16 @@ MAP_4 = X.MAPPED_SQL + " SELECT * FROM mapped"
 
 
 def map_5(spark, sf):
-    return M.apply_catalog(X.clients_raw(spark, sf), X.catalog(spark))
+    """The three clients, and a fourth whose raw columns bear contract names; the fifth has no approved mapping and is left out."""
+    raw = X.clients_raw(spark, sf)
+    named = X.churn_raw(spark, sf).select("src_row", F.col("CustID").alias("customer_id"), F.col("sex").alias("gender"), F.col("partner").alias("plan"))
+    every = raw.union(IO.raw_rows(named, "plain")).union(IO.raw_rows(named, "stranger"))
+    catalog = X.catalog(spark).union(small_table(spark, [("plain", "column", "contract_type", "plan", "contract_type", None, None, "approved")], C.CATALOG_SCHEMA))
+    return M.apply_catalog(every, catalog, leave_out=True)
 
 
-MAP_5 = X.CLIENTS_MAPPED_SQL + " SELECT * FROM clients_mapped"
+MAP_5 = X.CLIENTS_MAPPED_SQL + """ SELECT * FROM clients_mapped
+UNION ALL SELECT 'plain', src_row, CustID, NULL, NULL, NULL, NULL, partner, NULL, NULL, sex, NULL, NULL FROM churn_raw"""
 
 
 def map_6(spark, sf):

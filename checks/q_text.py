@@ -174,7 +174,7 @@ SNK_4 = _ALL + f" SELECT feature, n, least, most, {_COUNTS} FROM ranges"
 
 def _scored(spark, sf):
     v = X.scored_vectors(spark, sf)
-    return v.withColumn("risk_tier", S.risk_tier(F.col("churn_probability"))).withColumn("top", S.top_factors(F.col("contributions"), X.FEATURE_NAMES))
+    return v.withColumn("risk_tier", S.risk_tier(F.col("churn_probability"))).withColumn("top", S.top_factors(F.col("contributions"), X.VECTOR_NAMES))
 
 
 def _batched(spark, sf):

@@ -11,6 +11,10 @@ from pyspark.sql.window import Window
 from tenura.session import stage
 
 
+# Rows of one range, at which a larger table gets more ranges.
+RANGE_ROWS = 1_000_000
+
+
 def running_totals(
     df: DataFrame,
     order: Sequence[str],
@@ -31,7 +35,7 @@ def running_totals(
     if df.limit(small + 1).count() <= small:
         prior = Window.partitionBy(*(group or [F.lit(0)])).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return df.select(*df.columns, *[F.coalesce(F.sum(c).over(prior), F.lit(0)).alias(f"before_{c}") for c in totals])
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // RANGE_ROWS))
     ranged = stage(df.repartitionByRange(parts, *group, *order).withColumn("_range", F.spark_partition_id()), "ranged")
     # At most one row per range plus one per group: a group only shares the first and last of its ranges.
     sums = ranged.groupBy(*group, "_range").agg(*[F.sum(c).alias(f"_sum_{c}") for c in totals])

@@ -114,3 +114,11 @@ def signed_text(c: Column, places: int = 2) -> Column:
 def join_text(parts: Iterable[Column], sep: str) -> Column:
     """SCL-12."""
     return F.concat_ws(sep, *parts)
+
+
+def quoted(c: Column) -> Column:
+    """Text in single quotes, or in double ones where it holds a single quote and no double one; inner quotes and backslashes escaped."""
+    slashed = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    double = F.contains(c, F.lit("'")) & ~F.contains(c, F.lit('"'))
+    single = F.concat(F.lit("'"), F.replace(slashed, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return F.when(double, F.concat(F.lit('"'), slashed, F.lit('"'))).otherwise(single)

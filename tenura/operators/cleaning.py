@@ -21,6 +21,11 @@ from tenura.session import broadcast_if_small, stage
 Bounds = dict[str, tuple[float, float]]
 
 
+def _keys(df: DataFrame, keys: Sequence[str] | None) -> list[str]:
+    """The columns that identify a customer: the id, and the client where the table holds several."""
+    return list(keys) if keys is not None else [*(["client_id"] if "client_id" in df.columns else []), ID_FIELD]
+
+
 # --- repeats ---------------------------------------------------------------------------------------------------
 
 
@@ -30,26 +35,28 @@ def drop_exact_repeats(df: DataFrame, order: str = "src_row") -> DataFrame:
     return df.groupBy(*cells).agg(F.min(order).alias(order)).select(*df.columns)
 
 
-def keep_first(df: DataFrame, keys: Sequence[str] = (ID_FIELD,), order: str = "src_row") -> DataFrame:
-    """CLN-2: the earliest row per id; null ids count as one id. Without the id column nothing happens.
+def keep_first(df: DataFrame, keys: Sequence[str] | None = None, order: str = "src_row") -> DataFrame:
+    """CLN-2: the earliest row per id, and per client where there is a ``client_id``; null ids count as one id. Without the id column nothing happens.
 
     Equal rows share their id, so this alone also does the work of CLN-1 on tables that have the id.
     """
-    keys = list(keys)
+    keys = _keys(df, keys)
     if not set(keys) <= set(df.columns):
         return df
     rest = [c for c in df.columns if c not in keys]
     return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
-def remove_repeats(df: DataFrame, keys: Sequence[str] = (ID_FIELD,), order: str = "src_row") -> DataFrame:
+def remove_repeats(df: DataFrame, keys: Sequence[str] | None = None, order: str = "src_row") -> DataFrame:
     """CLN-1 then CLN-2, in one shuffle where the id column allows it."""
+    keys = _keys(df, keys)
     return keep_first(df, keys, order) if set(keys) <= set(df.columns) else drop_exact_repeats(df, order)
 
 
-def counted_repeats(df: DataFrame, keys: Sequence[str] = (ID_FIELD,), order: str = "src_row") -> DataFrame:
+def counted_repeats(df: DataFrame, keys: Sequence[str] | None = None, order: str = "src_row") -> DataFrame:
     """CLN-1, CLN-2 with the counts of CLN-3 in one pass: kept rows plus ``_rows`` and ``_distinct``, the number of
     rows and of distinct rows that each of them stands for."""
+    keys = _keys(df, keys)
     cells = [c for c in df.columns if c != order]
     distinct_rows = df.groupBy(*cells).agg(F.min(order).alias(order), F.count("*").alias("_rows"))
     if not set(keys) <= set(df.columns):
@@ -61,8 +68,9 @@ def counted_repeats(df: DataFrame, keys: Sequence[str] = (ID_FIELD,), order: str
     return kept.select(*keys, "_row.*", "_rows", "_distinct").select(*df.columns, "_rows", "_distinct")
 
 
-def repeat_counts(df: DataFrame, keys: Sequence[str] = (ID_FIELD,), order: str = "src_row") -> DataFrame:
+def repeat_counts(df: DataFrame, keys: Sequence[str] | None = None, order: str = "src_row") -> DataFrame:
     """CLN-3: one row ``(rows_before, exact_repeats, id_repeats, repeats, pct_of_rows, rows_after)``."""
+    keys = _keys(df, keys)
     cells = [c for c in df.columns if c != order]
     distinct_rows = df.groupBy(*cells).agg(F.count("*").alias("_rows"))
     if set(keys) <= set(df.columns):
@@ -261,7 +269,7 @@ def null_total(issues: DataFrame, n_columns: int, group: Sequence[str] = ()) ->
 
 
 def _python_list(items: Column) -> Column:
-    return F.concat(F.lit("["), F.array_join(F.transform(items, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "), F.lit("]"))
+    return F.concat(F.lit("["), F.array_join(F.transform(items, V.quoted), ", "), F.lit("]"))
 
 
 def cleaning_report(repeats: DataFrame | None, issues: DataFrame, n_columns: int, max_garbage: float = 0.50, bounds: Bounds | None = None) -> DataFrame:
@@ -337,7 +345,7 @@ def clean_table(
     categories: bool = True,
     max_garbage: float = 0.50,
     bounds: Bounds | None = None,
-    keys: Sequence[str] = (ID_FIELD,),
+    keys: Sequence[str] | None = None,
     order: str = "src_row",
 ) -> tuple[DataFrame, DataFrame]:
     """CLN-12: the cleaned table and its report.
@@ -359,7 +367,7 @@ def clean_rows(
     cap: bool = True,
     categories: bool = True,
     bounds: Bounds | None = None,
-    keys: Sequence[str] = (ID_FIELD,),
+    keys: Sequence[str] | None = None,
     order: str = "src_row",
 ) -> DataFrame:
     """CLN-12 without the report: lazy, one shuffle."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,52 +76,47 @@ def expected_margin(leaves: Sequence[Leaf]) -> float:
     return total
 
 
+def leaf_contributions(codes, share: Sequence[float], value: float):
+    """Shapley values of one leaf for patterns, a bit a feature that says whether a row meets its range.
+
+    A feature's weight over all subsets of the others is the integral over t from 0 to 1 of the product of their terms
+    share * (1 - t) + met * t, which Gauss-Legendre nodes give exactly.
+    """
+    import numpy as np
+
+    m = len(share)
+    nodes, weights = np.polynomial.legendre.leggauss((m + 1) // 2 or 1)
+    t = (nodes + 1) / 2
+    met = ((codes[:, None] >> np.arange(m)) & 1).astype(float)
+    share = np.array(share)
+    terms = share[None, :, None] * (1 - t) + met[:, :, None] * t
+    around = terms.prod(1, keepdims=True) / terms
+    return value * (met - share) * (around @ (weights / 2))
+
+
 def tree_contributions(df: DataFrame, leaves: Sequence[Leaf], names: Sequence[str], output: str = "contributions") -> DataFrame:
     """Path-dependent Shapley values per row, as ``array<double>`` in the order of ``names``.
 
-    For one leaf only the pattern "which of its features does the row meet" matters, so each leaf has a table of one
-    row per pattern and the work per row is comparisons and a lookup, on whole Arrow batches. The leaves are the
-    model and travel as a broadcast variable.
+    For one leaf only the pattern "which of its features does the row meet" matters; its values are worked out for the patterns
+    that a batch holds. Only the features go through Python. The leaves are the model and travel as a broadcast variable.
     """
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast([tuple(leaf) for leaf in leaves])
-    names = list(names)
-    schema = df.withColumn(output, F.array(F.lit(0.0))).schema
-
-    def explain(batches):
-        from math import factorial
+    shared = df.sparkSession.sparkContext.broadcast([tuple(leaf) for leaf in leaves])
+    width = len(names)
 
+    @F.arrow_udf("array<double>")
+    def explain(cells: pa.Array) -> pa.Array:
         import numpy as np
 
-        tables = {}
-
-        def table(m, share, value):
-            # Row = pattern bits; column j = value * (met_j - share_j) * sum over subsets of the other features.
-            met = (np.arange(1 << m)[:, None] >> np.arange(m)) & 1
-            out = np.zeros((1 << m, m))
-            weights = [factorial(s) * factorial(m - s - 1) / factorial(m) for s in range(m)]
-            for j in range(m):
-                known = np.zeros((1 << m, m))  # known[:, s]: product sum over subsets of size s
-                known[:, 0] = 1.0
-                for size, i in enumerate(i for i in range(m) if i != j):
-                    grown = known[:, : size + 1] * met[:, i : i + 1]
-                    known[:, : size + 1] *= share[i]
-                    known[:, 1 : size + 2] += grown
-                out[:, j] = value * (met[:, j] - share[j]) * (known @ np.array(weights))
-            return out
-
-        for batch in batches:
-            x = batch[names].to_numpy(dtype=float)
-            total = np.zeros_like(x)
-            for k, (value, features, low, high, share) in enumerate(shared.value):
-                m = len(features)
-                if m == 0:
-                    continue
-                if k not in tables:
-                    tables[k] = table(m, share, value)
-                part = x[:, list(features)]
-                met = (part > np.array(low)) & (part <= np.array(high))
-                total[:, list(features)] += tables[k][met @ (1 << np.arange(m))]
-            yield batch.assign(**{output: list(total)})
-
-    return df.mapInPandas(explain, schema)
+        x = cells.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+        total = np.zeros_like(x)
+        for value, features, low, high, share in shared.value:
+            if not features or not len(x):
+                continue
+            part = x[:, list(features)]
+            pattern = ((part > np.array(low)) & (part <= np.array(high))) @ (1 << np.arange(len(features)))
+            codes, place = np.unique(pattern, return_inverse=True)
+            total[:, list(features)] += leaf_contributions(codes, share, value)[place]
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * width, pa.int32()), pa.array(total.ravel()))
+
+    cells = [F.coalesce(F.col(n).cast("double"), F.lit(float("nan"))) for n in names]
+    return df.withColumn(output, explain(F.array(*cells)))

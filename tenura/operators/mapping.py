@@ -11,7 +11,8 @@ from tenura.functions import values as V
 from tenura.session import broadcast_if_small, small_table
 from tenura.sources.catalog import Mapping
 
-# Value lists up to this length become a literal map in the projection; longer ones a join with a lookup table.
+# Value lists up to this length become a literal map in the projection; longer ones a join with a lookup table. Both go by the
+# text of the key, of which the last one counts.
 LITERAL_ENTRIES = 200
 
 
@@ -40,13 +41,14 @@ def replaced(c: Column, dtype: T.DataType, pairs: dict[str, str]) -> Column:
 def map_values(df: DataFrame, values: dict[str, dict[str, str]]) -> DataFrame:
     """MAP-2 on a table."""
     types = {f.name: f.dataType for f in df.schema}
-    for name, pairs in values.items():
+    for name, given in values.items():
         if name not in types:
             continue
+        pairs = {str(a): str(b) for a, b in given.items()}
         if len(pairs) <= LITERAL_ENTRIES:
             df = df.withColumn(name, replaced(F.col(name), types[name], pairs))
             continue
-        table = small_table(df.sparkSession, [(str(a), str(b)) for a, b in pairs.items()], "_from string, _to string")
+        table = small_table(df.sparkSession, list(pairs.items()), "_from string, _to string")
         text = V.to_text(F.col(name), types[name])
         joined = df.withColumn(name, text).join(table, F.col(name) == F.col("_from"), "left")
         df = joined.withColumn(name, F.coalesce("_to", name)).select(*df.columns)
@@ -82,7 +84,7 @@ FIELDS = [c.field for c in CONTRACT]
 def client_lookups(catalog: DataFrame) -> DataFrame:
     """One row per client with its approved mapping, as arrays in contract order: source columns, value maps, types.
 
-    Two source columns for one field are an error.
+    ``_problem`` says why a mapping cannot be used: two source columns for one field, or two targets for one value.
     """
     live = catalog.filter(F.col("status") == "approved")
 
@@ -90,28 +92,55 @@ def client_lookups(catalog: DataFrame) -> DataFrame:
         return (F.col("kind") == kind) & (F.col("field") == field)
 
     def source(f: str) -> Column:
-        twice = F.raise_error(F.concat(F.lit(f"two columns become {f} for client "), F.first("client_id"))).cast("string")
-        return F.when(F.count_if(of("column", f)) > 1, twice).otherwise(F.max(F.when(of("column", f), F.col("from_value"))))
+        return F.max(F.when(of("column", f), F.col("from_value")))
 
-    def values(f: str) -> Column:
+    def pairs(f: str) -> Column:
         pair = F.when(of("value", f), F.struct(F.col("from_value").alias("k"), F.col("to_value").alias("v")))
-        return F.map_from_entries(F.array_distinct(F.collect_list(pair)))
+        return F.array_distinct(F.collect_list(pair))
 
-    return live.groupBy("client_id").agg(
+    def problem(f: str) -> Column:
+        keys = F.transform(pairs(f), lambda p: p["k"])
+        twice = F.when(F.count_distinct(F.when(of("column", f), F.col("from_value"))) > 1, F.lit(f"two columns become {f}"))
+        return F.coalesce(twice, F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.lit(f"a value of {f} has two targets")))
+
+    taken = F.collect_set(F.when(F.col("kind") == "column", F.col("from_value")))
+    found = live.groupBy("client_id").agg(
+        F.coalesce(*[problem(f) for f in FIELDS]).alias("_problem"),
+        taken.alias("_taken"),
         F.array(*[source(f) for f in FIELDS]).alias("_sources"),
-        F.array(*[values(f) for f in FIELDS]).alias("_values"),
+        F.array(*[pairs(f) for f in FIELDS]).alias("_pairs"),
         F.array(*[F.max(F.when(of("type", f), F.col("to_value"))) for f in FIELDS]).alias("_types"),
     )
+    values = F.when(F.col("_problem").isNull(), F.transform("_pairs", F.map_from_entries))
+    # A raw column that bears a field's own name is that field, unless it is mapped to another one.
+    own = F.array(*[F.when(~F.array_contains("_taken", F.lit(f)), F.lit(f)) for f in FIELDS])
+    sources = F.zip_with("_sources", own, lambda s, o: F.coalesce(s, o))
+    return found.select("client_id", "_problem", sources.alias("_sources"), values.alias("_values"), "_types")
+
+
+def rejected_clients(raw: DataFrame, catalog: DataFrame) -> DataFrame:
+    """MAP-5: ``(client_id, n_rows, reason)`` of clients whose rows ``apply_catalog`` cannot map."""
+    counts = raw.groupBy("client_id").agg(F.count("*").alias("n_rows"))
+    joined = counts.join(client_lookups(catalog), "client_id", "left")
+    reason = F.when(F.col("_sources").isNull(), F.lit("no approved mapping")).otherwise(F.col("_problem"))
+    return joined.select("client_id", "n_rows", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
-def apply_catalog(raw: DataFrame, catalog: DataFrame, order: str = "src_row") -> DataFrame:
+def apply_catalog(raw: DataFrame, catalog: DataFrame, order: str = "src_row", leave_out: bool = False) -> DataFrame:
     """MAP-5: many clients in one narrow projection, driven by catalog rows.
 
     ``raw`` is ``(client_id, src_row, raw map<string,string>)``. Every contract field comes out as text, ready for
-    cleaning; under a numeric coercion text that is no number is null, and ``int`` drops the fraction. A client
-    without an approved mapping yields no rows.
+    cleaning; under a numeric coercion text that is no number is null, and ``int`` drops the fraction. A raw column that has
+    a field's name already needs no entry. Rows of a client without a usable approved mapping fail the job; with
+    ``leave_out`` they are left out, and ``rejected_clients`` says which and how many.
     """
-    joined = raw.join(broadcast_if_small(client_lookups(catalog)), "client_id")
+    joined = raw.join(broadcast_if_small(client_lookups(catalog)), "client_id", "left")
+    usable = F.col("_values").isNotNull()
+    if leave_out:
+        joined = joined.filter(usable)
+    else:
+        reason = F.concat(F.lit("no usable mapping for client "), F.col("client_id"), F.coalesce(F.concat(F.lit(": "), F.col("_problem")), F.lit("")))
+        joined = joined.filter(F.when(usable, True).otherwise(F.raise_error(reason).cast("boolean")))
     text = T.StringType()
     # What no client asks for is left out of the projection; the catalog is a config table.
     live = catalog.filter((F.col("status") == "approved") & F.col("field").isin(FIELDS))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tenura.contract import CONTRACT, ContractField
 from tenura.functions import values as V
 from tenura.functions.order import global_rank
+from tenura.session import stage
 
 # The wording of the narrative prompt.
 NARRATIVE_ROLE = (
@@ -78,26 +79,35 @@ def narrative_prompts(batched: DataFrame, definitions: Mapping[str, str] | None
     return listed.groupBy("batch_id").agg(F.count("*").alias("n_customers"), F.concat(F.lit(prompt_head(definitions)), joined).alias("prompt"))
 
 
-def ask(prompts: DataFrame, call: Callable[[str], str], key: str = "batch_id") -> DataFrame:
-    """LLM-5: ``(key, response)``; a call that raises gives a null response for its own row only."""
+def ask(prompts: DataFrame, call: Callable[[str], str], key: str = "batch_id", tasks: int | None = None, threads: int = 4) -> DataFrame:
+    """LLM-5: ``(key, response)``; a call that raises gives a null response for its own row only.
+
+    Prompts are dealt to ``tasks`` tasks (all cores by default), each with ``threads`` calls at a time. Answers are staged, so that
+    reading them twice does not call twice; they last until ``clear_staged``.
+    """
+    spark = prompts.sparkSession
     key_type = prompts.schema[key].dataType.simpleString()
 
     def run(frames):
         import logging
+        from multiprocessing.pool import ThreadPool
 
         import pandas as pd
 
+        def answer(prompt):
+            try:
+                return call(prompt)
+            except Exception as error:
+                logging.getLogger("prompts").warning("call failed: %s", error)
+                return None
+
         for frame in frames:
-            out = []
-            for prompt in frame["prompt"]:
-                try:
-                    out.append(call(prompt))
-                except Exception as error:
-                    logging.getLogger("prompts").warning("call failed: %s", error)
-                    out.append(None)
+            with ThreadPool(threads) as pool:
+                out = pool.map(answer, frame["prompt"], chunksize=1)
             yield pd.DataFrame({key: frame[key], "response": pd.Series(out, dtype=object, index=frame.index)})
 
-    return prompts.select(key, "prompt").mapInPandas(run, f"{key} {key_type}, response string")
+    dealt = prompts.select(key, "prompt").repartition(tasks or spark.sparkContext.defaultParallelism, key)
+    return stage(dealt.mapInPandas(run, f"{key} {key_type}, response string"), "answers")
 
 
 def parse_narratives(responses: DataFrame) -> DataFrame:
@@ -131,7 +141,7 @@ def attach_narratives(batched: DataFrame, narratives: DataFrame) -> DataFrame:
 
 def _shown(value: Column) -> Column:
     number = V.to_number(value, T.StringType())
-    return F.when(value.isNull(), "nan").when(number.isNotNull(), V.strip(value)).otherwise(F.concat(F.lit("'"), value, F.lit("'")))
+    return F.when(value.isNull(), "nan").when(number.isNotNull(), V.strip(value)).otherwise(V.quoted(value))
 
 
 def mapping_prompts(samples: DataFrame, fields: list[ContractField] | None = None, rows: int = 3, cells: int = 8) -> DataFrame:
@@ -149,7 +159,7 @@ def mapping_prompts(samples: DataFrame, fields: list[ContractField] | None = Non
     per_client = per_row.groupBy("client_id").agg(
         F.array_sort(F.collect_list(shown)).alias("lines"), F.min_by("names", "row_no").alias("names")
     )
-    names = F.concat(F.lit("["), F.array_join(F.transform("names", lambda n: F.concat(F.lit("'"), n["column"], F.lit("'"))), ", "), F.lit("]"))
+    names = F.concat(F.lit("["), F.array_join(F.transform("names", lambda n: V.quoted(n["column"])), ", "), F.lit("]"))
     text = F.array_join(F.transform("lines", lambda x: x["line"]), "")
     prompt = F.concat(F.lit(MAPPING_HEAD), names, F.lit(MAPPING_SAMPLE), text, F.lit(MAPPING_FIELDS + contract + MAPPING_RULES))
     return per_client.select("client_id", prompt.alias("prompt"))

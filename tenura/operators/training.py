@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel
@@ -85,33 +86,43 @@ def fit_trees(
     """TRN-3: fit on the train rows and keep the rounds up to the best validation loss.
 
     Training ends when ``patience`` rounds have brought no better loss. Spark cannot go on from a fitted model, so it
-    is fitted with three times the patience first, and with twice the rounds while the best loss is still too recent;
+    is fitted with three times the patience first, and with all rounds where the best loss is still too recent;
     the early trees come out the same each time. ``df`` has ``features``, the label and, where named, the weight and
     split columns. Rows are cached while training; long lineages are cut by Spark's checkpoints in the shared folder.
     """
+    with _parts(df, label, weight, split) as (train, held):
+        return _fit_parts(train, held, settings, rounds, label, weight, seed, patience)
+
+
+@contextmanager
+def _parts(df: DataFrame, label: str, weight: str | None, split: str | None):
+    """(train rows, validation rows or None), cached while in use."""
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    columns = {"labelCol": label, **({"weightCol": weight} if weight else {})}
     used = df.filter(F.col(label).isNotNull()).select("features", label, *[c for c in (weight, split) if c])
     train = (used.filter(F.col(split) == "train") if split else used).persist()
     held = used.filter(F.col(split) == "validation").persist() if split else None
     try:
-        if held is None or held.isEmpty():
-            return tree_classifier(settings, rounds, seed, **columns).fit(train)
-        n = min(rounds, 3 * patience)
-        while True:
-            model = tree_classifier(settings, n, seed, **columns).fit(train)
-            keep, done = best_round(model.evaluateEachIteration(held), patience)
-            if done or n >= rounds:
-                return first_trees(model, keep)
-            n = min(rounds, 2 * n)
+        yield train, held
     finally:
         train.unpersist()
         if held is not None:
             held.unpersist()
 
 
+def _fit_parts(train, held, settings, rounds, label, weight, seed, patience) -> GBTClassificationModel:
+    columns = {"labelCol": label, **({"weightCol": weight} if weight else {})}
+    if held is None or held.isEmpty():
+        return tree_classifier(settings, rounds, seed, **columns).fit(train)
+    for n in dict.fromkeys((min(rounds, 3 * patience), rounds)):
+        model = tree_classifier(settings, n, seed, **columns).fit(train)
+        keep, done = best_round(model.evaluateEachIteration(held), patience)
+        if done:
+            break
+    return first_trees(model, keep)
+
+
 def fit_linear(df: DataFrame, label: str = "churn_label", weight: str | None = "weight", split: str | None = "split", iterations: int = 50) -> LogisticRegressionModel:
     """A logistic regression on the same columns; its contributions need no Python."""
     used = df.filter(F.col(split) == "train") if split else df
@@ -131,15 +142,15 @@ def draw_settings(n: int, seed: int = 42) -> list[dict[str, float]]:
 def tune_trees(df: DataFrame, settings: list[dict[str, float]], rounds: int = MAX_ROUNDS, label: str = "churn_label", weight: str | None = "weight", parallelism: int = 2, seed: int = 42) -> DataFrame:
     """TRN-4: fit each setting on the train rows and report its AUC on the validation rows, best first."""
     spark = df.sparkSession
-    held = df.filter(F.col("split") == "validation")
+    with _parts(df, label, weight, "split") as (train, held):
 
-    def run(item):
-        i, s = item
-        model = fit_trees(df, s, rounds, label, weight, "split", seed)
-        area = auc(predict(model, held, "p").withColumnRenamed(label, "y")).first()["auc"]
-        return (i, *[float(s[k]) for k in SETTING_RANGES], model.getNumTrees, area)
+        def run(item):
+            i, s = item
+            model = _fit_parts(train, held, s, rounds, label, weight, seed, PATIENCE)
+            area = auc(predict(model, held, "p").withColumnRenamed(label, "y")).first()["auc"]
+            return (i, *[float(s[k]) for k in SETTING_RANGES], model.getNumTrees, area)
 
-    with ThreadPool(parallelism) as pool:
-        rows = pool.map(run, list(enumerate(settings)))
+        with ThreadPool(parallelism) as pool:
+            rows = pool.map(run, list(enumerate(settings)))
     names = ", ".join(f"{k} double" for k in SETTING_RANGES)
     return small_table(spark, rows, f"trial bigint, {names}, trees bigint, auc double").orderBy(F.desc_nulls_last("auc"), "trial")

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from tenura.contract import CONTRACT, REQUIRED, ContractField, contract_table
 from tenura.functions import values as V
 
-# A field's error text lists its bad values up to this many; the table of bad values always has them all.
-LISTED_VALUES = 100
-
 
 def field_presence(tables: DataFrame, fields: list[ContractField] | None = None, table: str = "table_name") -> DataFrame:
     """VAL-2 for many tables: ``tables`` is ``(table, column_name)``, a null column standing for a table without any.
@@ -84,7 +81,8 @@ def validation_report(df: DataFrame, fields: list[ContractField] | None = None)
     """VAL-7 for one table: a row per contract field ``(pos, field, tier, present, n_bad, n_bad_values, error)``.
 
     A last row with field ``*`` holds the verdict in ``present``: false when a required field is missing or there are
-    no rows. Bad values are listed in full by ``bad_values``; the error text names them while they are few.
+    no rows. The error text counts the bad values and names the first in text order; ``bad_values`` lists
+    all of them, however many.
     """
     contract = fields or CONTRACT
     have = set(df.columns)
@@ -118,19 +116,17 @@ def validation_report(df: DataFrame, fields: list[ContractField] | None = None)
     )
     per_field = totals.select("n_rows", F.inline(F.array(*rows, verdict)))
     bad = bad_values(df, contract)
-    counts = bad.groupBy("field").agg(F.count("*").alias("n_bad_values"), F.sum("n").alias("n_value_bad"))
-    few = counts.filter(F.col("n_bad_values") <= LISTED_VALUES).select("field")
-    listed = bad.join(few, "field").groupBy("field").agg(F.array_sort(F.collect_list("value")).alias("listed"))
-    joined = per_field.join(counts, "field", "left").join(listed, "field", "left")
+    counts = bad.groupBy("field").agg(F.count("*").alias("n_bad_values"), F.sum("n").alias("n_value_bad"), F.min("value").alias("first"))
+    joined = per_field.join(counts, "field", "left")
     quoted = lambda a: F.array_join(F.transform(a, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", ")
-    shown = F.coalesce(F.concat(F.lit("{"), quoted(F.col("listed")), F.lit("}")), F.concat(F.col("n_bad_values"), F.lit(" distinct")))
     number_error = F.concat(
         F.lit("Field '"), F.col("field"), F.lit("': expected "), F.col("dtype"), F.lit(", but "),
         F.col("n_number_bad"), F.lit(" values cannot be converted to numeric"),
     )
     value_error = F.concat(
-        F.lit("Field '"), F.col("field"), F.lit("': found invalid values "), shown, F.lit(". Allowed: ["), quoted(F.col("allowed")), F.lit("]")
-    )
+        F.lit("Field '"), F.col("field"), F.lit("': found "), F.col("n_bad_values"), F.lit(" invalid values, the first of them '"), F.col("first"),
+        F.lit("'. Allowed: ["), quoted(F.col("allowed")), F.lit("]"),
+    )
     empty_error = F.when((F.col("field") == "*") & (F.col("n_rows") == 0), "DataFrame is empty (0 rows)")
     error = F.when(F.col("n_number_bad") > 0, number_error).when(F.col("n_bad_values") > 0, value_error).otherwise(empty_error)
     return joined.select(

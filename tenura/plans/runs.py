@@ -15,13 +15,13 @@ from tenura.operators import prompts as P
 from tenura.operators.cleaning import clean_rows, clean_table
 from tenura.operators.contributions import Leaf, tree_contributions, tree_leaves
 from tenura.operators.evaluation import evaluate, model_cards
-from tenura.operators.features import FeatureState, apply_features, feature_columns, fit_features
+from tenura.operators.features import FEW_VALUES, FeatureState, apply_features, feature_columns, fit_features
 from tenura.operators.mapping import apply_mapping
 from tenura.operators.scoring import deliverable, predict, risk_tier, top_factors
 from tenura.operators.splitting import positive_weight, stratified_split, with_weights
 from tenura.operators.training import DEFAULTS, MAX_ROUNDS, fit_trees
 from tenura.operators.validation import is_valid, validation_report
-from tenura.session import stage
+from tenura.session import kept_here, stage, staging
 from tenura.sources.catalog import Mapping as ClientMapping
 
 
@@ -61,21 +61,30 @@ def train_client(
     Features are learned on all rows by default, so that test rows share in fills and ranges; ``fit_on="train"`` learns
     them on the train rows alone.
     """
-    prepared = prepare(raw, mapping, order)
-    if not is_valid(prepared.table):
-        raise ValueError(f"{mapping.client_id}: a required field is missing or there are no rows")
-    split = stage(stratified_split(prepared.table, seed=seed), "split")
-    learn_from = split.filter(F.col("split") == "train") if fit_on == "train" else split
-    state = fit_features(learn_from)
-    weight = positive_weight(split, LABEL_FIELD).first()["weight"]
-    table = stage(with_weights(apply_features(split, state, vector="features"), weight), "training")
-    model = fit_trees(table, settings, rounds, seed=seed)
-    tested = predict(model, table.filter(F.col("split") == "test"), "p").withColumnRenamed(LABEL_FIELD, "y")
-    outcome = evaluate(tested).withColumns({"client_id": F.lit(mapping.client_id), "dataset_rows": F.lit(table.count())})
-    card = model_cards(outcome, state.names, {**DEFAULTS, **(settings or {}), "rounds": rounds, "scale_pos_weight": weight})
-    numeric = feature_columns(prepared.table)[0]
-    snapshot = D.training_snapshot(D.long_values(prepared.table, numeric))
-    return Trained(model, tree_leaves(model), state, outcome, card, snapshot, prepared)
+    with staging(raw.sparkSession) as spare:
+        prepared = prepare(raw, mapping, order)
+        if not is_valid(prepared.table):
+            raise ValueError(f"{mapping.client_id}: a required field is missing or there are no rows")
+        split = stratified_split(prepared.table, seed=seed)
+        learn_from = split.filter(F.col("split") == "train") if fit_on == "train" else split
+        state = fit_features(learn_from)
+        weight = positive_weight(split, LABEL_FIELD).first()["weight"]
+        table = stage(with_weights(apply_features(split, state, vector="features"), weight), "training")
+        model = fit_trees(table, settings, rounds, seed=seed)
+        tested = predict(model, table.filter(F.col("split") == "test"), "p").withColumnRenamed(LABEL_FIELD, "y")
+        outcome = evaluate(tested).withColumns({"client_id": F.lit(mapping.client_id), "dataset_rows": F.lit(table.count())})
+        outcome = kept_here(outcome)
+        card = model_cards(outcome, state.names, {**DEFAULTS, **(settings or {}), "rounds": rounds, "scale_pos_weight": weight})
+        numeric = feature_columns(prepared.table)[0]
+        snapshot = kept_here(D.training_snapshot(D.long_values(prepared.table, numeric)))
+        # What is returned holds for later runs: reports and short code lists as local tables, long lists as their copy.
+        if sum(r["n_classes"] or 0 for r in state.rows) <= FEW_VALUES:
+            state = state._replace(codes=kept_here(state.codes))
+        else:
+            spare(state.codes)
+        leaves = tree_leaves(model)
+        reports = Prepared(clean_rows(apply_mapping(raw, mapping), order=order), kept_here(prepared.cleaning), kept_here(prepared.validation))
+    return Trained(model, leaves, state, outcome, card, snapshot, reports)
 
 
 def score_batch(
@@ -97,7 +106,7 @@ def score_batch(
             top_factors(F.col("contributions"), names).alias("top"),
         )
         batched = stage(P.batches(told, [order, "customer_id"]), "batches")
-        answers = stage(P.ask(P.narrative_prompts(batched, definitions), call), "answers")
+        answers = P.ask(P.narrative_prompts(batched, definitions), call)
         scored = P.attach_narratives(batched, P.parse_narratives(answers))
     return deliverable(scored, names)
 

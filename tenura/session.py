@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,17 +39,24 @@ def get_session(master: str = "local[8]", app: str = "tenura", shuffle_partition
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset and all runs on this machine."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
         return root
     set_before = spark.sparkContext.getCheckpointDir()
     if set_before:
         return set_before
+    require_shared_folder(spark.sparkContext.master)
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tenura-"))
     return spark.sparkContext.getCheckpointDir()
 
 
+def require_shared_folder(master: str) -> None:
+    """Executors on other machines do not see a temporary folder of this one."""
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; the master is {master}")
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -69,14 +77,41 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 
 def clear_staged(spark: SparkSession) -> int:
     """Delete the copies this process has staged, once nothing reads them any more; returns how many."""
+    return _clear_down_to(spark, 0)
+
+
+def _clear_down_to(spark: SparkSession, mark: int) -> int:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    n = len(_STAGED)
-    while _STAGED:
+    n = len(_STAGED) - mark
+    while len(_STAGED) > mark:
         path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
         path.getFileSystem(conf).delete(path, True)
     return n
 
 
+@contextmanager
+def staging(spark: SparkSession):
+    """A scope whose staged copies are deleted at its end, also after an error; it gives a function that spares a table's copies.
+
+    What else leaves the scope must not read them.
+    """
+    mark = len(_STAGED)
+
+    def spare(df: DataFrame) -> None:
+        files = df.inputFiles()
+        _STAGED[mark:] = [p for p in _STAGED[mark:] if not any(p.split(":", 1)[-1].lstrip("/") in f for f in files)]
+
+    try:
+        yield spare
+    finally:
+        _clear_down_to(spark, mark)
+
+
+def kept_here(df: DataFrame) -> DataFrame:
+    """A small result (a report, a card, a few statistics) as a local table that reads no copy any more."""
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
+
+
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """Driver-side rows (a contract, a config, a few statistics) as a local table whose size the optimizer knows."""
     struct = T.StructType.fromDDL(schema)
@@ -84,15 +119,16 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
     return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(struct)), struct)
 
 
-# Largest lookup table, in rows, that may be sent whole to every executor.
+# Largest lookup table, in rows and in bytes of its cells as text, that may be sent whole to every executor.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when a bounded count proves the table small; otherwise leave the join to AQE.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast when rows and bytes, counted over a bounded part, prove the table small; otherwise leave it to AQE.
 
     The count runs the plan behind ``df``: for config tables and the like, not for results over the data.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    n, total = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if n <= max_rows and total <= max_bytes else df

@@ -89,7 +89,10 @@ def parse_configs(texts: DataFrame) -> DataFrame:
                     found += [("value", name, a, b, None) for a, b in pairs.items()]
                 for name, to in (doc.get("type_coercions") or {}).items():
                     found.append(("type", name, None, to, None))
-                rows += [(client, *f, None, status) for f in found]
+                for name, ends in (doc.get("numeric_bounds") or {}).items():
+                    found.append(("bound", name, ends[0], ends[1], None))
+                why = doc.get("reasoning") or {}
+                rows += [(client, *f, why.get(f[2]) if f[0] == "column" else None, status) for f in found]
             yield pd.DataFrame(rows, columns=names, dtype=object)
 
     return texts.select("path", "value").mapInPandas(parse, CATALOG_SCHEMA)
@@ -111,7 +114,7 @@ def config_texts(catalog: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for client, status, entries in zip(batch["client_id"], batch["status"], batch["entries"]):
-                about, columns, values, types, sure = "", {}, {}, {}, {}
+                about, columns, values, types, sure, bounds, why = "", {}, {}, {}, {}, {}, {}
                 for e in entries:
                     if e["kind"] == "description":
                         about = e["to_value"]
@@ -119,20 +122,24 @@ def config_texts(catalog: DataFrame) -> DataFrame:
                         columns[e["from_value"]] = e["to_value"]
                         if e["confidence"] is not None:
                             sure[e["from_value"]] = e["confidence"]
+                        if e["reasoning"] is not None:
+                            why[e["from_value"]] = e["reasoning"]
                     elif e["kind"] == "value":
                         values.setdefault(e["field"], {})[e["from_value"]] = e["to_value"]
                     elif e["kind"] == "type":
                         types[e["field"]] = e["to_value"]
+                    elif e["kind"] == "bound":
+                        bounds[e["field"]] = [e["from_value"], e["to_value"]]
                 doc = {"client_id": client}
-                sections = {"source_description": about, "column_mappings": columns, "confidence_scores": sure}
+                sections = {"source_description": about, "column_mappings": columns, "confidence_scores": sure, "reasoning": why}
                 if status == "draft":
                     doc["status"] = status
-                sections |= {"value_mappings": values, "type_coercions": types}
+                sections |= {"value_mappings": values, "type_coercions": types, "numeric_bounds": bounds}
                 doc |= {k: v for k, v in sections.items() if v}
                 rows.append((client, status, yaml.dump(doc, default_flow_style=False, sort_keys=False, allow_unicode=True)))
             yield pd.DataFrame(rows, columns=["client_id", "status", "value"])
 
-    entry = F.struct("kind", "field", "from_value", "to_value", "confidence")
+    entry = F.struct("kind", "field", "from_value", "to_value", "confidence", "reasoning")
     per_client = catalog.groupBy("client_id", "status").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     return per_client.mapInPandas(render, "client_id string, status string, value string")
 

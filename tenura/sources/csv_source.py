@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tenura.sources.paths import only_client_files
+
 # Text that a CSV cell may hold to say "nothing here"; empty cells count as well.
 NULL_TOKENS = [
     "N/A", "NA", "null", "NULL", "NaN", "nan", "None", "n/a", "<NA>", "#N/A", "#NA", "#N/A N/A",
@@ -25,16 +27,33 @@ def null_tokens(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return df.select(*cells)
 
 
-def read_client_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, order: str = "src_row") -> DataFrame:
+def read_client_csv(
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str] | None = None,
+    order: str = "src_row",
+    multi_line: bool = True,
+    prefix: str | None = None,
+) -> DataFrame:
     """SRC-1: every column as text, null tokens nulled, rows numbered in file order.
 
-    Spark hands out the splits of one file in offset order, so ``order`` rises along each file. With ``columns`` no
-    header has to be read on the driver.
+    Quotes are doubled inside quoted cells, and cells may hold line breaks; such files are read by one task each. A client whose
+    cells have no line breaks can set ``multi_line=False``, and large files are split. Columns go by the names in the header:
+    ``columns`` picks and orders them, and a name that is missing, or a second file with another header, is an error.
+    With ``prefix`` a file outside the client's folder fails the job (SRC-5).
+
+    ``order`` rises along a file, whose splits Spark hands out by offset. Which of several files comes first is Spark's choice, so
+    one table whose first rows matter should be one file.
     """
-    reader = spark.read.option("header", True).option("nullValue", "").option("emptyValue", "")
+    reader = spark.read.option("header", True).option("nullValue", "").option("emptyValue", "").option("escape", '"')
+    df = reader.option("enforceSchema", False).option("multiLine", multi_line).csv(path)
+    if columns and (missing := [c for c in columns if c not in df.columns]):
+        raise ValueError(f"{path} has no columns {missing}")
+    if prefix:
+        df = only_client_files(df, prefix)
     if columns:
-        reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
-    return null_tokens(reader.csv(path)).withColumn(order, F.monotonically_increasing_id())
+        df = df.select(*[F.col(f"`{c}`") for c in columns])
+    return null_tokens(df).withColumn(order, F.monotonically_increasing_id())
 
 
 def sample_rows(raw: DataFrame, n: int = 5, order: str = "src_row", client: str = "client_id") -> DataFrame:
@@ -61,7 +80,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("client
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "error") -> None:
-    """SNK-3 and the CSV form of SNK-1; blanks at the ends of a cell are kept."""
-    writer = df.write.mode(mode).option("header", True)
+    """SNK-3 and the CSV form of SNK-1; blanks at the ends of a cell are kept, quotes inside a cell are doubled."""
+    writer = df.write.mode(mode).option("header", True).option("escape", '"')
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.partitionBy(*partition_by).csv(path)

@@ -164,20 +164,35 @@ def test_reasons(spark):
 # --- drift -----------------------------------------------------------------------------------------------------
 
 
-def psi_by_hand(ref, cur, bins=10):
-    edges = np.linspace(min(ref), max(ref), bins + 1)
-    edges[0], edges[-1] = -np.inf, np.inf
-    r, c = (np.maximum(np.histogram(v, edges)[0] / len(v), 1e-6) for v in (ref, cur))
-    return float(np.sum((c - r) * np.log(c / r)))
+def spread(counts, start=0.0):
+    """Values in the middle of bins of width one, so many in each bin."""
+    return [start + i + 0.5 for i, n in enumerate(counts) for _ in range(n)]
+
+
+# Worked out on paper: shares of ten bins from 0 to 10, a share of none counted as 0.000001, and the sum of (b - a) ln(b / a).
+EVEN = [10] * 10
+PAIRS = {
+    "same": (EVEN, EVEN, 0.0),
+    # one bin 0.10 to 0.20, one 0.10 to 0.00: 0.1 ln 2 + 0.099999 ln 100000
+    "moved": (EVEN, [20, 0, 10, 10, 10, 10, 10, 10, 10, 10], 0.1 * 0.6931471805599453 + 0.099999 * 11.512925464970229),
+    # half of the bins 0.10 to 0.15, half 0.10 to 0.05: 5 (0.05 ln 1.5 + 0.05 ln 2)
+    "tilted": (EVEN, [15] * 5 + [5] * 5, 0.25 * 0.4054651081081644 + 0.25 * 0.6931471805599453),
+}
 
 
 def test_psi(spark):
-    """Property 10 and shifted pairs, too few values, an absent feature, constants."""
-    rng = np.random.default_rng(6)
-    ref = {f: rng.normal(0, 1, 300) for f in ("same", "tenth", "five", "ten", "few", "gone")}
-    cur = {"same": ref["same"], "tenth": rng.normal(0.1, 1, 200), "five": rng.normal(5, 1, 200), "ten": rng.normal(10, 1, 200), "few": ref["few"][:9]}
-    ref |= {"flat": np.full(20, 7.0), "flat moved": np.full(20, 7.0)}
-    cur |= {"flat": np.full(15, 7.0), "flat moved": np.arange(15.0), "new": np.arange(50.0)}
+    """Pairs worked out by hand, too few values, an absent feature, constants, nulls and NaN."""
+    ends = [0.0, 10.0]  # both sides span the same range; the two end values lie in the outer bins
+    ref = {f: spread(a) for f, (a, _, _) in PAIRS.items()}
+    cur = {f: spread(b) for f, (_, b, _) in PAIRS.items()}
+    for f in PAIRS:
+        for side in (ref, cur):
+            side[f][side[f].index(min(side[f]))] = ends[0]
+        ref[f][-1] = ends[1]
+        if 9.5 in cur[f]:
+            cur[f][-1] = ends[1]
+    ref |= {"few": spread(EVEN), "gone": spread(EVEN), "flat": [7.0] * 20, "flat moved": [7.0] * 20}
+    cur |= {"few": spread(EVEN)[:9], "flat": [7.0] * 15, "flat moved": [float(i) for i in range(15)], "new": spread(EVEN)}
 
     def rows(side):
         return [(f, float(v)) for f, values in side.items() for v in values] + [("same", None), ("same", float("nan"))]
@@ -185,12 +200,12 @@ def test_psi(spark):
     snapshot = D.training_snapshot(small_table(spark, rows(ref), "feature string, value double"))
     scores = D.psi_scores(snapshot, small_table(spark, rows(cur), "feature string, value double"))
     got = {r["feature"]: r["psi"] for r in scores.collect()}
-    assert set(got) == {"same", "tenth", "five", "ten", "flat", "flat moved"}
-    assert abs(got["same"]) < 1e-10 and got["flat"] == 0.0 and got["flat moved"] == 0.25
-    for f in ("tenth", "five", "ten"):
-        assert got[f] == pytest.approx(psi_by_hand(ref[f], cur[f]), rel=1e-9)
+    assert set(got) == {"same", "moved", "tilted", "flat", "flat moved"}
+    assert got["flat"] == 0.0 and got["flat moved"] == 0.25
+    for f, (_, _, psi) in PAIRS.items():
+        assert got[f] == pytest.approx(psi, abs=1e-9)
     report = D.drift_report(scores, "2024-02-01").first()
-    assert report["features_checked"] == 6 and report["features_drifted"] == ["five", "flat moved", "ten"] and report["alert_triggered"]
+    assert report["features_checked"] == 5 and report["features_drifted"] == ["flat moved", "moved", "tilted"] and report["alert_triggered"]
     empty = D.drift_report(scores.filter("psi < -1"), "2024-02-01").first()
     assert (empty["features_checked"], empty["features_drifted"], empty["alert_triggered"]) == (0, [], False)
 
@@ -209,6 +224,42 @@ def trained(spark, sf):
     return runs.train_client(X.churn_raw(spark, sf), X.RETAIL, settings={"max_depth": 3}, rounds=3, fit_on="train")
 
 
+def test_training_leaves_no_copies(spark, sf):
+    from tenura.session import _STAGED, staging
+
+    with staging(spark):
+        raw = X.churn_raw(spark, sf)
+        before = len(_STAGED)
+        done = runs.train_client(raw, X.RETAIL, settings={"max_depth": 2}, rounds=2)
+        assert len(_STAGED) == before
+        assert done.card.count() == 1 and done.prepared.validation.count() > 0 and done.state.codes.count() > 0
+
+
+def test_contributions_of_deep_leaves():
+    """Ten features in one leaf, against the sum over all subsets."""
+    from itertools import combinations
+    from math import factorial
+
+    from tenura.operators.contributions import leaf_contributions
+
+    rng = np.random.default_rng(4)
+    share, m = rng.uniform(0.05, 0.95, 10), 10
+    codes = np.array([0, 1, 37, 1023])
+    got = leaf_contributions(codes, share.tolist(), 2.5)
+    for row, code in enumerate(codes):
+        met = np.array([(code >> k) & 1 for k in range(m)])
+
+        def known(s):
+            return np.prod([met[k] if k in s else share[k] for k in range(m)])
+
+        for j in (0, 4):
+            rest = [k for k in range(m) if k != j]
+            total = sum(
+                factorial(n) * factorial(m - n - 1) / factorial(m) * (known({*s, j}) - known(set(s))) for n in range(m) for s in combinations(rest, n)
+            )
+            assert got[row, j] == pytest.approx(2.5 * total, abs=1e-12)
+
+
 def test_onboarding(spark, trained):
     card = trained.card.first()
     assert card["client_id"] == "retail" and card["dataset_rows"] == 150 and card["feature_count"] == 9

@@ -89,7 +89,7 @@ def test_csv_keeps_order_and_nulls_tokens(spark, tmp_path):
     (tmp_path / "big.csv").write_text(text)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
-        df = IO.read_client_csv(spark, str(tmp_path / "big.csv"))
+        df = IO.read_client_csv(spark, str(tmp_path / "big.csv"), multi_line=False)
         assert df.rdd.getNumPartitions() > 3
         rows = df.orderBy("src_row").collect()
     finally:
@@ -98,6 +98,40 @@ def test_csv_keeps_order_and_nulls_tokens(spark, tmp_path):
     assert [r["b"] for r in rows[:6]] == ["x", None, None, " ", None, "na"]
 
 
+QUOTED = 'id,"a ""name""",x\n1,"he said ""hi"", bye",2\n2,"two\nlines","\\"\n3,,"N/A"\n'
+
+
+def test_csv_cells_with_quotes_commas_and_line_breaks(spark, tmp_path):
+    (tmp_path / "q.csv").write_text(QUOTED)
+    rows = IO.read_client_csv(spark, str(tmp_path / "q.csv"), ["x", "id", 'a "name"']).orderBy("src_row").collect()
+    assert [tuple(r)[:3] for r in rows] == [("2", "1", 'he said "hi", bye'), ("\\", "2", "two\nlines"), (None, "3", None)]
+    with pytest.raises(ValueError, match="no columns"):
+        IO.read_client_csv(spark, str(tmp_path / "q.csv"), ["id", "gone"])
+    (tmp_path / "two").mkdir()
+    (tmp_path / "two/a.csv").write_text("id,x\n1,2\n")
+    (tmp_path / "two/b.csv").write_text("x,id\n4,3\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        IO.read_client_csv(spark, str(tmp_path / "two")).collect()
+
+
+def test_written_csv_is_read_by_others(spark, tmp_path):
+    import csv
+
+    cells = [("a", 'said "x", left'), ("b", "two\nlines"), ("c", " blank "), ("d", "back\\slash")]
+    IO.write_csv(small_table(spark, cells, "id string, note string").coalesce(1), str(tmp_path / "out"))
+    (file,) = (tmp_path / "out").glob("*.csv")
+    with file.open(newline="") as f:
+        assert [tuple(r) for r in csv.reader(f)] == [("id", "note"), *cells]
+
+
+def test_reads_take_the_prefix_of_the_client(spark, tmp_path):
+    (tmp_path / "acme2").mkdir()
+    (tmp_path / "acme2/d.csv").write_text("id\n1\n")
+    assert IO.read_client_csv(spark, str(tmp_path / "acme2/d.csv"), prefix=f"file://{tmp_path}/acme2").count() == 1
+    with pytest.raises(Exception, match="file of another client"):
+        IO.read_client_csv(spark, str(tmp_path / "acme2/d.csv"), prefix=f"file://{tmp_path}/acme").collect()
+
+
 def test_samples_keep_n_rows_per_task_before_the_shuffle(spark):
     raw = spark.range(1000).select(F.when(F.col("id") < 990, "c").otherwise("d").alias("client_id"), F.col("id").alias("src_row"), F.create_map(F.lit("k"), F.col("id").cast("string")).alias("raw"))
     out = IO.sample_rows(raw, 5)
@@ -133,36 +167,65 @@ def test_bad_types_and_empty_tables(spark):
     assert report["tenure_months"]["error"] == "Field 'tenure_months': expected int, but 3 values cannot be converted to numeric"
     assert report["total_charges"]["n_bad"] == 1 and report["monthly_charges"]["error"] is None
     assert report["contract_type"]["error"] == (
-        "Field 'contract_type': found invalid values {'invalid_contract'}. Allowed: ['month-to-month', 'one_year', 'two_year']"
+        "Field 'contract_type': found 1 invalid values, the first of them 'invalid_contract'. Allowed: ['month-to-month', 'one_year', 'two_year']"
     )
     empty = {r["field"]: r for r in VA.validation_report(df.filter("false")).collect()}
     assert not any(r["present"] for r in empty.values()) and empty["*"]["error"] == "DataFrame is empty (0 rows)"
     assert not VA.is_valid(df.filter("false")) and not VA.is_valid(df.drop("churn_label")) and VA.is_valid(df)
 
 
-def test_many_bad_values_stay_out_of_the_message_but_not_out_of_the_table(spark):
-    df = spark.range(1000).select(F.lit("c").alias("customer_id"), F.concat(F.lit("odd"), "id").alias("contract_type"))
+@pytest.mark.parametrize("n", [100, 101, 1000])
+def test_bad_values_are_told_alike_however_many(spark, n):
+    df = spark.range(n).select(F.lit("c").alias("customer_id"), F.concat(F.lit("odd"), "id").alias("contract_type"))
     report = {r["field"]: r for r in VA.validation_report(df).collect()}["contract_type"]
-    assert report["n_bad_values"] == 1000 and "1000 distinct" in report["error"]
-    assert VA.bad_values(df).count() == 1000
+    assert report["n_bad_values"] == n and f"found {n} invalid values, the first of them 'odd0'" in report["error"]
+    assert VA.bad_values(df).count() == n
+
+
+@pytest.mark.parametrize("n", [3, 250])
+def test_value_keys_that_are_one_text_do_not_double_rows(spark, n):
+    df = small_table(spark, [("1",), ("2",)], "v string")
+    pairs = {**{k + 10: "x" for k in range(n)}, 1: "first", "1": "last"}
+    assert sorted(r.v for r in M.map_values(df, {"v": pairs}).collect()) == ["2", "last"]
+
+
+def test_clients_with_equal_ids_keep_their_rows(spark):
+    df = small_table(spark, [("a", "7", 0), ("b", "7", 1), ("a", "7", 2)], "client_id string, customer_id string, src_row bigint")
+    assert sorted((r.client_id, r.src_row) for r in K.remove_repeats(df).collect()) == [("a", 0), ("b", 1)]
+    assert K.counted_repeats(df).count() == 2 and K.repeat_counts(df).first()["rows_after"] == 2
 
 
 # --- catalog-driven mapping ------------------------------------------------------------------------------------
 
 
-def test_drafts_are_not_used_and_own_bounds_apply(spark):
+def test_only_usable_mappings_are_applied(spark):
+    """Drafts are not used, a client's own bounds apply, raw columns with a field's name need no entry."""
+    def entry(client, kind, field, old, new, status="approved"):
+        return (client, kind, field, old, new, None, None, status)
+
     rows = [
-        ("a", "column", "monthly_charges", "Fee", "monthly_charges", None, None, "approved"),
-        ("a", "column", "gender", "Sex", "gender", None, None, "draft"),
-        ("a", "bound", "monthly_charges", "0", "900", None, None, "approved"),
-        ("b", "column", "monthly_charges", "Fee", "monthly_charges", None, None, "approved"),
-        ("c", "column", "monthly_charges", "Fee", "monthly_charges", None, None, "draft"),
-    ]
+        entry("a", "column", "monthly_charges", "Fee", "monthly_charges"), entry("a", "column", "gender", "Sex", "gender", "draft"),
+        entry("a", "bound", "monthly_charges", "0", "900"), entry("b", "column", "monthly_charges", "Fee", "monthly_charges"),
+        entry("b", "column", "partner_status", "gender", "partner_status"), entry("c", "column", "monthly_charges", "Fee", "monthly_charges", "draft"),
+        entry("d", "column", "gender", "Sex", "gender"), entry("d", "column", "gender", "Fee", "gender"),
+        entry("e", "value", "gender", "M", "Male"), entry("e", "value", "gender", "M", "Man"),
+    ]
     catalog = small_table(spark, rows, C.CATALOG_SCHEMA)
-    raw = small_table(spark, [(c, 0, {"Fee": "800", "Sex": "M"}) for c in "abc"], "client_id string, src_row bigint, raw map<string,string>")
-    mapped = M.apply_catalog(raw, catalog)
+    raw = small_table(spark, [(c, 0, {"Fee": "800", "Sex": "M", "gender": "F"}) for c in "abcdef"], "client_id string, src_row bigint, raw map<string,string>")
+    mapped = M.apply_catalog(raw, catalog, leave_out=True)
     out = K.cap_numbers(K.with_client_bounds(K.parse_numbers(mapped), catalog))
-    assert {r["client_id"]: (r["monthly_charges"], r["gender"]) for r in out.collect()} == {"a": (800.0, None), "b": (500.0, None)}
+    assert {r["client_id"]: (r["monthly_charges"], r["gender"], r["partner_status"]) for r in out.collect()} == {"a": (800.0, "F", None), "b": (500.0, None, "F")}
+    reasons = {r["client_id"]: (r["n_rows"], r["reason"]) for r in M.rejected_clients(raw, catalog).collect()}
+    assert reasons == {"c": (1, "no approved mapping"), "d": (1, "two columns become gender"), "e": (1, "a value of gender has two targets"), "f": (1, "no approved mapping")}
+    with pytest.raises(Exception, match="no usable mapping for client"):
+        M.apply_catalog(raw, catalog).collect()
+
+
+def test_bounds_and_reasoning_survive_config_files(spark):
+    rows = [("a", "column", "gender", "Sex", "gender", "high", "it says so", "approved"), ("a", "bound", "monthly_charges", "0", "900", None, None, "approved")]
+    catalog = small_table(spark, rows, C.CATALOG_SCHEMA)
+    back = C.parse_configs(C.config_texts(catalog).select(F.lit("a.yaml").alias("path"), "value"))
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(rows, key=repr)
 
 
 # --- prompts and responses -------------------------------------------------------------------------------------
@@ -187,35 +250,37 @@ def test_prompts_hold_everything(spark, small):
     assert P.prompt_head() in P.narrative_prompts(P.batches(scored(spark, 1), ["src_row"])).first()["prompt"]
 
 
-def narratives_by_hand(text):
-    out, current, lines = {}, None, []
-    for line in (raw.strip() for raw in text.split("\n")):
-        if line.startswith("CUSTOMER_ID:"):
-            current, lines = line.replace("CUSTOMER_ID:", "").strip(), []
-            out[current] = ""
-        elif current is not None:
-            said = line.replace("NARRATIVE:", "").strip() if line.startswith("NARRATIVE:") else line
-            lines += [said] if said else []
-            out[current] = " ".join(lines)
-    return out
-
-
-RESPONSES = [
-    "CUSTOMER_ID: A\nNARRATIVE: One line.\n\nCUSTOMER_ID: B\nNARRATIVE: Low risk. Long tenure.",
-    "CUSTOMER_ID: A\nNARRATIVE: First.\nSecond line.\r\n   Third.  ",
-    "",
-    "Hello\nNARRATIVE: lost\nCUSTOMER_ID: A\nCUSTOMER_ID: B\nNARRATIVE:\nonly this",
-    "CUSTOMER_ID: A\nNARRATIVE: old\nCUSTOMER_ID: A\nNARRATIVE: new",
-    "  CUSTOMER_ID:  A CUSTOMER_ID: x \n\n NARRATIVE: says NARRATIVE: twice\nabout CUSTOMER_ID: B inside",
+TOLD = [
+    ("CUSTOMER_ID: north\nNARRATIVE: Pays late.\n\nCUSTOMER_ID: south\nNARRATIVE: Stays. Pays on time.", {"north": "Pays late.", "south": "Stays. Pays on time."}),
+    ("CUSTOMER_ID: north\nNARRATIVE: Begins here.\nGoes on.\r\n   Ends.  ", {"north": "Begins here. Goes on. Ends."}),
+    ("", {}),
+    ("Dear team\nNARRATIVE: of nobody\nCUSTOMER_ID: north\nCUSTOMER_ID: south\nNARRATIVE:\nbelow the mark", {"north": "", "south": "below the mark"}),
+    ("CUSTOMER_ID: north\nNARRATIVE: before\nCUSTOMER_ID: north\nNARRATIVE: after", {"north": "after"}),
+    ("  CUSTOMER_ID:  north CUSTOMER_ID: x \n\n NARRATIVE: marks NARRATIVE: once\nand CUSTOMER_ID: south within", {"north  x": "marks  once and CUSTOMER_ID: south within"}),
 ]
 
 
 def test_narrative_responses(spark):
-    df = small_table(spark, [*enumerate(RESPONSES), (99, None)], "batch_id bigint, response string")
+    df = small_table(spark, [*enumerate(text for text, _ in TOLD), (99, None)], "batch_id bigint, response string")
     got = {}
     for r in P.parse_narratives(df).collect():
         got.setdefault(r["batch_id"], {})[r["customer_id"]] = r["narrative"]
-    assert got == {i: n for i, text in enumerate(RESPONSES) if (n := narratives_by_hand(text))}
+    assert got == {i: said for i, (_, said) in enumerate(TOLD) if said}
+
+
+def test_calls_are_spread_and_made_once(spark, tmp_path):
+    def call(prompt):
+        import uuid
+
+        from pyspark import TaskContext
+
+        (tmp_path / uuid.uuid4().hex).write_text(prompt)
+        return str(TaskContext.get().partitionId())
+
+    prompts = small_table(spark, [(i, f"p{i}") for i in range(40)], "batch_id bigint, prompt string")
+    answers = P.ask(prompts, call, threads=1)
+    assert answers.count() == 40 and answers.count() == 40
+    assert len({r.response for r in answers.collect()}) > 1 and len(list(tmp_path.iterdir())) == 40
 
 
 def test_failures_stay_in_their_batch(spark):
@@ -239,7 +304,7 @@ ANSWERS = {
     "fenced": ('```\n[{"source_column": "t", "target_field": "tenure_months"}]\n``` bye', [("t", "tenure_months", "medium", "")]),
     "null target": ('[{"source_column": "x", "target_field": null}, {"target_field": null}]', []),
     "no source": ('[{"source_column": "x", "target_field": "gender"}, {"target_field": "gender"}]', []),
-    "text": ("This is not JSON at all!", []),
+    "text": ("no brackets here", []),
     "object": ('{"source_column": "x", "target_field": "gender"}', []),
     "strings": ('["x"]', []),
     "cut off": ('[{"source_column": "x", "target_field": "gen', []),
@@ -278,3 +343,13 @@ def test_staged_copies_live_in_the_shared_folder_and_can_be_cleared(spark):
     staged = stage(spark.range(5))
     assert staged.count() == 5 and shared_folder(spark) in staged.inputFiles()[0]
     assert clear_staged(spark) > 0 and clear_staged(spark) == 0
+
+
+def test_a_shared_folder_is_asked_for_outside_one_machine():
+    from tenura.session import require_shared_folder
+
+    for master in ("local", "local[4]", "local[*]"):
+        require_shared_folder(master)
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,3000]", "k8s://x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            require_shared_folder(master)
