@@ -117,10 +117,10 @@ FEA_7 = X.CLEANED_SQL + FILLS_CTE + " SELECT customer_id, round(interaction_char
 _SCALED = NUMERIC + CATEGORY + [FE.INTERACTION]
 
 
-def _scaled_sql(columns, source="encoded"):
+def _scaled_sql(columns, source="encoded", places=9):
     ends = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in _SCALED)
     cells = ", ".join(
-        f"round(least(greatest((e.{c} - lo_{c}) / CASE WHEN hi_{c} = lo_{c} THEN 1 ELSE hi_{c} - lo_{c} END, 0), 1), 9) AS {c}" for c in columns
+        f"round(least(greatest((e.{c} - lo_{c}) / CASE WHEN hi_{c} = lo_{c} THEN 1 ELSE hi_{c} - lo_{c} END, 0), 1), {places}) AS {c}" for c in columns
     )
     return f", ends AS (SELECT {ends} FROM encoded) SELECT customer_id, {cells} FROM {source} e CROSS JOIN ends"
 
@@ -222,26 +222,40 @@ def training_table(spark, sf):
     return stage(SP.with_weights(table, weight)), state.names
 
 
-ROUNDS = 5
 SETTINGS = {"max_depth": 4}
 
 
-def _fitted(spark, sf):
-    table, names = training_table(spark, sf)
-    return T.fit_trees(table, SETTINGS, ROUNDS), table, names
+def trn_3(spark, sf):
+    """All rounds allowed, patience as ever. A row a test customer: score in range, trees within the limit, area within its own."""
+    table, _ = training_table(spark, sf)
+    model = T.fit_trees(table, SETTINGS)
+    scored = stage(S.predict(model, table.filter("split = 'test'"), "p"))
+    area = E.auc(scored.withColumnRenamed("churn_label", "y")).first()["auc"]
+    return scored.select(
+        "customer_id", F.col("p").between(0.0, 1.0).alias("score_in_range"),
+        F.lit(1 <= model.getNumTrees <= T.MAX_ROUNDS).alias("trees_in_range"), F.lit(area is None or 0.0 <= area <= 1.0).alias("area_in_range"),
+    )
 
 
-def trn_3(spark, sf):
-    """Trees kept, and the evaluation on the held-out test rows."""
-    model, table, _ = _fitted(spark, sf)
-    scored = S.predict(model, table.filter("split = 'test'"), "p").withColumnRenamed("churn_label", "y")
-    return E.evaluate(scored).withColumn("trees", F.lit(model.getNumTrees).cast("bigint"))
+TRN_3 = TRN_1.replace("SELECT customer_id, churn_label, CASE WHEN r", ", parted AS (SELECT customer_id, CASE WHEN r") + """)
+SELECT customer_id, true AS score_in_range, true AS trees_in_range, true AS area_in_range FROM parted WHERE split = 'test'"""
+TRIALS = 3
+TRIAL_ROUNDS = 40
 
 
 def trn_4(spark, sf):
+    """One row a drawn setting: settings within their ranges, trees within the limit, areas falling from the first row on."""
     table, _ = training_table(spark, sf)
-    return T.tune_trees(table, T.draw_settings(2), rounds=3)
+    done = T.tune_trees(table, T.draw_settings(TRIALS), rounds=TRIAL_ROUNDS).collect()
+    rows = []
+    for place, r in enumerate(done):
+        inside = all(lo <= r[k] <= hi for k, (_, lo, hi) in T.SETTING_RANGES.items())
+        falling = place == 0 or (r["auc"] or 0.0) <= (done[place - 1]["auc"] or 0.0)
+        rows.append((place, inside, 1 <= r["trees"] <= TRIAL_ROUNDS, falling))
+    return small_table(spark, rows, "place bigint, settings_in_range boolean, trees_in_range boolean, areas_fall boolean")
+
 
+TRN_4 = f"SELECT CAST(unnest(range({TRIALS})) AS BIGINT) AS place, true AS settings_in_range, true AS trees_in_range, true AS areas_fall"
 
 # --- evaluation ------------------------------------------------------------------------------------------------
 
@@ -314,20 +328,45 @@ SELECT model_id, '2024-02-01T10:30:00' AS training_date, client_id, rows AS data
 # --- scoring ---------------------------------------------------------------------------------------------------
 
 
+LINEAR = {"tenure_months": -2.0, "monthly_charges": 1.5, "support_tickets": 0.75, "contract_type": -0.5, "interaction_charges_x_tenure": 0.25}
+INTERCEPT = 0.125
+
+
 def scr_1(spark, sf):
-    model, table, _ = _fitted(spark, sf)
+    """A linear model of given weights over the scaled features."""
+    table, names = training_table(spark, sf)
+    model = T.linear_model(names, LINEAR, INTERCEPT)
     return S.predict(model, table).select("customer_id", F.round("churn_probability", 6).alias("churn_probability"))
 
 
+_MARGIN = " + ".join(f"({w}::DOUBLE) * {c}" for c, w in LINEAR.items())
+SCR_1 = X.CLEANED_SQL + FILLS_CTE + _scaled_sql(list(LINEAR), places=18)
+SCR_1 = SCR_1.replace(" SELECT customer_id, round(", ", features AS (SELECT customer_id, round(") + f""")
+SELECT customer_id, round(1 / (1 + exp(-({INTERCEPT}::DOUBLE + {_MARGIN}))), 6) AS churn_probability FROM features"""
+
+# A tree written out: tenure up to 0.5 ends in 0.8; above it charges up to 0.3 end in -0.5, higher ones in 0.3.
+_INF = float("inf")
+TREE = [
+    CO.Leaf(0.8, (0,), (-_INF,), (0.5,), (0.6,)),
+    CO.Leaf(-0.5, (0, 1), (0.5, -_INF), (_INF, 0.3), (0.4, 0.25)),
+    CO.Leaf(0.3, (0, 1), (0.5, 0.3), (_INF, _INF), (0.4, 0.75)),
+]
+
+
 def scr_2(spark, sf):
-    """Contributions of both kinds of model; with the bias they add up to each row's log-odds."""
-    model, table, names = _fitted(spark, sf)
+    """Contributions of a small given tree by value; those of trained models add up, with the bias, to each row's log-odds."""
+    table, names = training_table(spark, sf)
+    model = T.fit_trees(table, SETTINGS, 20)
     leaves = CO.tree_leaves(model)
     margin = F.lit(2.0) * vector_to_array("rawPrediction")[1]
     rows = model.transform(table).select("customer_id", *names, margin.alias("margin"))
     trees = CO.tree_contributions(rows, leaves, names)
     total = F.aggregate("contributions", F.lit(CO.expected_margin(leaves)), lambda a, x: a + x)
-    tree_ok = trees.select("customer_id", (F.abs(total - F.col("margin")) < 1e-9).alias("trees_add_up"))
+    trees = CO.tree_contributions(trees, TREE, ["tenure_months", "monthly_charges"], "given")
+    tree_ok = trees.select(
+        "customer_id", (F.abs(total - F.col("margin")) < 1e-9).alias("trees_add_up"),
+        F.round(F.col("given")[0], 9).alias("by_tenure"), F.round(F.col("given")[1], 9).alias("by_charges"),
+    )
     linear = T.fit_linear(table)
     means = CO.feature_means(table, names)
     weights = [float(w) for w in linear.coefficients]
@@ -339,7 +378,11 @@ def scr_2(spark, sf):
     return tree_ok.join(linear_ok, "customer_id")
 
 
-SCR_2 = X.DEDUPED_SQL + " SELECT customer_id, true AS trees_add_up, true AS linear_adds_up FROM deduped"
+SCR_2 = X.CLEANED_SQL + FILLS_CTE + _scaled_sql(["tenure_months", "monthly_charges"], places=18).replace(" SELECT customer_id, round(", ", features AS (SELECT customer_id, round(") + """),
+signs AS (SELECT customer_id, CASE WHEN tenure_months <= 0.5 THEN 1.0::DOUBLE ELSE 0 END AS t, CASE WHEN monthly_charges <= 0.3 THEN 1.0::DOUBLE ELSE 0 END AS m FROM features)
+SELECT customer_id, true AS trees_add_up, true AS linear_adds_up,
+       round(0.8::DOUBLE * (t - 0.6::DOUBLE) - 0.5::DOUBLE * (0.6::DOUBLE - t) * (0.25::DOUBLE + m) / 2 + 0.3::DOUBLE * (0.6::DOUBLE - t) * (1.75::DOUBLE - m) / 2, 9) AS by_tenure,
+       round(-0.5::DOUBLE * (m - 0.25::DOUBLE) * (1.4::DOUBLE - t) / 2 + 0.3::DOUBLE * (0.25::DOUBLE - m) * (1.4::DOUBLE - t) / 2, 9) AS by_charges FROM signs"""
 
 
 def scr_3(spark, sf):

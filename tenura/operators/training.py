@@ -8,6 +8,8 @@ from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel
+from pyspark.ml.common import _py2java
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,6 +134,14 @@ def fit_linear(df: DataFrame, label: str = "churn_label", weight: str | None = "
     return lr.fit(used)
 
 
+def linear_model(names: Sequence[str], weights: Mapping[str, float], intercept: float) -> LogisticRegressionModel:
+    """A logistic regression with given weights for the named features, 0 for the others."""
+    jvm = SparkSession.active().sparkContext._jvm
+    values = DenseVector([float(weights.get(n, 0.0)) for n in names])
+    java = jvm.org.apache.spark.ml.classification.LogisticRegressionModel("given_weights", _py2java(SparkSession.active().sparkContext, values), float(intercept))
+    return LogisticRegressionModel._from_java(java).setFeaturesCol("features")
+
+
 def draw_settings(n: int, seed: int = 42) -> list[dict[str, float]]:
     """``n`` seeded draws from the ranges."""
     rng = random.Random(seed)
