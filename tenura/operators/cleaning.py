@@ -80,15 +80,16 @@ def repeat_counts(df: DataFrame, keys: Sequence[str] | None = None, order: str =
     return repeat_totals(kept)
 
 
-def repeat_totals(kept: DataFrame) -> DataFrame:
-    """CLN-3 from kept rows that carry ``_rows`` and ``_distinct``."""
-    total = kept.agg(
+def repeat_totals(kept: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    """CLN-3 from kept rows that carry ``_rows`` and ``_distinct``, in all or per group."""
+    total = kept.groupBy(*group).agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows_before"),
         F.coalesce(F.sum("_distinct"), F.lit(0)).alias("rows_distinct"),
         F.count("*").alias("rows_after"),
     )
     gone = F.col("rows_before") - F.col("rows_after")
     return total.select(
+        *group,
         "rows_before",
         (F.col("rows_before") - F.col("rows_distinct")).alias("exact_repeats"),
         (F.col("rows_distinct") - F.col("rows_after")).alias("id_repeats"),
@@ -272,8 +273,10 @@ def _python_list(items: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(items, V.quoted), ", "), F.lit("]"))
 
 
-def cleaning_report(repeats: DataFrame | None, issues: DataFrame, n_columns: int, max_garbage: float = 0.50, bounds: Bounds | None = None) -> DataFrame:
-    """CLN-12, CLN-13: the whole report as ``(section, column, item, n, pct, message)``.
+def cleaning_report(
+    repeats: DataFrame | None, issues: DataFrame, n_columns: int, max_garbage: float = 0.50, bounds: Bounds | None = None, group: Sequence[str] = ()
+) -> DataFrame:
+    """CLN-12, CLN-13: the whole report as ``(section, column, item, n, pct, message)``, led by the columns of ``group``.
 
     Sections ``repeats``, ``garbage``, ``capped``, ``changed``, ``nulls`` and ``total_nulls``. ``message`` holds the
     warning, where there is one.
@@ -284,7 +287,7 @@ def cleaning_report(repeats: DataFrame | None, issues: DataFrame, n_columns: int
     def rows(df: DataFrame, section: str, column="column", item=none_text, pct=none_pct, message=none_text) -> DataFrame:
         column = F.col(column) if isinstance(column, str) else column
         return df.select(
-            F.lit(section).alias("section"), column.alias("column"), item.alias("item"), F.col("n"), pct.alias("pct"), message.alias("message")
+            *group, F.lit(section).alias("section"), column.alias("column"), item.alias("item"), F.col("n"), pct.alias("pct"), message.alias("message")
         )
 
     parts = []
@@ -297,7 +300,7 @@ def cleaning_report(repeats: DataFrame | None, issues: DataFrame, n_columns: int
             F.lit(" ("), V.fixed_text(V.percent(F.col("n"), F.col("rows_before")), 1), F.lit("% of dataset)."),
         )
         parts.append(rows(r, "repeats", F.lit("").alias("column"), pct=F.col("pct_of_rows"), message=text))
-    g = garbage_profile(issues, max_garbage)
+    g = garbage_profile(issues, max_garbage, group=group)
     shown, pct_text = _python_list(F.slice("examples", 1, 3)), V.fixed_text(F.col("pct"), 1)
     loud = F.concat(
         F.lit("CRITICAL: Column '"), F.col("column"), F.lit("' has "), pct_text, F.lit("% garbage values (examples: "), shown,
@@ -311,10 +314,10 @@ def cleaning_report(repeats: DataFrame | None, issues: DataFrame, n_columns: int
     parts.append(rows(g, "garbage", item=F.array_join("examples", " | "), pct=F.col("pct"), message=message))
     span = {c: f"[{_plain(lo)}, {_plain(hi)}]" for c, (lo, hi) in bounds.items()}
     text = F.concat(F.lit("Column '"), F.col("column"), F.lit("': "), F.col("n"), F.lit(" outlier values capped to "), V.lookup(F.col("column"), span), F.lit(" range."))
-    parts.append(rows(cap_counts(issues), "capped", message=text))
-    parts.append(rows(category_changes(issues), "changed", item=F.concat_ws(" -> ", "value", "new_value")))
-    parts.append(rows(null_counts(issues), "nulls", pct=F.col("pct")))
-    total = null_total(issues, n_columns).filter(F.col("n") > 0)
+    parts.append(rows(cap_counts(issues, group), "capped", message=text))
+    parts.append(rows(category_changes(issues, group), "changed", item=F.concat_ws(" -> ", "value", "new_value")))
+    parts.append(rows(null_counts(issues, group), "nulls", pct=F.col("pct")))
+    total = null_total(issues, n_columns, group).filter(F.col("n") > 0)
     text = F.concat(
         F.lit("Total null values after cleaning: "), F.col("n"), F.lit(" ("), V.fixed_text(F.col("pct"), 1),
         F.lit("% of all cells). These will be filled by imputation in feature engineering."),
@@ -347,17 +350,18 @@ def clean_table(
     bounds: Bounds | None = None,
     keys: Sequence[str] | None = None,
     order: str = "src_row",
+    group: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    """CLN-12: the cleaned table and its report.
+    """CLN-12: the cleaned table and its report; with ``group`` (such as ``client_id``) a report for each group in one job.
 
     ``df`` is read once: the rows left after the repeats are staged with their counts, the issues are counted from
     that copy and staged too, and the table is a projection of it. ``clean_rows`` gives the table without a report.
     """
     kept = stage(counted_repeats(df, keys, order) if repeats else df, "kept")
     left = kept.select(*df.columns)
-    issues = stage(issue_counts(left, cap, categories, bounds, order=order), "issues")
-    n_columns = len([c for c in df.columns if c != order])
-    report = cleaning_report(repeat_totals(kept) if repeats else None, issues, n_columns, max_garbage, bounds)
+    issues = stage(issue_counts(left, cap, categories, bounds, group, order), "issues")
+    n_columns = len([c for c in df.columns if c != order and c not in group])
+    report = cleaning_report(repeat_totals(kept, group) if repeats else None, issues, n_columns, max_garbage, bounds, group)
     return clean_values(left, cap, categories, bounds), report
 
 

@@ -171,3 +171,26 @@ def test_long_value_list_becomes_a_join(spark):
     out = M.map_values(df, {"c": pairs})
     assert out.filter("c like 'v%'").count() == 1000 and out.count() == 1200
     assert "Join" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reports_of_many_clients_equal_those_of_each(spark, sf):
+    """One job with groups, against one job a client."""
+    from checks import fixtures as X
+    from tenura.operators import drift as D
+
+    rows = X.mapped(spark, sf)
+    half = rows.filter("src_row % 3 = 0")
+    both = rows.withColumn("client_id", F.lit("a")).union(half.withColumn("client_id", F.lit("b")))
+    table, report = K.clean_table(both, group=["client_id"])
+    got = {}
+    for r in report.collect():
+        got.setdefault(r["client_id"], []).append(tuple(r)[1:])
+    alone = {c: K.clean_table(df) for c, df in (("a", rows), ("b", half))}
+    for c, (_, own) in alone.items():
+        assert sorted(got[c], key=repr) == sorted(map(tuple, own.collect()), key=repr)
+    names = ["tenure_months", "monthly_charges"]
+    snapshot = D.training_snapshot(D.long_values(table, names, ["client_id"]), group=["client_id"])
+    moved = table.withColumn("tenure_months", F.col("tenure_months") * F.when(F.col("client_id") == "a", 0.2).otherwise(1.0))
+    scores = D.psi_scores(snapshot, D.long_values(moved, names, ["client_id"]), group=["client_id"])
+    said = {r["client_id"]: r["features_drifted"] for r in D.drift_report(scores, "2024-02-01", group=["client_id"]).collect()}
+    assert said == {"a": ["tenure_months"], "b": []}
