@@ -201,6 +201,7 @@ def _quoted(text):
     return "'" + text.replace("'", "''") + "'"
 
 
+# Fixed value: the wording of the narrative prompt, with two definitions filled in.
 _HEAD = """You are an expert customer retention analyst writing for non-technical business users. For each customer, explain in plain English WHY the model predicts they are at risk of leaving. Reference specific feature values. Use simple language. Keep each explanation under 150 words. Do not use technical jargon like 'SHAP values' or 'feature importance.'
 
 Feature definitions (for your reference):
@@ -281,6 +282,7 @@ def llm_6(spark, sf):
 
 
 _FIELD_LINES = "\n".join(f"  - {c.field} ({c.dtype}): {c.description}" for c in CONTRACT)
+# Fixed value: the wording of the mapping prompt after the sample rows.
 _ASK = """
 
 Your task: Map each client column to the most appropriate standard field from this list:
@@ -327,7 +329,7 @@ def _answers(spark, sf):
         .when(form == 1, f"Sure.\n```\n[{one}, {two}]\n```\nDone.")
         .when(form == 2, f"Sure.\n```json\n[{one}]\n```\nDone.")
         .when(form == 3, f'[{one}, {{"target_field": "gender"}}]')
-        .when(form == 4, "This is not JSON at all!")
+        .when(form == 4, "no brackets in this answer")
         .otherwise(one)
     )
     return s.select("client_id", text.alias("response"))

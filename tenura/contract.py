@@ -99,22 +99,50 @@ NUMERIC_BOUNDS = {
     "support_tickets": (0.0, 100.0),
 }
 
-# Spellings (trimmed, lower case) of each standard category value.
+# The standard value of each spelling (trimmed, lower case).
 CATEGORY_SYNONYMS = {
     "contract_type": {
-        "month-to-month": ["month to month", "month-to-month", "m2m", "mtm", "monthly"],
-        "one_year": ["one year", "one_year", "1 year", "1year", "12 months", "annual"],
-        "two_year": ["two year", "two_year", "2 year", "2year", "24 months", "biennial"],
+        "month to month": "month-to-month",
+        "month-to-month": "month-to-month",
+        "m2m": "month-to-month",
+        "mtm": "month-to-month",
+        "monthly": "month-to-month",
+        "one year": "one_year",
+        "one_year": "one_year",
+        "1 year": "one_year",
+        "1year": "one_year",
+        "12 months": "one_year",
+        "annual": "one_year",
+        "two year": "two_year",
+        "two_year": "two_year",
+        "2 year": "two_year",
+        "2year": "two_year",
+        "24 months": "two_year",
+        "biennial": "two_year",
     },
     "payment_method": {
-        "credit_card": ["credit card", "credit_card", "cc", "visa", "mastercard"],
-        "bank_transfer": ["bank transfer", "bank_transfer", "ach", "direct debit"],
-        "electronic_check": ["electronic check", "electronic_check", "e-check", "echeck"],
-        "mailed_check": ["mailed check", "mailed_check", "check"],
+        "credit card": "credit_card",
+        "credit_card": "credit_card",
+        "cc": "credit_card",
+        "visa": "credit_card",
+        "mastercard": "credit_card",
+        "bank transfer": "bank_transfer",
+        "bank_transfer": "bank_transfer",
+        "ach": "bank_transfer",
+        "direct debit": "bank_transfer",
+        "electronic check": "electronic_check",
+        "electronic_check": "electronic_check",
+        "e-check": "electronic_check",
+        "echeck": "electronic_check",
+        "mailed check": "mailed_check",
+        "mailed_check": "mailed_check",
+        "check": "mailed_check",
     },
     "gender": {
-        "Male": ["male", "m"],
-        "Female": ["female", "f"],
+        "male": "Male",
+        "m": "Male",
+        "female": "Female",
+        "f": "Female",
     },
 }
 

@@ -6,6 +6,7 @@ part of the comparison of rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -20,6 +21,23 @@ from tenura.session import broadcast_if_small, stage
 
 Bounds = dict[str, tuple[float, float]]
 
+# The wording of the report's warnings. Names in braces are columns or texts filled in below.
+EXACT_REPEATS = "{exact_repeats} exact duplicate rows"
+ID_REPEATS = "{id_repeats} duplicate customer_ids (kept first occurrence)"
+REPEATS_WARNING = "Removed {n} duplicates: {kinds} ({pct}% of dataset)."
+CRITICAL_WARNING = "CRITICAL: Column '{column}' has {pct}% garbage values (examples: {shown}). This column may be unreliable."
+GARBAGE_WARNING = (
+    "Column '{column}': {n} values ({pct}%) couldn't be parsed as numbers (examples: {shown}). Converted to NaN — will be imputed later."
+)
+CAPPED_WARNING = "Column '{column}': {n} outlier values capped to {span} range."
+NULLS_WARNING = "Total null values after cleaning: {n} ({pct}% of all cells). These will be filled by imputation in feature engineering."
+
+
+def _filled(text: str, **cells: Column) -> Column:
+    """A text whose names in braces are replaced by the given expressions, or by the columns of those names."""
+    parts = [F.lit(x) if i % 2 == 0 else cells[x] if x in cells else F.col(x) for i, x in enumerate(re.split(r"[{}]", text))]
+    return F.concat(*parts)
+
 
 def _keys(df: DataFrame, keys: Sequence[str] | None) -> list[str]:
     """The columns that identify a customer: the id, and the client where the table holds several."""
@@ -146,8 +164,7 @@ def with_client_bounds(df: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def standard_category(c: Column, name: str) -> Column:
     """CLN-8 as an expression: a known spelling becomes its standard value, others stay, null stays."""
-    spellings = {s: value for value, known in CATEGORY_SYNONYMS[name].items() for s in known}
-    return F.coalesce(V.lookup(V.strip_lower(c), spellings), c)
+    return F.coalesce(V.lookup(V.strip_lower(c), CATEGORY_SYNONYMS[name]), c)
 
 
 def normalize_categories(df: DataFrame) -> DataFrame:
@@ -293,35 +310,24 @@ def cleaning_report(
     parts = []
     if repeats is not None:
         r = repeats.filter(F.col("repeats") > 0).withColumnRenamed("repeats", "n")
-        exact = F.when(F.col("exact_repeats") > 0, F.concat(F.col("exact_repeats"), F.lit(" exact duplicate rows")))
-        ids = F.when(F.col("id_repeats") > 0, F.concat(F.col("id_repeats"), F.lit(" duplicate customer_ids (kept first occurrence)")))
-        text = F.concat(
-            F.lit("Removed "), F.col("n"), F.lit(" duplicates: "), F.concat_ws(", ", exact, ids),
-            F.lit(" ("), V.fixed_text(V.percent(F.col("n"), F.col("rows_before")), 1), F.lit("% of dataset)."),
-        )
+        exact = F.when(F.col("exact_repeats") > 0, _filled(EXACT_REPEATS))
+        ids = F.when(F.col("id_repeats") > 0, _filled(ID_REPEATS))
+        pct = V.fixed_text(V.percent(F.col("n"), F.col("rows_before")), 1)
+        text = _filled(REPEATS_WARNING, kinds=F.concat_ws(", ", exact, ids), pct=pct)
         parts.append(rows(r, "repeats", F.lit("").alias("column"), pct=F.col("pct_of_rows"), message=text))
     g = garbage_profile(issues, max_garbage, group=group)
     shown, pct_text = _python_list(F.slice("examples", 1, 3)), V.fixed_text(F.col("pct"), 1)
-    loud = F.concat(
-        F.lit("CRITICAL: Column '"), F.col("column"), F.lit("' has "), pct_text, F.lit("% garbage values (examples: "), shown,
-        F.lit("). This column may be unreliable."),
-    )
-    quiet = F.concat(
-        F.lit("Column '"), F.col("column"), F.lit("': "), F.col("n"), F.lit(" values ("), pct_text,
-        F.lit("%) couldn't be parsed as numbers (examples: "), shown, F.lit("). Converted to NaN — will be imputed later."),
-    )
+    loud = _filled(CRITICAL_WARNING, pct=pct_text, shown=shown)
+    quiet = _filled(GARBAGE_WARNING, pct=pct_text, shown=shown)
     message = F.when(F.col("severity") == "CRITICAL", loud).otherwise(quiet)
     parts.append(rows(g, "garbage", item=F.array_join("examples", " | "), pct=F.col("pct"), message=message))
     span = {c: f"[{_plain(lo)}, {_plain(hi)}]" for c, (lo, hi) in bounds.items()}
-    text = F.concat(F.lit("Column '"), F.col("column"), F.lit("': "), F.col("n"), F.lit(" outlier values capped to "), V.lookup(F.col("column"), span), F.lit(" range."))
+    text = _filled(CAPPED_WARNING, span=V.lookup(F.col("column"), span))
     parts.append(rows(cap_counts(issues, group), "capped", message=text))
     parts.append(rows(category_changes(issues, group), "changed", item=F.concat_ws(" -> ", "value", "new_value")))
     parts.append(rows(null_counts(issues, group), "nulls", pct=F.col("pct")))
     total = null_total(issues, n_columns, group).filter(F.col("n") > 0)
-    text = F.concat(
-        F.lit("Total null values after cleaning: "), F.col("n"), F.lit(" ("), V.fixed_text(F.col("pct"), 1),
-        F.lit("% of all cells). These will be filled by imputation in feature engineering."),
-    )
+    text = _filled(NULLS_WARNING, pct=V.fixed_text(F.col("pct"), 1))
     parts.append(rows(total, "total_nulls", F.lit("").alias("column"), pct=F.col("pct"), message=text))
     return reduce(DataFrame.unionByName, parts)
 
