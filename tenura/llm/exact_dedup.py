@@ -4,97 +4,19 @@ First pass: every task sets bits for its rows' hashes in a filter that keeps two
 more than one row". A segment of the filter is merged in one small group. Second pass: a row all of whose bits were set
 more than once may be a copy and goes to an exact group-by on its hash; any other row is alone and passes straight through.
 
-The filter has ``BITS_PER_ROW`` bits a row up to ``MAX_FILTER_BYTES``, which is all that is ever broadcast. Beyond
-that many rows the filter lets more single rows through to the exact step, up to all of them; the result is the same.
+The filter's size is bounded (``bloom``). Beyond some rows it lets more single rows through to the exact step, up to all of
+them; the result is the same.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tenura.llm import bloom
 from tenura.llm.tables import same
 from tenura.session import stage
 
-BITS_PER_ROW = 16
-MAX_FILTER_BYTES = 32 << 20
-SEGMENT_BITS = 1 << 17
-# Rows of a task whose bits are gathered before they are sent on.
-_GATHERED = 1 << 20
-
-
-def _positions(hashes: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
-    """(segment, two bit positions in it) of 64-bit hashes."""
-    h = hashes.view(np.uint64)
-    segment = (h >> np.uint64(36)) % np.uint64(segments)
-    first, second = h & np.uint64(SEGMENT_BITS - 1), (h >> np.uint64(17)) & np.uint64(SEGMENT_BITS - 1)
-    return segment.astype(np.int32), np.stack([first, second], 1).astype(np.uint32)
-
-
-def _set_bits(segments: int):
-    """Task step: hashes to one row for each segment touched: positions set, each once, with those set twice marked."""
-
-    def rows(parts):
-        hashes = np.concatenate(parts)
-        segment, positions = _positions(hashes, segments)
-        key = (segment.astype(np.uint64)[:, None] * np.uint64(SEGMENT_BITS) + positions).ravel()
-        key, count = np.unique(key, return_counts=True)
-        value = ((key % np.uint64(SEGMENT_BITS)) * np.uint64(2) + (count > 1)).astype("<u4")
-        own = (key // np.uint64(SEGMENT_BITS)).astype(np.int32)
-        cuts = np.flatnonzero(np.diff(own, prepend=-1))
-        ends = np.append(cuts[1:], len(own))
-        bits = [value[a:b].tobytes() for a, b in zip(cuts, ends)]
-        return pa.RecordBatch.from_arrays([pa.array(own[cuts], pa.int32()), pa.array(bits, pa.binary())], ["segment", "bits"])
-
-    def step(batches):
-        held, n = [], 0
-        for batch in batches:
-            held.append(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
-            n += len(held[-1])
-            if n >= _GATHERED:
-                yield rows(held)
-                held, n = [], 0
-        if n:
-            yield rows(held)
-
-    return step
-
-
-def _merge(key, table):
-    """All parts of one segment to the bits set by more than one row, as 64-bit words."""
-    value = np.concatenate([np.frombuffer(b, "<u4") for b in table.column("bits").to_pylist()])
-    once = np.zeros(SEGMENT_BITS, bool)
-    position, order = np.unique(value >> 1, return_counts=True)
-    once[position[order > 1]] = True
-    once[value[(value & 1) == 1] >> 1] = True
-    words = np.packbits(once, bitorder="little").view("<i8")
-    return pa.table({"segment": pa.array([key[0].as_py()], pa.int32()), "words": pa.array([words.tolist()], pa.list_(pa.int64()))})
-
-
-def repeat_filter(hashed: DataFrame, rows: int) -> tuple[DataFrame, int]:
-    """(segment, words) of all segments with a bit set twice or more, and the number of segments."""
-    bits = min(max(rows, 1) * BITS_PER_ROW, MAX_FILTER_BYTES * 8)
-    segments = -(-bits // SEGMENT_BITS)
-    parts = hashed.select("hash").mapInArrow(_set_bits(segments), "segment int, bits binary")
-    return parts.groupBy("segment").applyInArrow(_merge, "segment int, words array<bigint>"), segments
-
-
-def _may_repeat(hashed: DataFrame, filter_: DataFrame, segments: int) -> DataFrame:
-    """``hashed`` with ``may_repeat``: the same bit positions as in ``_positions``, looked up by built-in functions."""
-    h = F.col("hash")
-    own = hashed.withColumn("_segment", F.shiftrightunsigned(h, 36).cast("bigint") % F.lit(segments))
-    low = h.bitwiseAND(F.lit(SEGMENT_BITS - 1))
-    high = F.shiftrightunsigned(h, 17).bitwiseAND(F.lit(SEGMENT_BITS - 1))
-
-    def is_set(position):
-        word = F.element_at("words", (F.shiftright(position, 6) + 1).cast("int"))
-        return F.getbit(word, position.bitwiseAND(F.lit(63)).cast("int")) == 1
-
-    looked = own.join(F.broadcast(filter_.withColumnRenamed("segment", "_at")), F.col("_segment") == F.col("_at").cast("bigint"), "left")
-    return looked.withColumn("may_repeat", F.coalesce(is_set(low) & is_set(high), F.lit(False))).drop("_segment", "_at", "words")
-
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: its group of equal texts and whether it stays.
@@ -106,8 +28,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
     hashed = stage(docs.select(F.col(id_col).alias("id"), F.unhex(sha).alias("sha")), "hashes")
     hashed = hashed.withColumn("hash", F.conv(F.hex(F.substring("sha", 1, 8)), 16, -10).cast("bigint"))
-    filter_, segments = repeat_filter(hashed, hashed.count())
-    flagged = _may_repeat(hashed, filter_, segments)
+    filter_, segments = bloom.build(hashed.select("hash"), hashed.count(), 2)
+    flagged = bloom.marked(hashed, F.col("hash"), filter_, segments, "may_repeat")
     alone = flagged.where(~F.col("may_repeat")).select(
         "id", "sha", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(1).cast("bigint").alias("n_same")
     )
@@ -126,16 +48,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one of each group, with the columns of ``docs``.
 
-    ``groups`` is what ``exact_groups`` says of ``docs``. Only the ids that go are joined, so the texts need not be shuffled
-    while those are few enough for Spark's broadcast threshold.
+    ``groups`` is what ``exact_groups`` says of ``docs``. A filter of the ids that go lets most other rows pass straight through, so
+    that about the texts that go are shuffled and no more.
     """
     odd = groups.where(~F.col("kept") | (F.col("n_same") > 1))
-    gone = stage(odd.select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha"), F.col("kept").alias("__kept")).distinct(), "gone")
+    gone = stage(odd.select(F.col(id_col).alias("__key"), F.col("text_sha256").alias("__sha"), F.col("kept").alias("__kept")).distinct(), "gone")
     sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
-    meets = same(F.col(id_col), F.col("__id")) & (sha == F.col("__sha"))
-    stays = docs.join(gone, meets, "left_anti")
+    meets = same(F.col(id_col), F.col("__key")) & (sha == F.col("__sha"))
+    stays = bloom.without(docs, gone, F.col(id_col), meets)
     # Rows that repeat id and text: the few that must be counted against each other.
     again = gone.where("__kept")
     if not again.limit(1).count():
         return stays
-    return stays.unionByName(docs.join(again, meets).dropDuplicates(["__id", "__sha"]).select(docs.columns))
+    return stays.unionByName(docs.join(again, meets).dropDuplicates(["__key", "__sha"]).select(docs.columns))

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tenura.llm import bloom
 from tenura.llm.tables import pieces, same
 from tenura.session import small_table, stage
 
@@ -277,5 +278,5 @@ def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> Data
 
     ``groups`` is what ``near_groups`` says of ``docs``. Rows that share an id are taken for one document.
     """
-    gone = stage(groups.where(~same(F.col(id_col), F.col("component_id"))).select(F.col(id_col).alias("__id")).where("__id IS NOT NULL").distinct(), "gone")
-    return docs.join(gone, F.col(id_col) == F.col("__id"), "left_anti")
+    gone = stage(groups.where(~same(F.col(id_col), F.col("component_id"))).select(F.col(id_col).alias("__key")).where("__key IS NOT NULL").distinct(), "gone")
+    return bloom.without(docs, gone, F.col(id_col), F.col(id_col) == F.col("__key"))

@@ -7,7 +7,7 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 
-from tenura.llm import decontaminate, exact_dedup, line_dedup, packing, queries, simhash, token_grammar, toxicity
+from tenura.llm import bloom, decontaminate, exact_dedup, line_dedup, packing, queries, simhash, token_grammar, toxicity
 
 
 def bag(df, *columns):
@@ -24,7 +24,7 @@ def test_exact_groups_on_edges(edge, empty):
 
 
 def test_exact_groups_when_the_filter_is_full(spark, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "MAX_FILTER_BYTES", 1 << 14)
+    monkeypatch.setattr(bloom, "MAX_FILTER_BYTES", 1 << 14)
     df = spark.range(40_000).select(F.col("id").alias("doc_id"), (F.col("id") % 30_000).cast("string").alias("text"))
     out = exact_dedup.exact_groups(df)
     assert out.where("kept").count() == 30_000 and out.count() == 40_000
