@@ -19,14 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenura.llm.tables import pieces
+from tenura.session import stage
 
 BUCKETS = 1 << 18
 DIMENSIONS = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 6
 # Bounds of the training sample: documents, and bytes of text; the sample is the rows of least hash that fit.
-TRAIN_DOCS = 8_000
-TRAIN_BYTES = 32 << 20
+TRAIN_DOCS = 6_000
+TRAIN_BYTES = 24 << 20
 # Steps of gradient descent, on batches of so many documents; small samples are gone through more often.
 STEPS = 500
 BATCH = 64
@@ -189,12 +190,12 @@ def _sigmoid(x):
 
 
 def _buckets(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & np.uint64(BUCKETS - 1)).astype(np.int64)
+    return (hashes & np.uint64(BUCKETS - 1)).astype(np.int32)
 
 
 def _encoded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(word buckets, buckets of word beginnings, offsets, languages) of all texts."""
-    ids, heads, sizes, language = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    ids, heads, sizes, language = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for at in range(0, len(texts), 256):
         words, starts, offsets = hashed_words(texts[at : at + 256])
         ids.append(_buckets(words))
@@ -206,10 +207,12 @@ def _encoded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 def _log_odds(ids: np.ndarray, document: np.ndarray, label: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Of each bucket, from the documents that hold it: log-odds of label 1 against all documents, drawn to 0 where few do."""
-    seen = np.unique(document * BUCKETS + ids)
-    doc, bucket = seen // BUCKETS, seen % BUCKETS
-    one = np.bincount(bucket, weights=label[doc], minlength=BUCKETS)
-    all_ = np.bincount(bucket, minlength=BUCKETS)
+    one, all_ = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    borders = np.searchsorted(document, np.arange(0, len(label) + 200, 200))
+    for a, b in zip(borders, borders[1:]):  # a few documents at a time
+        seen = np.unique(document[a:b].astype(np.int64) * BUCKETS + ids[a:b])
+        one += np.bincount(seen % BUCKETS, weights=label[seen // BUCKETS], minlength=BUCKETS)
+        all_ += np.bincount(seen % BUCKETS, minlength=BUCKETS)
     rate = label[rows].mean()
     return np.log((one + PRIOR * rate) / (all_ + PRIOR) / rate) - np.log((all_ - one + PRIOR * (1 - rate)) / (all_ + PRIOR) / (1 - rate))
 
@@ -227,7 +230,7 @@ def _fit(ids, heads, offsets, label, rows, seed: int) -> Network:
         return net
     chosen = np.zeros(len(label), bool)
     chosen[rows] = True
-    document = np.repeat(np.arange(len(label)), np.diff(offsets))
+    document = np.repeat(np.arange(len(label), dtype=np.int32), np.diff(offsets))
     own = chosen[document]
     table[0][:, 0] = _log_odds(ids[own], document[own], label, rows) * 0.7
     table[1][:, 0] = _log_odds(heads[own], document[own], label, rows) * 0.3
@@ -344,13 +347,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network:
     known = labels.where(F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_toxic"))
     known = known.where(~held_out(F.col("_id"))).orderBy(F.xxhash64("_id")).limit(TRAIN_DOCS)
     rows = docs.select(F.col("doc_id").alias("_own"), F.col("text").alias("_text")).join(F.broadcast(known), F.col("_own") == F.col("_id"))
-    rows = rows.withColumn("_before", F.octet_length(F.coalesce("_text", F.lit(""))))
+    rows = rows.groupBy("_id").agg(F.min("_text").alias("_text"), F.max("_toxic").alias("_toxic"))
+    rows = stage(rows.withColumn("_before", F.octet_length(F.coalesce("_text", F.lit("")))), "labelled")
     sizes = sorted((r[1], r[0], r[2]) for r in rows.select("_id", F.xxhash64("_id").alias("h"), "_before").collect())
     total = np.cumsum([s[2] for s in sizes])
     last = int(np.searchsorted(total, TRAIN_BYTES, "right"))
     if last < len(sizes):
         rows = rows.where(F.xxhash64("_id") < F.lit(sizes[last][0]))
-    sample = rows.select("_id", "_text", "_toxic").toArrow().sort_by([("_id", "ascending"), ("_text", "ascending")])
+    sample = rows.select("_id", "_text", "_toxic").toArrow()
+    sample = sample.take(pc.sort_indices(sample, sort_keys=[("_id", "ascending"), ("_text", "ascending")]))
     texts = sample.column("_text").combine_chunks() if sample.num_rows else pa.array([], pa.string())
     return train(texts, sample.column("_toxic").to_numpy().astype(np.float64))
 
