@@ -75,6 +75,24 @@ def op6_decontaminate(spark, sf):
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), "items_sha256", "contaminated")
 
 
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_RUNS = " UNION ALL ".join(
+    f"SELECT * FROM (SELECT doc_id, i, {k} AS k, string_agg(word, ' ' ORDER BY i) OVER w AS s, count(*) OVER w AS n FROM dw WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {k - 1} FOLLOWING)) WHERE n = {k}"
+    for k in range(1, decontaminate.WINDOW + 1)
+)
+OP6 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+dw AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+bw AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+       FROM (SELECT item_id, w, least({decontaminate.WINDOW}, len(w)) AS k, unnest(range(1, len(w) - least({decontaminate.WINDOW}, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+m AS (SELECT doc_id, i, r.k, item_id FROM ({_RUNS}) r JOIN bw ON bw.k = r.k AND bw.s = r.s),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM m) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n, string_agg(x, ',' ORDER BY x) AS x FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM m) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(found.n, 0) AS n_items, sha256(coalesce(x, '')) AS items_sha256,
+       coalesce(hit.n, 0) > 0 AND {decontaminate.ONE_WORD_IN} * coalesce(hit.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN found ON found.doc_id = d.doc_id"""
+
+
 def op7_simhash(spark, sf):
     groups = simhash.near_groups(table(spark, sf, "documents"))
     return groups.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
@@ -114,4 +132,4 @@ QUERIES = {
         op10_toxicity,
     ]
 }
-SQL = {"op2_exact_dedup": OP2, "op3_url_filter": OP3, "op4_warc": OP4, "op9_line_dedup": OP9}
+SQL = {"op2_exact_dedup": OP2, "op3_url_filter": OP3, "op4_warc": OP4, "op6_decontaminate": OP6, "op9_line_dedup": OP9}

@@ -42,7 +42,3 @@ def lowered(column: Column) -> Column:
 def same(left: Column, right: Column) -> Column:
     """Equality under which null equals null."""
     return left.eqNullSafe(right)
-
-
-def text_bytes(spark: SparkSession, df: DataFrame, column: str) -> int:
-    return int(df.agg(F.sum(F.octet_length(column))).first()[0] or 0)

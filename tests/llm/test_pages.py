@@ -4,7 +4,6 @@ import gzip
 import hashlib
 
 import pytest
-from pyspark.sql import functions as F
 
 from checks.compare import compare, connect
 from tenura.llm import extract, queries, url_filter, warc
