@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Words kept between batches. Only speed depends on it: a word that is not kept is encoded again.
-KEPT_WORDS = 250_000
+# Words kept between batches, beyond those of one batch. Only speed depends on it: a word that is not kept is encoded again.
+KEPT_WORDS = 300_000
 # A mark of punctuation behind a letter or digit begins a new token, whatever follows (the apostrophe is the exception).
 _BOUNDARY = r"([a-z0-9])([.,;:!?#$%&*()\"-])"
 # Words that are one pre-token as they stand: letters up to U+00FF (none changes under NFC, all have one lower-case
@@ -50,6 +50,18 @@ class WordCoder:
         self.index: dict[str, int] = {}
         self.lengths = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.met = np.zeros(0, np.int32)
+
+    def _trim(self):
+        """Keep the half of the words that most batches held."""
+        keep = np.sort(np.argsort(-self.met, kind="stable")[: KEPT_WORDS // 2])
+        starts = np.concatenate([[0], np.cumsum(self.lengths)])
+        words = list(self.index)
+        self.index = {words[i]: k for k, i in enumerate(keep.tolist())}
+        lengths = self.lengths[keep]
+        ends = np.cumsum(lengths)
+        self.ids = self.ids[np.repeat(starts[keep] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        self.lengths, self.met = lengths, self.met[keep] // 2
 
     def _ids(self, word: str) -> list[int]:
         if _LETTERS.fullmatch(word):
@@ -67,6 +79,7 @@ class WordCoder:
         self.index.update(zip(words, range(n, n + len(words))))
         self.lengths = np.concatenate([self.lengths, np.array([len(c) for c in codes], np.int64)])
         self.ids = np.concatenate([self.ids, np.array([i for c in codes for i in c], np.uint32)])
+        self.met = np.concatenate([self.met, np.zeros(len(words), np.int32)])
 
     def _plain(self, texts: pa.Array):
         lowered = pc.replace_substring_regex(pc.ascii_lower(texts), pattern=_BOUNDARY, replacement=r"\1 \2")
@@ -74,13 +87,14 @@ class WordCoder:
         offsets = words.offsets.to_numpy()
         coded = words.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if len(self.index) + len(distinct) > KEPT_WORDS:
-            self._forget()
+        if len(self.index) > KEPT_WORDS:
+            self._trim()
         new = [w for w in distinct if w not in self.index]
         if new:
             self._learn(new)
         starts = np.concatenate([[0], np.cumsum(self.lengths)])
         places = np.array([self.index[w] for w in distinct], np.int64)
+        self.met[places] += 1
         word = places[coded.indices.to_numpy()] if len(distinct) else np.zeros(0, np.int64)
         lengths = self.lengths[word]
         ends = np.concatenate([[0], np.cumsum(lengths)])
