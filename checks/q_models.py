@@ -84,7 +84,8 @@ FEA_4 = X.CLEANED_SQL + FILLS_CTE + f" SELECT customer_id, {_ROUND_NUM}, {', '.j
 
 def fea_5(spark, sf):
     counts = stage(FE.category_counts(X.cleaned(spark, sf)))
-    return FE.category_codes(counts, FE.category_fills(counts)).select("feature", "value", "code")
+    """By ranges over many tasks, as long lists are ordered."""
+    return FE.category_codes(counts, FE.category_fills(counts), few=0).select("feature", "value", "code")
 
 
 FEA_5 = X.CLEANED_SQL + FILLS_CTE + " SELECT feature, value, code FROM codes"
@@ -278,7 +279,8 @@ evaluated AS (
 
 
 def evl_1(spark, sf):
-    return E.auc(X.scored_labels(spark, sf), group=GROUP).withColumn("auc", F.round("auc", 9))
+    """By ranges over many tasks, as large tables are ranked."""
+    return E.auc(X.scored_labels(spark, sf), group=GROUP, small=0).withColumn("auc", F.round("auc", 9))
 
 
 EVL_1 = X.SCORED_SQL + AUC_CTE + " SELECT client_id, model_id, round(auc, 9) AS auc FROM areas"

@@ -22,13 +22,13 @@ def score_counts(df: DataFrame, label: str, score: str, group: Sequence[str] = (
     )
 
 
-def auc(df: DataFrame, label: str = "y", score: str = "p", group: Sequence[str] = ()) -> DataFrame:
+def auc(df: DataFrame, label: str = "y", score: str = "p", group: Sequence[str] = (), **how) -> DataFrame:
     """EVL-1: exact area under the ROC curve, ties counted half; null where one class is missing."""
-    return _auc_of_counts(score_counts(df, label, score, group), group)
+    return _auc_of_counts(score_counts(df, label, score, group), group, **how)
 
 
-def _auc_of_counts(counts: DataFrame, group: Sequence[str]) -> DataFrame:
-    ranked = running_totals(counts, ["score"], ["neg"], group)
+def _auc_of_counts(counts: DataFrame, group: Sequence[str], **how) -> DataFrame:
+    ranked = running_totals(counts, ["score"], ["neg"], group, **how)
     # Twice the count of won pairs, exact in whole numbers of up to 38 digits.
     pos, neg, before = (F.col(c).cast("decimal(19,0)") for c in ("pos", "neg", "before_neg"))
     won = F.sum((pos * (before * F.lit(2).cast("decimal(1,0)") + neg)).cast("decimal(38,0)")).cast("double")

@@ -99,7 +99,7 @@ def category_fills(counts: DataFrame) -> DataFrame:
     return counts.groupBy("feature").agg(F.coalesce(best["value"], F.lit("unknown")).alias("impute_cat"))
 
 
-def category_codes(counts: DataFrame, fills: DataFrame) -> DataFrame:
+def category_codes(counts: DataFrame, fills: DataFrame, few: int = FEW_VALUES) -> DataFrame:
     """FEA-5: code of each value = its place, from 0, among the sorted distinct values after filling.
 
     ``counts`` is read several times; stage it.
@@ -107,10 +107,10 @@ def category_codes(counts: DataFrame, fills: DataFrame) -> DataFrame:
     filled = counts.join(F.broadcast(fills), "feature")  # one row per category feature
     filled = filled.select("feature", F.coalesce("value", "impute_cat").alias("value"), "n")
     values = filled.groupBy("feature", "value").agg(F.sum("n").alias("n"))
-    if counts.limit(FEW_VALUES + 1).count() <= FEW_VALUES:
+    if counts.limit(few + 1).count() <= few:
         ranked = values.withColumn("code", F.row_number().over(Window.partitionBy("feature").orderBy("value")).cast("bigint"))
     else:
-        ranked = global_rank(values, ["value"], ["feature"], "code")
+        ranked = global_rank(values, ["value"], ["feature"], "code", small=few)
     return ranked.select("feature", "value", "n", (F.col("code") - 1).alias("code"))
 
 
