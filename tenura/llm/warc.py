@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenura.llm import bloom
 from tenura.llm.tables import pieces
 from tenura.session import new_folder, stage
 
@@ -86,12 +87,12 @@ def record(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
 
 
 def _revisits(pages: DataFrame, least: int) -> DataFrame:
-    """(page, sha, refers_to) of pages whose payload a page of larger id has too. Only ids, lengths and digests are moved."""
+    """(__key, __sha, refers_to): id and digest of pages whose payload a page of larger id has too. Only ids, lengths and digests are moved."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     narrow = stage(pages.where("page_id IS NOT NULL").select(F.col("page_id").alias("page"), F.sha1(payload).alias("sha"), F.octet_length(payload).alias("n")), "payloads")
     narrow = narrow.where(F.col("n") >= least).groupBy("sha", "page").agg(F.lit(1).alias("one"))
     groups = narrow.groupBy("sha").agg(F.max("page").alias("refers_to"), F.count("page").alias("pages")).where("pages > 1").select("sha", "refers_to")
-    return stage(narrow.join(groups, "sha").where("page < refers_to").select("page", F.col("sha").alias("_sha"), "refers_to"), "revisits")
+    return stage(narrow.join(groups, "sha").where("page < refers_to").select(F.col("page").alias("__key"), F.col("sha").alias("__sha"), "refers_to"), "revisits")
 
 
 def write_archives(pages: DataFrame, folder: str, least: int = LEAST_REVISIT) -> DataFrame:
@@ -127,7 +128,8 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST_REVISIT) ->
 
     rows = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.sha1(F.col("html").cast("binary")))
-    met = rows.join(revisits, (F.col("page_id") == F.col("page")) & (F.col("sha") == F.col("_sha")), "left")
+    # Only pages that may be revisits meet the table of revisits; the others are written where they are read.
+    met = bloom.joined(rows, revisits, F.col("page_id"), (F.col("page_id") == F.col("__key")) & (F.col("sha") == F.col("__sha")))
     return stage(met.select("page_id", "url", "html", "sha", "refers_to").mapInArrow(step, "key string, file string, offset bigint, length bigint"), "captures")
 
 
