@@ -31,7 +31,9 @@ PASSED_NODES = 60_000
 
 # Elements of HTML by what they do.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-RAW = set("script style noscript template textarea title iframe svg math object canvas select".split())
+RAW = set("script style textarea title".split())
+UNREAD = set("noscript template iframe svg math object canvas select".split())
+FOREIGN = {"svg", "math"}
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 # A start tag of the second group closes an open element of the first.
 CLOSES = {
@@ -39,7 +41,7 @@ CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"},
 }
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)|<([a-zA-Z][^\s/>]*)((?:=\\s*\"[^\"]*\"|=\\s*'[^']*'|[^>])*)(?:>|$)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)|<([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|([^\s=/>\"']+)", re.S)
 _NAME = re.compile(r"[a-z]+")
 
@@ -55,16 +57,49 @@ class Tree:
     label: list[int]
 
 
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|$)", re.I) for tag in RAW}
+
+
+def _closed(attributes: str) -> bool:
+    return attributes.rstrip().endswith("/")
+
+
+def _raw_end(page: str, tag: str, at: int) -> int:
+    ending = _RAW_END[tag].search(page, at)
+    return ending.end() if ending else len(page)
+
+
+def _unread_ends(page: str, at: int) -> dict[int, int]:
+    """Where each closed element of ``UNREAD`` from ``at`` on ends, by where it starts.
+
+    An end belongs to the last start of its name. Self-closing svg and math and elements without an end are not named.
+    """
+    ends: dict[int, int] = {}
+    starts: dict[str, list[int]] = {tag: [] for tag in UNREAD}
+    while found := _TOKEN.search(page, at):
+        at = found.end()
+        end, start = (found.group(1) or "").lower(), (found.group(2) or "").lower()
+        if start in UNREAD and not (start in FOREIGN and _closed(found.group(3))):
+            starts[start].append(found.start())
+        elif start in RAW and not (_closed(found.group(3)) and any(starts[x] for x in FOREIGN)):
+            at = _raw_end(page, start, at)
+        elif end in UNREAD and starts[end]:
+            ends[starts[end].pop()] = at
+    return ends
+
+
 def parse(page: str, labelled: bool = False) -> Tree:
     """A tolerant reading: unknown ends are passed over, open elements end where their parent does, cut tags are dropped.
 
-    Script, style and the like are single nodes without text. ``labelled`` reads the marks of training pages.
+    Script, style and the like are single nodes without text, and so are elements such as svg and select where they are closed; one
+    that is not closed is an empty node. ``labelled`` reads the marks of training pages.
     """
     tree = Tree([-1], ["#root"], [()], [None], [0])
     open_: list[int] = [0]
     at = 0
     # How many elements of each name are open, so that ends without a start cost nothing.
     standing: dict[str, int] = {}
+    ends: dict[int, int] | None = None
 
     def close(depth):
         for i in open_[depth:]:
@@ -120,13 +155,16 @@ def parse(page: str, labelled: bool = False) -> Tree:
                     label = 1
                 elif labelled and key == "data-other":
                     label = 0
-            if start in RAW:
-                ending = re.compile(rf"</{re.escape(start)}(?=[\s/>])[^>]*(?:>|$)", re.I).search(page, at)
-                at = ending.end() if ending else len(page)
+            if start in RAW or start in UNREAD:
+                if start in RAW:
+                    at = _raw_end(page, start, at)
+                else:
+                    ends = _unread_ends(page, found.start()) if ends is None else ends
+                    at = ends.get(found.start(), at)
                 add(start, tuple(names), None, 0)
                 continue
             add(start, tuple(names), None, label)
-            if start not in VOID and not found.group(3).rstrip().endswith("/"):
+            if start not in VOID and not _closed(found.group(3)):
                 open_.append(len(tree.tag) - 1)
                 standing[start] = standing.get(start, 0) + 1
 

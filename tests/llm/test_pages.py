@@ -64,6 +64,26 @@ def test_odd_pages_do_not_fail(model, page):
     assert isinstance(text(page or "", model), str)
 
 
+@pytest.mark.parametrize("tag", ["svg", "math", "object", "canvas", "template", "select", "noscript", "iframe"])
+@pytest.mark.parametrize("form", ["<{0} class=x/>", "<{0}>", "<{0} a=b><p>", "<{0}><{0}>no</{0}>", "<{0}>no<!-- </p> <{0}> --><{0}>no</{0}>no</{0}>"])
+@pytest.mark.parametrize("later", ["", "<{0}>no</{0}>"])
+def test_no_article_is_lost_to_elements_that_are_not_read(model, tag, form, later):
+    page = "<body>{1}<article><h1>Head of all</h1><p>One two three four.</p>{1}<p>Five six seven.</p></article>{2}</body>".format(tag, form.format(tag), later.format(tag))
+    assert text(page, model) == "Head of all\nOne two three four.\nFive six seven."
+
+
+def test_raw_text_goes_to_its_end(model):
+    assert text("<article><p>One two.</p><svg><title/><style/></svg><script>'<svg>'</script><p>Three.</p><style>no", model) == "One two.\nThree."
+
+
+@pytest.mark.parametrize("value", ['"a > b"', "'a > b'", '= "a > b"', "=\n'a > \"b\"'"])
+def test_tags_end_outside_quotes(model, value):
+    image = f"<img alt={value.lstrip('=')} src='x'>"
+    tree = extract.parse(f"<p>One {image} two.</p>")
+    assert [t for t in tree.text if t] == ["One ", " two."]
+    assert text(f"<article><p>One {image} two three.</p></article>", model) == "One two three."
+
+
 def test_extract_on_tables(spark, model):
     page = "<body><nav><a href=x>menu</a></nav><article><p>" + "word " * 50_000 + "</p></article></body>"
     rows = [(1, "http://a", page, "mine"), (1, "http://a", page, "mine"), (None, None, None, None), (3, "", "", "x")]
