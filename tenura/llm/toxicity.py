@@ -19,13 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenura.llm.tables import pieces
-from tenura.session import stage
+from tenura.session import small_table, stage
 
 BUCKETS = 1 << 18
 DIMENSIONS = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 6
-# Bounds of the training sample: documents, and bytes of text; the sample is the rows of least hash that fit.
+# Bounds of the training sample: documents, and bytes of text; the sample is the rows of least hash that fit, a row that does not being passed over.
 TRAIN_DOCS = 6_000
 TRAIN_BYTES = 24 << 20
 # Steps of gradient descent, on batches of so many documents; small samples are gone through more often.
@@ -338,23 +338,46 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def _fitting(sizes: DataFrame) -> list[tuple]:
+    """(id, label) of the rows of ``sizes`` (_id, _toxic, _bytes, _place) that the sample takes, in the order of ``_place``.
+
+    As many rows at a time as are still wanted come to the driver, and only such as fit by themselves, so the first of them is
+    always taken.
+    """
+    chosen: list[tuple] = []
+    left, after = TRAIN_BYTES, None
+    while len(chosen) < TRAIN_DOCS:
+        rest = sizes.where(F.col("_bytes") <= left)
+        if after:
+            rest = rest.where((F.col("_place") > after[0]) | ((F.col("_place") == after[0]) & (F.col("_id") > F.lit(after[1]))))
+        found = rest.orderBy("_place", "_id").limit(TRAIN_DOCS - len(chosen)).collect()
+        if not found:
+            break
+        for r in found:
+            if r["_bytes"] <= left:
+                chosen.append((r["_id"], r["_toxic"]))
+                left -= r["_bytes"]
+        after = (found[-1]["_place"], found[-1]["_id"])
+    return chosen
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Network:
     """Train on a bounded sample of labelled rows of ``docs`` that are not held out.
 
-    The sample is at most ``TRAIN_DOCS`` rows and ``TRAIN_BYTES`` of whole texts, taken in the order of a hash of the id. Rows
+    The sample is at most ``TRAIN_DOCS`` rows and ``TRAIN_BYTES`` of whole texts, taken in the order of a hash of the id. A text
+    that does not fit is passed over and costs only itself; of texts with one id the shortest counts. Rows
     without id or label, and labels other than 0 and 1, are passed over. Without any labelled row every score is near 0.
     """
-    known = labels.where(F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_toxic"))
-    known = known.where(~held_out(F.col("_id"))).orderBy(F.xxhash64("_id")).limit(TRAIN_DOCS)
-    rows = docs.select(F.col("doc_id").alias("_own"), F.col("text").alias("_text")).join(F.broadcast(known), F.col("_own") == F.col("_id"))
-    rows = rows.groupBy("_id").agg(F.min("_text").alias("_text"), F.max("_toxic").alias("_toxic"))
-    rows = stage(rows.withColumn("_before", F.octet_length(F.coalesce("_text", F.lit("")))), "labelled")
-    sizes = sorted((r[1], r[0], r[2]) for r in rows.select("_id", F.xxhash64("_id").alias("h"), "_before").collect())
-    total = np.cumsum([s[2] for s in sizes])
-    last = int(np.searchsorted(total, TRAIN_BYTES, "right"))
-    if last < len(sizes):
-        rows = rows.where(F.xxhash64("_id") < F.lit(sizes[last][0]))
-    sample = rows.select("_id", "_text", "_toxic").toArrow()
+    known = labels.where(F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("_toxic"))
+    known = known.where(~held_out(F.col("_id")))
+    rows = docs.select(F.col("doc_id").alias("_own"), F.col("text").alias("_text"), F.octet_length("text").alias("_bytes"))
+    least = rows.groupBy("_own").agg(F.coalesce(F.min("_bytes"), F.lit(0)).alias("_bytes"))
+    sizes = known.join(least, F.col("_own") == F.col("_id")).select("_id", "_toxic", "_bytes", F.xxhash64("_id").alias("_place"))
+    sizes = stage(sizes, "labelled")
+    chosen = small_table(docs.sparkSession, _fitting(sizes), ", ".join(f"{c} {t}" for c, t in sizes.select("_id", "_toxic").dtypes))
+    rows = rows.join(F.broadcast(chosen), F.col("_own") == F.col("_id"))
+    shortest = F.min(F.when(F.col("_text").isNotNull(), F.struct("_bytes", "_text")))
+    sample = rows.groupBy("_id").agg(shortest["_text"].alias("_text"), F.max("_toxic").alias("_toxic")).toArrow()
     sample = sample.take(pc.sort_indices(sample, sort_keys=[("_id", "ascending"), ("_text", "ascending")]))
     texts = sample.column("_text").combine_chunks() if sample.num_rows else pa.array([], pa.string())
     return train(texts, sample.column("_toxic").to_numpy().astype(np.float64))

@@ -297,6 +297,25 @@ def test_op10(spark, sf, edge, empty):
     assert toxicity.score(empty, toxicity.fit(empty, labels)).count() == 0
 
 
+@pytest.mark.parametrize("long_ranks", [[0], [0, 1, 2, 3, 4, 5, 6, 7], [3, 20, 21]])
+def test_a_long_text_costs_only_itself(spark, monkeypatch, long_ranks):
+    monkeypatch.setattr(toxicity, "TRAIN_DOCS", 6)
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 1000)
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, label: seen.append((texts.to_pylist(), label.tolist())))
+    ids = spark.range(60).where(~toxicity.held_out(F.col("id"))).orderBy(F.xxhash64("id"))
+    order = [r.id for r in ids.collect()]
+    texts = {i: f"{i} " + "x" * (1001 if rank in long_ranks else 40) for rank, i in enumerate(order)}
+    docs = spark.createDataFrame([*texts.items(), (order[1], "z" * 2000), (order[1], None)], "doc_id bigint, text string")
+    toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in order], "doc_id bigint, toxic int"))
+    want = sorted([i for rank, i in enumerate(order) if rank not in long_ranks][:6])
+    assert seen == [([texts[i] for i in want], [i % 2 for i in want])]
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 200)
+    seen.clear()
+    toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in order], "doc_id bigint, toxic int"))
+    assert seen[0][0] == [texts[i] for i in sorted([i for rank, i in enumerate(order) if rank not in long_ranks][:4])]
+
+
 def test_pipeline_stages_keep_what_they_should(spark, sf):
     import corpus_pipeline
 
