@@ -8,5 +8,5 @@ from tenura.plans.runs import score_batch, train_client
 
 def flagship(spark, sf):
     raw = X.churn_raw(spark, sf)
-    trained = train_client(raw, X.RETAIL, rounds=5, settings={"max_depth": 4})
+    trained = train_client(raw, X.RETAIL)
     return score_batch(raw, X.RETAIL, trained)

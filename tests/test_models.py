@@ -302,3 +302,31 @@ def test_drift_flow(spark, sf, trained):
     moved = raw.withColumn("tenure", (F.col("tenure").try_cast("double") * 0.1).cast("string"))
     scores, report = runs.check_batch(moved, X.RETAIL, trained.snapshot, "2024-02-01")
     assert report.first()["features_drifted"] == ["tenure_months"] and scores.first()["band"] == "significant"
+
+
+@pytest.mark.parametrize("query", ["flagship"])
+def test_queries_train_with_all_rounds(monkeypatch, query):
+    """No query asks for fewer rounds, less patience or other settings than training has by itself."""
+    import inspect
+
+    from checks import flagship, q_models
+
+    class Seen(Exception):
+        pass
+
+    def stand_in(of):
+        def seen(*args, **kwargs):
+            bound = inspect.signature(of).bind(*args, **kwargs)
+            bound.apply_defaults()
+            raise Seen({k: v for k, v in bound.arguments.items() if k in ("rounds", "patience")})
+
+        return seen
+
+    monkeypatch.setattr(q_models, "training_table", lambda spark, sf: (None, []))
+    monkeypatch.setattr(flagship.X, "churn_raw", lambda spark, sf: None)
+    monkeypatch.setattr(flagship, "train_client", stand_in(flagship.train_client))
+    monkeypatch.setattr(T, "tune_trees", stand_in(T.tune_trees))
+    monkeypatch.setattr(T, "fit_trees", stand_in(T.fit_trees))
+    with pytest.raises(Seen) as said:
+        (flagship.flagship if query == "flagship" else q_models.QUERIES[query])(None, None)
+    assert said.value.args[0] in ({"rounds": T.MAX_ROUNDS}, {"rounds": T.MAX_ROUNDS, "patience": T.PATIENCE})
