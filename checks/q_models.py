@@ -241,18 +241,17 @@ def trn_3(spark, sf):
 TRN_3 = TRN_1.replace("SELECT customer_id, churn_label, CASE WHEN r", ", parted AS (SELECT customer_id, CASE WHEN r") + """)
 SELECT customer_id, true AS score_in_range, true AS trees_in_range, true AS area_in_range FROM parted WHERE split = 'test'"""
 TRIALS = 3
-TRIAL_ROUNDS = 40
 
 
 def trn_4(spark, sf):
-    """One row a drawn setting: settings within their ranges, trees within the limit, areas falling from the first row on."""
+    """All rounds allowed. One row a drawn setting: settings within their ranges, trees within the limit, areas falling from the first row on."""
     table, _ = training_table(spark, sf)
-    done = T.tune_trees(table, T.draw_settings(TRIALS), rounds=TRIAL_ROUNDS).collect()
+    done = T.tune_trees(table, T.draw_settings(TRIALS)).collect()
     rows = []
     for place, r in enumerate(done):
         inside = all(lo <= r[k] <= hi for k, (_, lo, hi) in T.SETTING_RANGES.items())
         falling = place == 0 or (r["auc"] or 0.0) <= (done[place - 1]["auc"] or 0.0)
-        rows.append((place, inside, 1 <= r["trees"] <= TRIAL_ROUNDS, falling))
+        rows.append((place, inside, 1 <= r["trees"] <= T.MAX_ROUNDS, falling))
     return small_table(spark, rows, "place bigint, settings_in_range boolean, trees_in_range boolean, areas_fall boolean")
 
 
@@ -358,7 +357,7 @@ TREE = [
 def scr_2(spark, sf):
     """Contributions of a small given tree by value; those of trained models add up, with the bias, to each row's log-odds."""
     table, names = training_table(spark, sf)
-    model = T.fit_trees(table, SETTINGS, 20)
+    model = T.fit_trees(table, SETTINGS)
     leaves = CO.tree_leaves(model)
     margin = F.lit(2.0) * vector_to_array("rawPrediction")[1]
     rows = model.transform(table).select("customer_id", *names, margin.alias("margin"))

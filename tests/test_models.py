@@ -304,7 +304,7 @@ def test_drift_flow(spark, sf, trained):
     assert report.first()["features_drifted"] == ["tenure_months"] and scores.first()["band"] == "significant"
 
 
-@pytest.mark.parametrize("query", ["flagship"])
+@pytest.mark.parametrize("query", ["flagship", "trn_4", "scr_2"])
 def test_queries_train_with_all_rounds(monkeypatch, query):
     """No query asks for fewer rounds, less patience or other settings than training has by itself."""
     import inspect
