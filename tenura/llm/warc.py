@@ -276,7 +276,8 @@ def look_up(wanted: DataFrame, folder: str, heads: list[tuple[str, str]], by_pag
     names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"]
     types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
     asked = wanted.select("url", "page_id") if by_page else wanted.select("url")
-    dealt = asked.distinct().mapInArrow(keys, "key string")
+    # Addresses that differ only in what a key leaves out have one key.
+    dealt = asked.mapInArrow(keys, "key string").distinct()
     ordered = dealt.repartitionByRange(max(len(heads), spark.sparkContext.defaultParallelism), "key").sortWithinPartitions("key")
     return ordered.mapInArrow(step, "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary")
 

@@ -162,6 +162,14 @@ def test_archives_come_back(spark, monkeypatch):
     assert warc.look_up(df, folder, warc.write_index(warc.write_archives(nothing, folder), folder)).count() == 0
 
 
+def test_captures_of_one_key_come_back_once(spark):
+    urls = [f"http://h/p#{k}" for k in range(5)] + ["https://H/p", "h/p", "http://h/p?q"]
+    df = spark.createDataFrame([(None, u, f"<p>{u}") for u in urls] + [(4, urls[0], "a"), (4, urls[1], "a"), (4, urls[5], "b")], "page_id bigint, url string, html string")
+    folder = new_folder(spark, "warc-test")
+    got = warc.look_up(df, folder, warc.write_index(warc.write_archives(df.repartition(3), folder), folder)).collect()
+    assert sorted(bytes(r.payload).decode() for r in got) == sorted([f"<p>{u}" for u in urls] + ["a", "a", "b"])
+
+
 def test_records_follow_the_format():
     raw = warc.record(5, "http://x/a b", b"hi", hashlib.sha1(b"hi").hexdigest(), None)
     assert raw.startswith(b"WARC/1.1\r\nWARC-Type: response\r\n") and raw.endswith(b"\r\n\r\nhi\r\n\r\n")
