@@ -7,6 +7,8 @@ says "maybe" more often.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -107,12 +109,13 @@ def joined(df: DataFrame, few: DataFrame, key: Column, match: Column) -> DataFra
     return alone.unionByName(asked.where("__maybe").drop("__maybe").join(few, match, "left"))
 
 
-def without(df: DataFrame, gone: DataFrame, key: Column, match: Column) -> DataFrame:
+def without(df: DataFrame, gone: DataFrame, key: Column, match: Column, also: Callable[[DataFrame], DataFrame] = lambda asked: asked) -> DataFrame:
     """``df`` less the rows that ``match`` a row of ``gone``, a staged table whose ``__key`` is what ``key`` is in ``df``.
 
     Rows whose key cannot be in ``gone`` pass straight through; only the others, which are about those that go, are joined.
+    ``also`` adds columns that ``match`` needs to these others.
     """
     filter_, segments = build(gone.select(F.xxhash64("__key").alias("hash")), gone.count(), 1)
     asked = marked(df, F.xxhash64(key), filter_, segments, "__maybe")
     stays = asked.where(~F.col("__maybe")).select(df.columns)
-    return stays.unionByName(asked.where("__maybe").join(gone, match, "left_anti").select(df.columns))
+    return stays.unionByName(also(asked.where("__maybe")).join(gone, match, "left_anti").select(df.columns))

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenura.llm import bloom
 from tenura.llm.tables import pieces, same
@@ -62,6 +63,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return asked.mapInArrow(step, asked.select("id").schema.add("fp", "long"))
 
 
+def with_fingerprint(docs: DataFrame, name: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with the fingerprint of each row's text as ``name``."""
+
+    def step(batches):
+        for batch in pieces(batches, text_col):
+            found = np.array([fingerprint(t or "") for t in batch.column(text_col).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(step, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+
+
 # --- pairs within a leaf -------------------------------------------------------------------------------------------
 
 
@@ -273,10 +285,13 @@ def fingerprint_text(fp):
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group, that of the smallest id, with the columns of ``docs``. Rows without id stay.
 
-    ``groups`` is what ``near_groups`` says of ``docs``. Rows that share an id are taken for one document.
+    ``groups`` is what ``near_groups`` says of ``docs``. Of rows that share an id only those go whose own text is in a group with a
+    smaller id; the others are taken for one document.
     """
-    gone = stage(groups.where(~same(F.col(id_col), F.col("component_id"))).select(F.col(id_col).alias("__key")).where("__key IS NOT NULL").distinct(), "gone")
-    return bloom.without(docs, gone, F.col(id_col), F.col(id_col) == F.col("__key"))
+    odd = groups.where(~same(F.col(id_col), F.col("component_id")) & F.col(id_col).isNotNull())
+    gone = stage(odd.select(F.col(id_col).alias("__key"), F.col("fp").alias("__fp")).distinct(), "gone")
+    meets = (F.col(id_col) == F.col("__key")) & (F.col("__own") == F.col("__fp"))
+    return bloom.without(docs, gone, F.col(id_col), meets, lambda asked: with_fingerprint(asked, "__own", text_col))

@@ -90,6 +90,14 @@ def test_near_copies_leave_one(edge):
     assert {r.doc_id for r in kept.collect() if r.doc_id is not None} == {i for i, c in groups.items() if i == c}
 
 
+def test_a_text_without_near_copy_stays_where_its_id_is_repeated(spark):
+    words = "one two three four five six seven eight"
+    rows = [(3, words), (5, words.upper()), (5, "quite another text of its own"), (9, "quite another  text of its own"), (7, None), (8, ""), (8, "clean"), (None, words)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = simhash.keep_one(docs, simhash.near_groups(docs)).collect()
+    assert {tuple(r) for r in kept} == {rows[0], rows[2], rows[4], rows[6], rows[7]} and len(kept) == 5
+
+
 ITEMS = [(1, "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"), (2, "hello World"), (3, None), (4, "!!"), (5, "X"),
          (12, "one two three four five six seven eight nine ten eleven twelve thirteen"), (None, "same line")]
 
