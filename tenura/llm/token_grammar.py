@@ -1,7 +1,7 @@
 """Token ids on disk as Re-Pair grammars: one grammar a shard, with expansion lengths for decoding any range of ids.
 
 A shard holds the ids of consecutive documents. Again and again the pairs of neighbouring symbols that occur most are
-replaced by new symbols, many pairs a pass, until a pass saves little. Stored are the rules, how many ids each rule stands
+replaced by new symbols, many pairs a pass, until no pair occurs often enough. Stored are the rules, how many ids each rule stands
 for, and the sequence that is left. A range of ids is found by a binary search in the running lengths of that sequence, and
 only the symbols it meets are expanded.
 
@@ -25,7 +25,7 @@ from tenura.session import new_folder, small_table
 
 SHARD_IDS = 1 << 18
 PART_BYTES = 64 << 20
-# A pair is worth a rule from this many uses on; a pass that saves less than this share of the sequence is the last.
+# A pair is worth a rule from this many uses on; after a pass that saves less than this share of the sequence pairs are counted exactly.
 LEAST_USES = 4
 LEAST_GAIN = 0.03
 SLOT_BITS = 18
@@ -33,16 +33,43 @@ _SLOTS = 1 << SLOT_BITS
 _HEAD = struct.Struct("<4sIIII")
 
 
+def _counts(pair: np.ndarray) -> np.ndarray:
+    """For each place how often its pair occurs at most, by hashed slots; 0 where that is not enough."""
+    slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    score = np.bincount(slot, minlength=_SLOTS)[slot]
+    score[score < LEAST_USES] = 0
+    return score
+
+
+def _ranks(pair: np.ndarray) -> np.ndarray:
+    """For each place the rank of its pair by uses that do not overlap, no two pairs alike; 0 for pairs of too few uses.
+
+    All uses of the highest rank win against their neighbours, so as long as a pair has enough uses one is replaced.
+    """
+    out = np.zeros(len(pair), np.int64)
+    found = np.flatnonzero(_counts(pair))  # a pair has no more uses than its slot
+    if len(found):
+        own = pair[found]
+        fresh = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (np.diff(found) > 1)]))
+        run = np.diff(np.append(fresh, len(own)))
+        kinds, kind = np.unique(own[fresh], return_inverse=True)
+        uses = np.bincount(kind, weights=(run + 1) // 2, minlength=len(kinds)).astype(np.int64)
+        rank = np.empty(len(kinds), np.int64)
+        rank[np.argsort(uses, kind="stable")] = np.arange(1, len(kinds) + 1)
+        rank[uses < LEAST_USES] = 0
+        out[found] = np.repeat(rank[kind], run)
+    return out
+
+
 def compress(ids: np.ndarray) -> bytes:
     """One grammar for ``ids`` (unsigned 32-bit, any values that leave room for new symbols). No ids: an empty grammar."""
     seq = ids.astype(np.uint32)
     base = int(seq.max()) + 1 if len(seq) else 0
     left, right, rules = [], [], 0
+    exact = False
     while len(seq) > 1:
         pair = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-        score = np.bincount(slot, minlength=_SLOTS)[slot]
-        score[score < LEAST_USES] = 0
+        score = _ranks(pair) if exact else _counts(pair)
         # Of overlapping pairs the more frequent is taken; in a run of equal ones every second, as in a run of one symbol.
         before, after = np.concatenate([[0], score[:-1]]), np.concatenate([score[1:], [0]])
         fresh = np.flatnonzero(score != before) if score[0] else np.concatenate([[0], np.flatnonzero(score[1:] != before[1:]) + 1])
@@ -53,8 +80,12 @@ def compress(ids: np.ndarray) -> bytes:
         kinds, kind, uses = np.unique(pair[at], return_inverse=True, return_counts=True)
         worth = uses >= LEAST_USES
         at, kind = at[worth[kind]], kind[worth[kind]]
-        if len(at) < LEAST_GAIN * len(seq) or not len(at):
+        if exact and not len(at):
             break
+        # Counts by slot mix pairs; late passes, of few pairs, count each pair for itself, and so find the last one.
+        exact = exact or len(at) < LEAST_GAIN * len(seq)
+        if not len(at):
+            continue
         symbol = np.cumsum(worth) - 1 + base + rules
         seq[at] = symbol[kind]
         keep = np.ones(len(seq), bool)

@@ -90,6 +90,22 @@ def test_near_copies_leave_one(edge):
     assert {r.doc_id for r in kept.collect() if r.doc_id is not None} == {i for i, c in groups.items() if i == c}
 
 
+@pytest.mark.parametrize("uses", [4, 30])
+def test_grammar_goes_on_until_no_pair_is_left(uses):
+    rng = np.random.default_rng(5)
+    single = rng.permutation(100_000)[:50_000]
+    pairs = np.array([[200_000 + k, 300_000 + k] for k in range(10)] * uses)
+    ids = np.concatenate([np.concatenate([single[40 * i : 40 * i + 40], p]) for i, p in enumerate(rng.permutation(pairs))] + [np.full(99, 7), single[40 * len(pairs) :]]).astype(np.uint32)
+    blob = token_grammar.compress(ids)
+    assert (token_grammar.decompress(blob) == ids).all()
+    left, most, last = token_grammar._read(blob)[3].tolist(), Counter(), {}
+    for at, pair in enumerate(zip(left, left[1:])):
+        if last.get(pair, -2) != at - 1:
+            most[pair] += 1
+            last[pair] = at
+    assert most.most_common(1)[0][1] < token_grammar.LEAST_USES
+
+
 def test_a_text_without_near_copy_stays_where_its_id_is_repeated(spark):
     words = "one two three four five six seven eight"
     rows = [(3, words), (5, words.upper()), (5, "quite another text of its own"), (9, "quite another  text of its own"), (7, None), (8, ""), (8, "clean"), (None, words)]
