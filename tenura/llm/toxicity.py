@@ -26,8 +26,8 @@ DIMENSIONS = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 6
 # Bounds of the training sample: documents, and bytes of text; the sample is the rows of least hash that fit, a row that does not being passed over.
-TRAIN_DOCS = 6_000
-TRAIN_BYTES = 24 << 20
+TRAIN_DOCS = 8_000
+TRAIN_BYTES = 32 << 20
 # Steps of gradient descent, on batches of so many documents; small samples are gone through more often.
 STEPS = 500
 BATCH = 64

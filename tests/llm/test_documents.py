@@ -340,6 +340,10 @@ def test_a_long_text_costs_only_itself(spark, monkeypatch, long_ranks):
     assert seen[0][0] == [texts[i] for i in sorted([i for rank, i in enumerate(order) if rank not in long_ranks][:4])]
 
 
+def test_the_training_sample_keeps_its_bounds():
+    assert (toxicity.TRAIN_DOCS, toxicity.TRAIN_BYTES) == (8_000, 32 << 20)
+
+
 def test_pipeline_stages_keep_what_they_should(spark, sf):
     import corpus_pipeline
 
