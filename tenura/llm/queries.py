@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tenura.llm import decontaminate, exact_dedup, extract, line_dedup, packing, simhash, token_grammar, toxicity, url_filter, warc
+from tenura.llm import (
+    decontaminate, divergence, exact_dedup, extract, line_dedup, packing, simhash, token_grammar, toxicity, url_filter, warc
+)
 from tenura.llm.tables import table
 
 
@@ -125,11 +127,35 @@ def op10_toxicity(spark, sf):
     return toxicity.score(docs, net).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op12_divergence(spark, sf):
+    return divergence.audit(table(spark, sf, "documents").select("text", "lang", "source"))
+
+
+OP12 = rf"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT r) >= {divergence.LEAST_DOCS}),
+v AS (SELECT l.lang, count(term) AS v FROM (SELECT DISTINCT lang FROM d) l LEFT JOIN k USING (lang) GROUP BY l.lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT s.lang, s.source, coalesce(sum(n), 0)::HUGEINT AS n FROM (SELECT DISTINCT lang, source FROM d) s LEFT JOIN c USING (lang, source) GROUP BY ALL),
+l AS (SELECT lang, sum(n)::HUGEINT AS n FROM g GROUP BY lang),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.n + 2 * v) AS p
+      FROM g JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+q AS (SELECT p.lang, term, 1 + (1000000000::HUGEINT * (sum(p.n)::HUGEINT + 2)) // (any_value(l.n) + 2 * any_value(v)) AS q FROM p JOIN l USING (lang) JOIN v USING (lang) GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+                coalesce((SELECT sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) FROM p x JOIN p y USING (lang, term) WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+         FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM (FROM pair UNION ALL FROM term))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
+
+
 QUERIES = {
     f.__name__: f
     for f in [
         op1_extract, op2_exact_dedup, op3_url_filter, op4_warc, op5_token_grammar, op6_decontaminate, op7_simhash, op8_packing, op9_line_dedup,
-        op10_toxicity,
+        op10_toxicity, op12_divergence,
     ]
 }
-SQL = {"op2_exact_dedup": OP2, "op3_url_filter": OP3, "op4_warc": OP4, "op6_decontaminate": OP6, "op9_line_dedup": OP9}
+SQL = {"op2_exact_dedup": OP2, "op3_url_filter": OP3, "op4_warc": OP4, "op6_decontaminate": OP6, "op9_line_dedup": OP9, "op12_divergence": OP12}
