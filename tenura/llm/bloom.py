@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenura.llm.tables import free_name
 from tenura.session import stage
 
 BITS_PER_ROW = 16
@@ -23,7 +24,7 @@ SEGMENT_BITS = 1 << 17
 _GATHERED = 1 << 20
 
 
-def _positions(hashes: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+def positions(hashes: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     """(segment, two bit positions in it) of 64-bit hashes."""
     h = hashes.view(np.uint64)
     segment = (h >> np.uint64(36)) % np.uint64(segments)
@@ -36,8 +37,8 @@ def _set_bits(segments: int):
 
     def rows(parts):
         hashes = np.concatenate(parts)
-        segment, positions = _positions(hashes, segments)
-        key = (segment.astype(np.uint64)[:, None] * np.uint64(SEGMENT_BITS) + positions).ravel()
+        segment, places = positions(hashes, segments)
+        key = (segment.astype(np.uint64)[:, None] * np.uint64(SEGMENT_BITS) + places).ravel()
         key, count = np.unique(key, return_counts=True)
         value = ((key % np.uint64(SEGMENT_BITS)) * np.uint64(2) + (count > 1)).astype("<u4")
         own = (key // np.uint64(SEGMENT_BITS)).astype(np.int32)
@@ -84,38 +85,44 @@ def build(hashes: DataFrame, rows: int, least: int) -> tuple[DataFrame, int]:
 
 
 def marked(df: DataFrame, h: Column, filter_: DataFrame, segments: int, name: str) -> DataFrame:
-    """``df`` with the boolean ``name``: whether both bits of hash ``h`` are in the filter. The positions are those of ``_positions``."""
-    own = df.withColumn("__hash", h).withColumn("__own", F.shiftrightunsigned("__hash", 36).cast("bigint") % F.lit(segments))
-    low = F.col("__hash").bitwiseAND(F.lit(SEGMENT_BITS - 1))
-    high = F.shiftrightunsigned("__hash", 17).bitwiseAND(F.lit(SEGMENT_BITS - 1))
+    """``df`` with the boolean ``name``: whether both bits of hash ``h`` are in the filter. The positions are those of ``positions``."""
+    hash_, own, at, words = (free_name(df, n) for n in ("__hash", "__own", "__at", "__words"))
+    located = df.withColumn(hash_, h).withColumn(own, F.shiftrightunsigned(hash_, 36).cast("bigint") % F.lit(segments))
+    low = F.col(hash_).bitwiseAND(F.lit(SEGMENT_BITS - 1))
+    high = F.shiftrightunsigned(hash_, 17).bitwiseAND(F.lit(SEGMENT_BITS - 1))
 
     def is_set(position):
-        word = F.element_at("__words", (F.shiftright(position, 6) + 1).cast("int"))
+        word = F.element_at(words, (F.shiftright(position, 6) + 1).cast("int"))
         return F.getbit(word, position.bitwiseAND(F.lit(63)).cast("int")) == 1
 
-    looked = own.join(F.broadcast(filter_.select(F.col("segment").cast("bigint").alias("__at"), F.col("words").alias("__words"))), F.col("__own") == F.col("__at"), "left")
-    return looked.withColumn(name, F.coalesce(is_set(low) & is_set(high), F.lit(False))).drop("__hash", "__own", "__at", "__words")
+    held = F.broadcast(filter_.select(F.col("segment").cast("bigint").alias(at), F.col("words").alias(words)))
+    looked = located.join(held, F.col(own) == F.col(at), "left")
+    return looked.withColumn(name, F.coalesce(is_set(low) & is_set(high), F.lit(False))).drop(hash_, own, at, words)
 
 
-def joined(df: DataFrame, few: DataFrame, key: Column, match: Column) -> DataFrame:
-    """The left join of ``df`` with ``few``, a staged table whose ``__key`` is what ``key`` is in ``df``.
+def joined(df: DataFrame, few: DataFrame, key: Column, few_key: str, match: Column) -> DataFrame:
+    """The left join of ``df`` with ``few``, a staged table whose column ``few_key`` is what ``key`` is in ``df``. They share no column names.
 
     Rows of ``df`` whose key cannot be in ``few`` pass straight through, with nulls for its columns.
     """
-    filter_, segments = build(few.select(F.xxhash64("__key").alias("hash")), few.count(), 1)
-    asked = marked(df, F.xxhash64(key), filter_, segments, "__maybe")
+    maybe = free_name(df, "__maybe")
+    filter_, segments = build(few.select(F.xxhash64(few_key).alias("hash")), few.count(), 1)
+    asked = marked(df, F.xxhash64(key), filter_, segments, maybe)
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in few.schema]
-    alone = asked.where(~F.col("__maybe")).select(*df.columns, *empty)
-    return alone.unionByName(asked.where("__maybe").drop("__maybe").join(few, match, "left"))
+    alone = asked.where(~F.col(maybe)).select(*df.columns, *empty)
+    return alone.unionByName(asked.where(maybe).drop(maybe).join(few, match, "left"))
 
 
-def without(df: DataFrame, gone: DataFrame, key: Column, match: Column, also: Callable[[DataFrame], DataFrame] = lambda asked: asked) -> DataFrame:
-    """``df`` less the rows that ``match`` a row of ``gone``, a staged table whose ``__key`` is what ``key`` is in ``df``.
+def without(
+    df: DataFrame, gone: DataFrame, key: Column, gone_key: str, match: Column, also: Callable[[DataFrame], DataFrame] = lambda asked: asked
+) -> DataFrame:
+    """``df`` less the rows that ``match`` a row of ``gone``, a staged table whose column ``gone_key`` is what ``key`` is in ``df``.
 
     Rows whose key cannot be in ``gone`` pass straight through; only the others, which are about those that go, are joined.
     ``also`` adds columns that ``match`` needs to these others.
     """
-    filter_, segments = build(gone.select(F.xxhash64("__key").alias("hash")), gone.count(), 1)
-    asked = marked(df, F.xxhash64(key), filter_, segments, "__maybe")
-    stays = asked.where(~F.col("__maybe")).select(df.columns)
-    return stays.unionByName(also(asked.where("__maybe")).join(gone, match, "left_anti").select(df.columns))
+    maybe = free_name(df, "__maybe")
+    filter_, segments = build(gone.select(F.xxhash64(gone_key).alias("hash")), gone.count(), 1)
+    asked = marked(df, F.xxhash64(key), filter_, segments, maybe)
+    stays = asked.where(~F.col(maybe)).select(df.columns)
+    return stays.unionByName(also(asked.where(maybe)).join(gone, match, "left_anti").select(df.columns))

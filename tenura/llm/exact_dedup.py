@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.llm import bloom
-from tenura.llm.tables import same
+from tenura.llm.tables import free_name, same
 from tenura.session import stage
 
 
@@ -52,12 +52,13 @@ def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_co
     that about the texts that go are shuffled and no more.
     """
     odd = groups.where(~F.col("kept") | (F.col("n_same") > 1))
-    gone = stage(odd.select(F.col(id_col).alias("__key"), F.col("text_sha256").alias("__sha"), F.col("kept").alias("__kept")).distinct(), "gone")
+    key, own, kept = (free_name(docs, n) for n in ("__key", "__sha", "__kept"))
+    gone = stage(odd.select(F.col(id_col).alias(key), F.col("text_sha256").alias(own), F.col("kept").alias(kept)).distinct(), "gone")
     sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
-    meets = same(F.col(id_col), F.col("__key")) & (sha == F.col("__sha"))
-    stays = bloom.without(docs, gone, F.col(id_col), meets)
+    meets = same(F.col(id_col), F.col(key)) & (sha == F.col(own))
+    stays = bloom.without(docs, gone, F.col(id_col), key, meets)
     # Rows that repeat id and text: the few that must be counted against each other.
-    again = gone.where("__kept")
+    again = gone.where(kept)
     if not again.limit(1).count():
         return stays
-    return stays.unionByName(docs.join(again, meets).dropDuplicates(["__key", "__sha"]).select(docs.columns))
+    return stays.unionByName(docs.join(again, meets).dropDuplicates([key, own]).select(docs.columns))

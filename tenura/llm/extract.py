@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.llm.labelled_pages import training_pages
-from tenura.llm.tables import pieces
+from tenura.llm.tables import free_name, pieces
 
 FEATURES = 1 << 12
 TRAIN_PAGES = 300
@@ -366,12 +366,13 @@ def extract(pages: DataFrame, model: Model | None = None, html_col: str = "html"
     """
     shared = pages.sparkSession.sparkContext.broadcast(model or train())
     held = [c for c in pages.columns if c not in ("text", "n_chars", html_col)]
-    asked = pages.select(*held, F.col(html_col).alias("_html"))
+    html = free_name(pages, "_html")
+    asked = pages.select(*held, F.col(html_col).alias(html))
     schema = pages.select(*held).withColumn("text", F.lit("")).schema
 
     def step(batches):
-        for batch in pieces(batches, "_html"):
-            texts = extract_texts(batch.column("_html").to_pylist(), shared.value)
+        for batch in pieces(batches, html):
+            texts = extract_texts(batch.column(html).to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=schema.names)
 
     return asked.mapInArrow(step, schema).withColumn("n_chars", F.char_length("text").cast("bigint"))

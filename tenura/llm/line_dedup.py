@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.tables import same
+from tenura.llm.tables import free_name, same
 from tenura.session import stage
 
 RATIO = 0.02
@@ -44,11 +44,12 @@ def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str =
     """
     lists = stage(boilerplate(docs, host_col, text_col, ratio, least), "boilerplate")
     held = docs.select(*[c for c in docs.columns if c not in ("n_lines", "n_dropped")])
-    met = held.join(lists.select(F.col("host").alias("_host"), F.col("lines").alias("_drop")), same(F.col(host_col), F.col("_host")), "left")
+    host, drop, kept = (free_name(docs, n) for n in ("_host", "_drop", "_stays"))
+    met = held.join(lists.select(F.col("host").alias(host), F.col("lines").alias(drop)), same(F.col(host_col), F.col(host)), "left")
     every = lines_of(F.col(text_col))
-    stays = F.when(F.col("_drop").isNull(), every).otherwise(F.filter(every, lambda x: ~((F.trim(x) != "") & F.array_contains("_drop", _key(x)))))
+    stays = F.when(F.col(drop).isNull(), every).otherwise(F.filter(every, lambda x: ~((F.trim(x) != "") & F.array_contains(drop, _key(x)))))
     n = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(every)).cast("bigint")
-    met = met.withColumn("n_lines", n).withColumn("_stays", stays)
-    dropped = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("_stays")).cast("bigint")
-    rebuilt = F.when(F.col(text_col).isNotNull(), F.array_join("_stays", "\n"))
+    met = met.withColumn("n_lines", n).withColumn(kept, stays)
+    dropped = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size(kept)).cast("bigint")
+    rebuilt = F.when(F.col(text_col).isNotNull(), F.array_join(kept, "\n"))
     return met.select(*[rebuilt.alias(c) if c == text_col else c for c in held.columns], "n_lines", dropped.alias("n_dropped"))

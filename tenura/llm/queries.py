@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tenura.llm import (
-    decontaminate, divergence, exact_dedup, extract, line_dedup, packing, simhash, token_grammar, toxicity, url_filter, warc
+    decontaminate, divergence, exact_dedup, extract, line_dedup, packing, simhash, substring_dedup, token_grammar, toxicity,
+    url_filter, warc,
 )
 from tenura.llm.tables import table
 
@@ -151,11 +152,27 @@ r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY valu
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
 
 
+def op13_substring_dedup(spark, sf):
+    cut = substring_dedup.remove_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+_SIZE = substring_dedup.WINDOW
+OP13 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT r, doc_id, i, array_to_string(w[i:i + {_SIZE - 1}], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - {_SIZE - 2})) AS i FROM d WHERE len(w) >= {_SIZE})),
+f AS (SELECT s, min(coalesce(doc_id, -9223372036854775808)) AS low FROM x GROUP BY s),
+h AS (SELECT DISTINCT r, unnest(range(i, i + {_SIZE})) AS p FROM x JOIN f USING (s) WHERE doc_id > low),
+k AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS kept FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN h USING (r, p) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN (SELECT r, count(*) AS n FROM h GROUP BY r) USING (r) LEFT JOIN k USING (r)"""
+
+
 QUERIES = {
     f.__name__: f
     for f in [
         op1_extract, op2_exact_dedup, op3_url_filter, op4_warc, op5_token_grammar, op6_decontaminate, op7_simhash, op8_packing, op9_line_dedup,
-        op10_toxicity, op12_divergence,
+        op10_toxicity, op12_divergence, op13_substring_dedup,
     ]
 }
-SQL = {"op2_exact_dedup": OP2, "op3_url_filter": OP3, "op4_warc": OP4, "op6_decontaminate": OP6, "op9_line_dedup": OP9, "op12_divergence": OP12}
+SQL = {"op2_exact_dedup": OP2, "op3_url_filter": OP3, "op4_warc": OP4, "op6_decontaminate": OP6, "op9_line_dedup": OP9, "op12_divergence": OP12, "op13_substring_dedup": OP13}

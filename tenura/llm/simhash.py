@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenura.llm import bloom
-from tenura.llm.tables import pieces, same
+from tenura.llm.tables import free_name, pieces, same
 from tenura.session import small_table, stage
 
 SHINGLE = 3
@@ -292,6 +292,7 @@ def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_co
     smaller id; the others are taken for one document.
     """
     odd = groups.where(~same(F.col(id_col), F.col("component_id")) & F.col(id_col).isNotNull())
-    gone = stage(odd.select(F.col(id_col).alias("__key"), F.col("fp").alias("__fp")).distinct(), "gone")
-    meets = (F.col(id_col) == F.col("__key")) & (F.col("__own") == F.col("__fp"))
-    return bloom.without(docs, gone, F.col(id_col), meets, lambda asked: with_fingerprint(asked, "__own", text_col))
+    key, print_, own = (free_name(docs, n) for n in ("__key", "__fp", "__own"))
+    gone = stage(odd.select(F.col(id_col).alias(key), F.col("fp").alias(print_)).distinct(), "gone")
+    meets = (F.col(id_col) == F.col(key)) & (F.col(own) == F.col(print_))
+    return bloom.without(docs, gone, F.col(id_col), key, meets, lambda asked: with_fingerprint(asked, own, text_col))

@@ -34,6 +34,14 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
             yield batch.slice(a, b - a)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it, so that ``df`` has no such column (names differ in more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def lowered(column: Column) -> Column:
     """A-Z to a-z, all else as it is."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -129,7 +129,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST_REVISIT) ->
     rows = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.sha1(F.col("html").cast("binary")))
     # Only pages that may be revisits meet the table of revisits; the others are written where they are read.
-    met = bloom.joined(rows, revisits, F.col("page_id"), (F.col("page_id") == F.col("__key")) & (F.col("sha") == F.col("__sha")))
+    met = bloom.joined(rows, revisits, F.col("page_id"), "__key", (F.col("page_id") == F.col("__key")) & (F.col("sha") == F.col("__sha")))
     return stage(met.select("page_id", "url", "html", "sha", "refers_to").mapInArrow(step, "key string, file string, offset bigint, length bigint"), "captures")
 
 
