@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tenura.llm import (
     decontaminate, divergence, exact_dedup, extract, line_dedup, packing, simhash, substring_dedup, token_grammar, toxicity,
-    url_filter, warc,
+    url_filter, warc, whitening,
 )
 from tenura.llm.tables import table
 
@@ -128,6 +128,10 @@ def op10_toxicity(spark, sf):
     return toxicity.score(docs, net).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_whitening(spark, sf):
+    return whitening.by_component(whitening.whiten(table(spark, sf, "embeddings")))
+
+
 def op12_divergence(spark, sf):
     return divergence.audit(table(spark, sf, "documents").select("text", "lang", "source"))
 
@@ -172,7 +176,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         op1_extract, op2_exact_dedup, op3_url_filter, op4_warc, op5_token_grammar, op6_decontaminate, op7_simhash, op8_packing, op9_line_dedup,
-        op10_toxicity, op12_divergence, op13_substring_dedup,
+        op10_toxicity, op11_whitening, op12_divergence, op13_substring_dedup,
     ]
 }
 SQL = {"op2_exact_dedup": OP2, "op3_url_filter": OP3, "op4_warc": OP4, "op6_decontaminate": OP6, "op9_line_dedup": OP9, "op12_divergence": OP12, "op13_substring_dedup": OP13}
