@@ -103,3 +103,53 @@ def lines(rows, ratio, least):
         stays = [x for x in every if not x.strip(" ") or seen[host, x.strip(" ")] < least or seen[host, x.strip(" ")] <= ratio * pages[host]]
         out.append((i, "\n".join(stays), len(every), len(every) - len(stays)))
     return out
+
+
+def cut_repeats(rows, window):
+    """(id, text) rows to (id, words, removed, kept text) rows; a null id is the smallest."""
+    split = [(i, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in rows]
+    order = [float("-inf") if i is None else i for i, _ in split]
+    least = {}
+    for o, (_, w) in zip(order, split):
+        for a in range(len(w) - window + 1):
+            s = tuple(w[a : a + window])
+            least[s] = min(o, least.get(s, o))
+    out = []
+    for o, (i, w) in zip(order, split):
+        gone = {p for a in range(len(w) - window + 1) if least[tuple(w[a : a + window])] < o for p in range(a, a + window)}
+        out.append((i, len(w), len(gone), " ".join(x for p, x in enumerate(w) if p not in gone)))
+    return out
+
+
+def divergences(rows, least_docs, top):
+    """(lang, source, text) rows to (lang, source, part, item, value, rank) rows."""
+    split = [(lang or "", source or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", low(t or ""))) for lang, source, t in rows]
+    docs, counts, whole = Counter(), defaultdict(Counter), defaultdict(Counter)
+    for lang, source, words in split:
+        docs.update({(lang, w) for w in words})
+    for lang, source, words in split:
+        held = [w for w in words if docs[lang, w] >= least_docs]
+        counts[lang, source].update(held)
+        whole[lang].update(held)
+    kept = {lang: [w for (x, w), n in docs.items() if x == lang and n >= least_docs] for lang in whole}
+
+    def p(count, total, v):
+        return 1 + 10**9 * (count + 2) // (total + 2 * v)
+
+    def f(a, b):
+        return (a - b) ** 2 // (a + b)
+
+    out = []
+    for (lang, source), own in counts.items():
+        v, total, every = len(kept[lang]), sum(own.values()), sum(whole[lang].values())
+        ps = {w: p(own[w], total, v) for w in kept[lang]}
+        pairs = []
+        for (x, other), theirs in counts.items():
+            if x == lang and other != source:
+                n = sum(theirs.values())
+                pairs.append((sum(f(ps[w], p(theirs[w], n, v)) for w in ps), other))
+        apart = [(f(a, q), w) for w, a in ps.items() if own[w] and a > (q := p(whole[lang][w], every, v))]
+        for part, found in (("pair", pairs), ("term", apart)):
+            ranked = sorted(found, key=lambda r: (-r[0], r[1].encode()))
+            out += [(lang, source, part, item, value, k) for k, (value, item) in enumerate(ranked, 1) if part == "pair" or k <= top]
+    return out
