@@ -11,6 +11,7 @@ from tenura.operators import mapping as M
 from tenura.operators import scoring as S
 from tenura.session import new_folder, small_table, stage
 from tenura.sources import catalog as C
+from tenura.sources import client_tables as CT
 from tenura.sources import csv_source as IO
 from tenura.sources import paths as P
 
@@ -18,10 +19,10 @@ from tenura.sources import paths as P
 
 
 def src_1(spark, sf):
-    """Cells with quotes, commas and line breaks; the columns are asked for in another order than the files have."""
+    """Cells with quotes, commas and line breaks in three files; the columns are asked for in another order than the files have."""
     path = new_folder(spark, "client-csv")
     raw = X.churn_raw(spark, sf).withColumn("note", F.concat(F.lit('said "hi", '), "CustID", F.lit('\nand "left"')))
-    IO.write_csv(raw, path)
+    IO.write_csv(raw.repartition(3, "src_row"), path)
     back = IO.read_client_csv(spark, path, raw.columns[::-1], order="file_row")
     return back.drop("file_row").withColumn("src_row", F.col("src_row").cast("bigint"))
 
@@ -135,15 +136,18 @@ SELECT client_id, path, starts_with(path, 's3://lake/' || client_id || '/') AS b
 
 
 def snk_1(spark, sf):
+    """Two clients one after the other, the first with half of its rows; then a rerun of the first with all of them."""
     path = new_folder(spark, "mapped")
-    table = X.mapped(spark, sf).withColumn("client_id", F.lit("retail")).withColumn("run_date", F.lit("2024-02-01"))
-    IO.write_table(table, path)
-    back = spark.read.schema(table.schema).parquet(path)
+    table = X.mapped(spark, sf).withColumn("run_date", F.lit("2024-02-01"))
+    retail, other = (table.withColumn("client_id", F.lit(c)) for c in ("retail", "other"))
+    for batch in (retail.where("monthly_charges < 60"), other, retail):
+        CT.write_table(batch, path)
+    back = spark.read.schema(retail.schema).parquet(path)
     return back.select(*X.FIELDS, "client_id", "run_date")
 
 
 _FIELDS = ", ".join(X.FIELDS)
-SNK_1 = X.MAPPED_SQL + f" SELECT {_FIELDS}, 'retail' AS client_id, '2024-02-01' AS run_date FROM mapped"
+SNK_1 = X.MAPPED_SQL + f" SELECT {_FIELDS}, client_id, '2024-02-01' AS run_date FROM mapped CROSS JOIN (VALUES ('retail'), ('other')) t(client_id)"
 
 
 def snk_2(spark, sf):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tenura.sources.paths import only_client_files
+from tenura.sources.csv_records import csv_records, header_names, parse_records
 
 # Text that a CSV cell may hold to say "nothing here"; empty cells count as well.
 NULL_TOKENS = [
@@ -37,23 +37,20 @@ def read_client_csv(
 ) -> DataFrame:
     """SRC-1: every column as text, null tokens nulled, rows numbered in file order.
 
-    Quotes are doubled inside quoted cells, and cells may hold line breaks; such files are read by one task each. A client whose
-    cells have no line breaks can set ``multi_line=False``, and large files are split. Columns go by the names in the header:
-    ``columns`` picks and orders them, and a name that is missing, or a second file with another header, is an error.
-    With ``prefix`` a file outside the client's folder fails the job (SRC-5).
+    Quotes are doubled inside quoted cells, and cells may hold line breaks; all the same large files are split among tasks
+    (``csv_records``). A client whose cells have no line breaks can set ``multi_line=False``. Columns go by the names in the header:
+    ``columns`` picks and orders them, and a name that is missing, or a second file with another header, is an error. Files without any
+    record give no rows. With ``prefix`` a file outside the client's folder fails the job (SRC-5).
 
-    ``order`` rises along a file, whose splits Spark hands out by offset. Which of several files comes first is Spark's choice, so
-    one table whose first rows matter should be one file.
+    ``order`` is 0, 1, 2 ... along the files in the order of their paths, whatever the splits. The lines are read when this is called, into a
+    copy in the shared folder.
     """
-    reader = spark.read.option("header", True).option("nullValue", "").option("emptyValue", "").option("escape", '"')
-    df = reader.option("enforceSchema", False).option("multiLine", multi_line).csv(path)
-    if columns and (missing := [c for c in columns if c not in df.columns]):
+    records = csv_records(spark, path, multi_line, prefix)
+    names = header_names(records)
+    if columns and (missing := [c for c in columns if c not in names]):
         raise ValueError(f"{path} has no columns {missing}")
-    if prefix:
-        df = only_client_files(df, prefix)
-    if columns:
-        df = df.select(*[F.col(f"`{c}`") for c in columns])
-    return null_tokens(df).withColumn(order, F.monotonically_increasing_id())
+    df = parse_records(records, names, order).select(*[F.col(f"`{c}`") for c in columns or names], F.col(f"`{order}`"))
+    return null_tokens(df)
 
 
 def sample_rows(raw: DataFrame, n: int = 5, order: str = "src_row", client: str = "client_id") -> DataFrame:
@@ -74,11 +71,6 @@ def raw_rows(df: DataFrame, client_id: str, order: str = "src_row") -> DataFrame
     return df.select(F.lit(client_id).alias("client_id"), F.col(order), F.create_map(*cells).alias("raw"))
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("client_id", "run_date"), mode: str = "error") -> None:
-    """SNK-1, SNK-2, SNK-4: parquet under the client and the run date."""
-    df.write.mode(mode).partitionBy(*[c for c in partition_by if c in df.columns]).parquet(path)
-
-
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "error") -> None:
     """SNK-3 and the CSV form of SNK-1; blanks at the ends of a cell are kept, quotes inside a cell are doubled."""
     writer = df.write.mode(mode).option("header", True).option("escape", '"')

@@ -14,6 +14,7 @@ from tenura.operators import prompts as P
 from tenura.operators import validation as VA
 from tenura.session import clear_staged, shared_folder, small_table, stage
 from tenura.sources import catalog as C
+from tenura.sources import client_tables as CT
 from tenura.sources import csv_source as IO
 from tenura.sources import paths as PA
 
@@ -114,6 +115,115 @@ def test_csv_cells_with_quotes_commas_and_line_breaks(spark, tmp_path):
         IO.read_client_csv(spark, str(tmp_path / "two")).collect()
 
 
+def _messy(rng, n):
+    cells = ["", "x", 'a "quoted" word', "two\nlines", "\n\n", "comma, here", '"', "\r\nend", " blank ", "é", "N/A", "-"]
+    return [[str(i), *(cells[rng.randrange(len(cells))] for _ in range(3))] for i in range(n)]
+
+
+@pytest.mark.parametrize("size", [None, "800", "150"])
+def test_quoted_files_are_split_and_keep_their_order(spark, tmp_path, size):
+    """Three files with quotes and line breaks, against the csv module; the same rows and numbers for any split size."""
+    import csv
+    import random
+
+    rng, want = random.Random(4), []
+    for name in ("b.csv", "a.csv", "c.csv"):
+        rows = _messy(rng, 50)
+        with (tmp_path / name).open("w", newline="") as f:
+            csv.writer(f, lineterminator="\r\n" if name == "c.csv" else "\n").writerows([["id", "x", "y y", "z"], *rows])
+        want.append((name, [[r[0], *(None if c in ("", "N/A") else c for c in r[1:])] for r in rows]))
+    want = [r for _, rows in sorted(want) for r in rows]
+    if size:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = IO.read_client_csv(spark, str(tmp_path))
+        got = [list(r) for r in df.orderBy("src_row").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r[:4] for r in got] == want and [r[4] for r in got] == list(range(150))
+
+
+def test_first_rows_win_over_several_files(spark, tmp_path):
+    """CLN-2 on three files: the first file by its path holds the row that stays."""
+    for k, name in enumerate(("c.csv", "a.csv", "b.csv")):
+        (tmp_path / name).write_text("customer_id,v\n" + "".join(f'{i},"{name}\n{i}"\n' for i in range(k, 40)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        kept = K.keep_first(IO.read_client_csv(spark, str(tmp_path)))
+        got = {r["customer_id"]: r["v"] for r in kept.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {str(i): f"{'a.csv' if i else 'c.csv'}\n{i}" for i in range(40)}
+
+
+def test_csv_files_with_nothing_in_them_and_open_quotes(spark, tmp_path):
+    for name, text in (("empty.csv", ""), ("blank.csv", "\n\n"), ("head.csv", "id,x,\n"), ("open.csv", 'id,x\n1,"a\n2,b\n')):
+        (tmp_path / name).write_text(text)
+    assert IO.read_client_csv(spark, str(tmp_path / "empty.csv")).columns == ["src_row"]
+    assert IO.read_client_csv(spark, str(tmp_path / "blank.csv")).count() == 0
+    head = IO.read_client_csv(spark, str(tmp_path / "head.csv"))
+    assert head.columns == ["id", "x", "_c2", "src_row"] and head.count() == 0
+    with pytest.raises(Exception, match="not closed"):
+        IO.read_client_csv(spark, str(tmp_path / "open.csv")).collect()
+    assert [tuple(r) for r in IO.read_client_csv(spark, str(tmp_path / "open.csv"), multi_line=False).collect()][1:] == [("2", "b", 1)]
+
+
+def _state(spark, path):
+    return sorted((r["client_id"], r["run_date"], r["v"]) for r in spark.read.schema("v long, client_id string, run_date string").parquet(path).collect())
+
+
+def _batch(spark, client, values, day="d1"):
+    return small_table(spark, [(v, client, day) for v in values], "v long, client_id string, run_date string")
+
+
+def test_clients_share_a_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    CT.write_table(_batch(spark, "a", [1, 2]), path)
+    assert _state(spark, path) == [("a", "d1", 1), ("a", "d1", 2)]
+    CT.write_table(_batch(spark, "b", [5]).union(_batch(spark, "b", [6], "d2")), path)
+    assert _state(spark, path) == [("a", "d1", 1), ("a", "d1", 2), ("b", "d1", 5), ("b", "d2", 6)]
+    CT.write_table(_batch(spark, "a", [3]), path)
+    assert _state(spark, path) == [("a", "d1", 3), ("b", "d1", 5), ("b", "d2", 6)]
+    with pytest.raises(FileExistsError):
+        CT.write_table(_batch(spark, "c", [7]).union(_batch(spark, "b", [8], "d2")), path, mode="error")
+    CT.write_table(_batch(spark, "c", []), path)
+    assert _state(spark, path) == [("a", "d1", 3), ("b", "d1", 5), ("b", "d2", 6)]
+    assert not [p for p in (tmp_path / "t").iterdir() if p.name.startswith("_")]
+
+
+def test_a_write_that_dies_is_completed_or_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    CT.write_table(_batch(spark, "a", [1]).union(_batch(spark, "b", [1])), path)
+    new = _batch(spark, "a", [2]).union(_batch(spark, "b", [2]))
+
+    def dies(*args):
+        raise KeyboardInterrupt
+
+    # Before the exchange begins: the marker is there, nothing is exchanged yet.
+    with monkeypatch.context() as m:
+        m.setattr(CT, "_publish", dies)
+        with pytest.raises(KeyboardInterrupt):
+            CT.write_table(new, path)
+    assert _state(spark, path) == [("a", "d1", 1), ("b", "d1", 1)]
+    # In the middle: one partition is exchanged, the other one deleted only.
+    (batch,) = (tmp_path / "t").glob("_batch-*")
+    for p in (tmp_path / "t/client_id=a/run_date=d1").iterdir():
+        p.unlink()
+    (tmp_path / "t/client_id=a/run_date=d1").rmdir()
+    assert CT.finish_writes(spark, path) == 1 and CT.finish_writes(spark, path) == 0
+    assert _state(spark, path) == [("a", "d1", 2), ("b", "d1", 2)]
+    # Before the marker: no reader and no later write sees it.
+    with monkeypatch.context() as m:
+        m.setattr(CT, "_COMPLETE", "nowhere/\0")
+        with pytest.raises(Exception):
+            CT.write_table(_batch(spark, "a", [9]), path)
+    CT.write_table(_batch(spark, "b", [3]), path)
+    assert _state(spark, path) == [("a", "d1", 2), ("b", "d1", 3)]
+    assert CT.drop_unfinished(spark, path) == 1 and not list((tmp_path / "t").glob("_batch-*"))
+
+
 def test_written_csv_is_read_by_others(spark, tmp_path):
     import csv
 
