@@ -34,16 +34,21 @@ class Leaf(NamedTuple):
 
 def tree_leaves(model) -> list[Leaf]:
     """All leaves of a fitted tree ensemble, values scaled to log-odds. As large as the model, not as the data."""
+    nodes, leaves = tree_nodes(model), []
+    for tree, weight in enumerate(model.treeWeights):
+        leaves += _paths(nodes[tree], 2.0 * weight)
+    return leaves
+
+
+def tree_nodes(model) -> dict[int, dict[int, object]]:
+    """The nodes of each tree by their number, 0 at the root. As large as the model, not as the data."""
     spark = SparkSession.active()
     path = new_folder(spark, "trees")
     model.write().save(path)
     nodes: dict[int, dict[int, object]] = {}
     for r in spark.read.parquet(f"{path}/data").collect():
         nodes.setdefault(r["treeID"], {})[r["nodeData"]["id"]] = r["nodeData"]
-    leaves = []
-    for tree, weight in enumerate(model.treeWeights):
-        leaves += _paths(nodes[tree], 2.0 * weight)
-    return leaves
+    return nodes
 
 
 def _paths(tree: dict, scale: float) -> list[Leaf]:
@@ -94,29 +99,96 @@ def leaf_contributions(codes, share: Sequence[float], value: float):
     return value * (met - share) * (around @ (weights / 2))
 
 
+class _Group(NamedTuple):
+    """Neighbouring leaves. A row is told by which of the ``conditions`` it meets, a bit each; members name theirs by place."""
+
+    conditions: tuple[tuple[int, float, float], ...]
+    features: tuple[int, ...]
+    members: tuple[tuple[float, tuple[float, ...], tuple[int, ...], tuple[int, ...]], ...]
+
+
+# Conditions and leaves of a group. Neighbours share most of their path, so few of the patterns of so many bits occur.
+_BITS, _LEAVES = 10, 4
+# Bytes of worked-out patterns that a task keeps for its later batches.
+_KEPT_BYTES = 128 << 20
+
+
+def _grouped(leaves: Sequence[Leaf]) -> list[_Group]:
+    out: list[_Group] = []
+    held: list[Leaf] = []
+    conditions: dict[tuple[int, float, float], int] = {}
+
+    def close():
+        features = sorted({f for leaf in held for f in leaf.features})
+        members = tuple(
+            (leaf.value, leaf.share, tuple(features.index(f) for f in leaf.features), tuple(conditions[c] for c in zip(leaf.features, leaf.low, leaf.high)))
+            for leaf in held
+        )
+        out.append(_Group(tuple(conditions), tuple(features), members))
+
+    for leaf in map(Leaf._make, leaves):
+        if not leaf.features:
+            continue
+        own = list(zip(leaf.features, leaf.low, leaf.high))
+        if held and (len(held) == _LEAVES or len({*conditions, *own}) > _BITS):
+            close()
+            held, conditions = [], {}
+        held.append(leaf)
+        for c in own:
+            conditions.setdefault(c, len(conditions))
+    if held:
+        close()
+    return out
+
+
 def tree_contributions(df: DataFrame, leaves: Sequence[Leaf], names: Sequence[str], output: str = "contributions") -> DataFrame:
     """Path-dependent Shapley values per row, as ``array<double>`` in the order of ``names``.
 
-    For one leaf only the pattern "which of its features does the row meet" matters; its values are worked out for the patterns
-    that a batch holds. Only the features go through Python. The leaves are the model and travel as a broadcast variable.
+    For a few neighbouring leaves only the pattern "which of their ranges does the row meet" matters. Patterns are found by counting,
+    not by sorting, their values are worked out once a task, and a row looks its own up. Only the features go through Python. The
+    leaves are the model and travel as a broadcast variable. A missing feature meets no range.
     """
-    shared = df.sparkSession.sparkContext.broadcast([tuple(leaf) for leaf in leaves])
+    shared = df.sparkSession.sparkContext.broadcast(_grouped(leaves))
     width = len(names)
+    known: dict = {}
 
     @F.arrow_udf("array<double>")
     def explain(cells: pa.Array) -> pa.Array:
         import numpy as np
 
-        x = cells.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+        x = np.ascontiguousarray(cells.flatten().to_numpy(zero_copy_only=False).reshape(-1, width).T)
+        rows = x.shape[1]
         total = np.zeros_like(x)
-        for value, features, low, high, share in shared.value:
-            if not features or not len(x):
-                continue
-            part = x[:, list(features)]
-            pattern = ((part > np.array(low)) & (part <= np.array(high))) @ (1 << np.arange(len(features)))
-            codes, place = np.unique(pattern, return_inverse=True)
-            total[:, list(features)] += leaf_contributions(codes, share, value)[place]
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * width, pa.int32()), pa.array(total.ravel()))
+        met: dict = {}
+        for number, group in enumerate(shared.value if rows else ()):
+            pattern = np.zeros(rows, np.uint32)
+            for bit, condition in enumerate(group.conditions):
+                if condition not in met:
+                    if len(met) > 512:
+                        met.clear()
+                    f, low, high = condition
+                    inside = x[f] <= high
+                    if low > -np.inf:
+                        inside &= x[f] > low
+                    met[condition] = inside.astype(np.uint32)
+                pattern |= met[condition] << np.uint32(bit)
+            place, values = known.get(number) or (np.full(1 << len(group.conditions), -1, np.int32), np.empty((len(group.features), 0)))
+            at = place[pattern]
+            if at.min() < 0:
+                new = np.flatnonzero(np.bincount(pattern[at < 0]))
+                made = np.zeros((len(group.features), len(new)))
+                for value, share, own, bits in group.members:
+                    codes = sum(((new >> b) & 1) << i for i, b in enumerate(bits))
+                    made[list(own)] += leaf_contributions(codes, share, value).T
+                place[new] = values.shape[1] + np.arange(len(new))
+                values = np.hstack([values, made])
+                at = place[pattern]
+                kept = known.get("bytes", 0) + made.nbytes + (0 if number in known else place.nbytes)
+                if kept <= _KEPT_BYTES:
+                    known[number], known["bytes"] = (place, values), kept
+            for f, own in zip(group.features, values):
+                total[f] += own[at]
+        return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * width, pa.int32()), pa.array(total.T.ravel()))
 
     cells = [F.coalesce(F.col(n).cast("double"), F.lit(float("nan"))) for n in names]
     return df.withColumn(output, explain(F.array(*cells)))

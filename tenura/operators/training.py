@@ -7,14 +7,17 @@ from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.common import _py2java
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenura.operators.contributions import tree_nodes
 from tenura.operators.evaluation import auc
-from tenura.operators.scoring import predict
 from tenura.session import shared_folder, small_table
 
 # Default settings of the boosted trees.
@@ -75,6 +78,47 @@ def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel
     return GBTClassificationModel._from_java(cut)
 
 
+def leaf_values(model: GBTClassificationModel) -> list[list[float]]:
+    """Per tree what each leaf adds to the margin, leaves from left to right, as Spark numbers them."""
+    nodes, out = tree_nodes(model), []
+    for tree, weight in enumerate(model.treeWeights):
+        own, todo = [], [0]
+        while todo:
+            node = nodes[tree][todo.pop()]
+            if node["leftChild"] < 0:
+                own.append(2.0 * weight * node["prediction"])
+            else:
+                todo += [node["rightChild"], node["leftChild"]]
+        out.append(own)
+    return out
+
+
+def round_margins(model: GBTClassificationModel, df: DataFrame, name: str = "margins") -> DataFrame:
+    """``df`` with the margin after each round, as one ``array<double>`` a row: the running sum of the leaves that the row falls in."""
+    values = leaf_values(model)
+    table = np.zeros((len(values), max(map(len, values))))
+    for tree, own in enumerate(values):
+        table[tree, : len(own)] = own
+    shared = df.sparkSession.sparkContext.broadcast(table)
+
+    @F.arrow_udf("array<double>")
+    def summed(leaves: pa.Array) -> pa.Array:
+        trees = shared.value.shape[0]
+        at = leaves.flatten().to_numpy(zero_copy_only=False).reshape(-1, trees).astype(np.int64)
+        margins = shared.value[np.arange(trees), at].cumsum(axis=1)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * trees, pa.int32()), pa.array(margins.ravel()))
+
+    told = model.copy({model.leafCol: "_leaves"}).transform(df)
+    return told.select(*df.columns, summed(vector_to_array("_leaves")).alias(name))
+
+
+def round_aucs(model: GBTClassificationModel, df: DataFrame, label: str = "churn_label") -> list[float | None]:
+    """The AUC of the model of the first 1, 2, ... rounds on ``df``, all in one grouped job; null where one class is missing."""
+    every = round_margins(model, df.select("features", label)).select(label, F.posexplode("margins").alias("round", "margin"))
+    areas = {r["round"]: r["auc"] for r in auc(every, label, "margin", ["round"]).collect()}
+    return [areas.get(i) for i in range(model.getNumTrees)]
+
+
 def fit_trees(
     df: DataFrame,
     settings: Mapping[str, float] | None = None,
@@ -85,15 +129,15 @@ def fit_trees(
     seed: int = 42,
     patience: int = PATIENCE,
 ) -> GBTClassificationModel:
-    """TRN-3: fit on the train rows and keep the rounds up to the best validation loss.
+    """TRN-3: fit on the train rows and keep the rounds up to the best AUC on the validation rows.
 
-    Training ends when ``patience`` rounds have brought no better loss. Spark cannot go on from a fitted model, so it
-    is fitted with three times the patience first, and with all rounds where the best loss is still too recent;
-    the early trees come out the same each time. ``df`` has ``features``, the label and, where named, the weight and
-    split columns. Rows are cached while training; long lineages are cut by Spark's checkpoints in the shared folder.
+    The best is the one after which ``patience`` rounds bring no better one. Spark cannot go on from a fitted model, so all rounds are
+    fitted, once, and the AUC of each is told from the margins after each round. Without validation rows of both classes all rounds
+    stay. ``df`` has ``features``, the label and, where named, the weight and split columns. Rows are cached while training and worked
+    out anew where a cached block is lost; long lineages are cut by Spark's checkpoints in the shared folder.
     """
     with _parts(df, label, weight, split) as (train, held):
-        return _fit_parts(train, held, settings, rounds, label, weight, seed, patience)
+        return _fit_parts(train, held, settings, rounds, label, weight, seed, patience)[0]
 
 
 @contextmanager
@@ -113,16 +157,15 @@ def _parts(df: DataFrame, label: str, weight: str | None, split: str | None):
             held.unpersist()
 
 
-def _fit_parts(train, held, settings, rounds, label, weight, seed, patience) -> GBTClassificationModel:
+def _fit_parts(train, held, settings, rounds, label, weight, seed, patience) -> tuple[GBTClassificationModel, float | None]:
+    """The model of the rounds that stay, and its AUC on the validation rows."""
     columns = {"labelCol": label, **({"weightCol": weight} if weight else {})}
-    if held is None or held.isEmpty():
-        return tree_classifier(settings, rounds, seed, **columns).fit(train)
-    for n in dict.fromkeys((min(rounds, 3 * patience), rounds)):
-        model = tree_classifier(settings, n, seed, **columns).fit(train)
-        keep, done = best_round(model.evaluateEachIteration(held), patience)
-        if done:
-            break
-    return first_trees(model, keep)
+    model = tree_classifier(settings, rounds, seed, **columns).fit(train)
+    areas = round_aucs(model, held, label) if held is not None else [None]
+    if None in areas:
+        return model, None
+    keep, _ = best_round([-a for a in areas], patience)
+    return first_trees(model, keep), areas[keep - 1]
 
 
 def fit_linear(df: DataFrame, label: str = "churn_label", weight: str | None = "weight", split: str | None = "split", iterations: int = 50) -> LogisticRegressionModel:
@@ -156,8 +199,7 @@ def tune_trees(df: DataFrame, settings: list[dict[str, float]], rounds: int = MA
 
         def run(item):
             i, s = item
-            model = _fit_parts(train, held, s, rounds, label, weight, seed, PATIENCE)
-            area = auc(predict(model, held, "p").withColumnRenamed(label, "y")).first()["auc"]
+            model, area = _fit_parts(train, held, s, rounds, label, weight, seed, PATIENCE)
             return (i, *[float(s[k]) for k in SETTING_RANGES], model.getNumTrees, area)
 
         with ThreadPool(parallelism) as pool:

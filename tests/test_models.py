@@ -115,6 +115,31 @@ def test_tree_contributions_are_shapley_values(spark):
         assert r["contributions"] == pytest.approx(shapley(leaves, [r[c] for c in names], 4), abs=1e-9)
 
 
+def test_contributions_of_many_deep_leaves(spark):
+    """Leaves of several hundred paths of up to 11 features, each by itself and all together; missing and infinite features."""
+    rng = np.random.default_rng(8)
+    names = [f"x{i}" for i in range(12)]
+    leaves = []
+    for _ in range(300):
+        features = tuple(sorted(rng.choice(12, int(rng.integers(0, 12)), replace=False).tolist()))
+        ends = np.sort(rng.integers(-2, 6, (len(features), 2)), axis=1) + [0, 1]
+        low = tuple(float("-inf") if rng.random() < 0.3 else float(a) for a, _ in ends)
+        high = tuple(float("inf") if rng.random() < 0.3 else float(b) for _, b in ends)
+        leaves.append(CO.Leaf(float(rng.normal()), features, low, high, tuple(rng.uniform(0.1, 0.9, len(features)).tolist())))
+    x = rng.integers(-2, 7, (60, 12)).astype(float)
+    x[0, 3], x[1, 4] = np.nan, np.inf
+    want = np.zeros_like(x)
+    for leaf in leaves:
+        at = list(leaf.features)
+        if at:
+            met = (x[:, at] > np.array(leaf.low)) & (x[:, at] <= np.array(leaf.high)) | (np.isposinf(x[:, at]) & np.isposinf(leaf.high))
+            want[:, at] += CO.leaf_contributions(met @ (1 << np.arange(len(at))), leaf.share, leaf.value)
+    df = small_table(spark, [(i, *map(float, v)) for i, v in enumerate(x)], "i bigint, " + ", ".join(f"{n} double" for n in names))
+    got = CO.tree_contributions(df.repartition(2), leaves, names).orderBy("i").collect()
+    assert np.abs(np.array([r["contributions"] for r in got]) - want).max() < 1e-9
+    assert CO.tree_contributions(df.limit(0), leaves, names).count() == 0
+
+
 def test_early_stopping(spark):
     assert T.best_round([5.0, 4.0, 4.5, 4.6, 3.0], 2) == (2, True)
     assert T.best_round([5.0, 4.0, 4.5, 4.6, 3.0], 3) == (5, False)
@@ -126,10 +151,21 @@ def test_early_stopping(spark):
     settings = {"max_depth": 3, "eta": 0.3}
     kept = T.fit_trees(table, settings, rounds=12, weight=None, patience=2)
     full = T.fit_trees(table.filter("split = 'train'"), settings, rounds=12, weight=None, split=None)
-    losses = full.evaluateEachIteration(table.filter("split = 'validation'"))
-    keep, done = T.best_round(losses, 2)
+    held = table.filter("split = 'validation'")
+    # The AUC of each round by counting pairs, from the scores of the model cut to these rounds.
+    areas = []
+    for n in range(1, 13):
+        scores = [(r["churn_label"], r["p"]) for r in S.predict(T.first_trees(full, n), held, "p").collect()]
+        pairs = [(p > q) + 0.5 * (p == q) for y, p in scores if y for z, q in scores if not z]
+        areas.append(sum(pairs) / len(pairs))
+    assert T.round_aucs(full, held) == pytest.approx(areas, abs=1e-12)
+    keep, done = T.best_round([-a for a in areas], 2)
     assert kept.getNumTrees == keep < 12 and done
-    assert kept.evaluateEachIteration(table.filter("split = 'validation'")) == pytest.approx(losses[:keep])
+    assert kept.evaluateEachIteration(held) == pytest.approx(full.evaluateEachIteration(held)[:keep])
+    for r in T.round_margins(full, full.transform(held).select("features", vector_to_array("rawPrediction")[1].alias("raw"))).collect():
+        assert len(r["margins"]) == 12 and r["margins"][-1] == pytest.approx(2.0 * r["raw"], abs=1e-12)
+    one_class = table.withColumn("churn_label", F.when(F.col("split") == "validation", 0).otherwise(F.col("churn_label")))
+    assert T.fit_trees(one_class, settings, rounds=3, weight=None).getNumTrees == 3
     scored = S.predict(kept, table).agg(F.min("churn_probability"), F.max("churn_probability")).first()
     assert 0.0 <= scored[0] < scored[1] <= 1.0
 
