@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -81,6 +82,15 @@ def expected_margin(leaves: Sequence[Leaf]) -> float:
     return total
 
 
+@lru_cache
+def _gauss(n: int):
+    """Nodes and weights on 0 to 1."""
+    import numpy as np
+
+    nodes, weights = np.polynomial.legendre.leggauss(n)
+    return (nodes + 1) / 2, weights / 2
+
+
 def leaf_contributions(codes, share: Sequence[float], value: float):
     """Shapley values of one leaf for patterns, a bit a feature that says whether a row meets its range.
 
@@ -90,13 +100,12 @@ def leaf_contributions(codes, share: Sequence[float], value: float):
     import numpy as np
 
     m = len(share)
-    nodes, weights = np.polynomial.legendre.leggauss((m + 1) // 2 or 1)
-    t = (nodes + 1) / 2
+    t, weights = _gauss((m + 1) // 2 or 1)
     met = ((codes[:, None] >> np.arange(m)) & 1).astype(float)
     share = np.array(share)
     terms = share[None, :, None] * (1 - t) + met[:, :, None] * t
     around = terms.prod(1, keepdims=True) / terms
-    return value * (met - share) * (around @ (weights / 2))
+    return value * (met - share) * (around @ weights)
 
 
 class _Group(NamedTuple):
