@@ -305,5 +305,18 @@ SELECT pos, field, tier, present, n_num + n_values AS n_bad, n_values AS n_bad_v
               || '''month-to-month'', ''one_year'', ''two_year''' || ']' END AS error
 FROM fields"""
 
+CLIENTS = ["north", "south", "west"]
+
+
+def val_7_clients(spark, sf):
+    """The report of three clients in one job, from one reading of their table."""
+    client = F.element_at(F.array(*[F.lit(c) for c in CLIENTS]), (F.col("customer_id").cast("bigint") % 3 + 1).cast("int"))
+    table = X.deduped(spark, sf).withColumns({"client_id": client, "contract_type": F.concat(F.lit("way "), "customer_id")})
+    return V.validation_report(table, group=["client_id"])
+
+
+_OWN = "SELECT '{}' AS client_id, * FROM (WITH parsed AS (SELECT * FROM everyone WHERE CAST(customer_id AS BIGINT) % 3 = {}){})"
+VAL_7_CLIENTS = X.PARSED_SQL + ", everyone AS (SELECT * FROM parsed) " + " UNION ALL ".join(_OWN.format(c, i, VAL_7[len(X.PARSED_SQL) :]) for i, c in enumerate(CLIENTS))
+
 QUERIES = {n: f for n, f in list(globals().items()) if n.startswith(("cln_", "val_")) and callable(f)}
 SQL = {n.lower(): s for n, s in list(globals().items()) if n.startswith(("CLN_", "VAL_")) and isinstance(s, str)}

@@ -9,10 +9,13 @@ from checks import fixtures as X
 from tenura.operators import contributions as CO
 from tenura.operators import evaluation as E
 from tenura.operators import features as FE
+from tenura.operators import group_features as GF
+from tenura.operators import registry as R
 from tenura.operators import scoring as S
 from tenura.operators import splitting as SP
 from tenura.operators import training as T
-from tenura.session import small_table, stage
+from tenura.session import new_folder, small_table, stage
+from tenura.sources import client_tables as CT
 
 # --- features --------------------------------------------------------------------------------------------------
 
@@ -171,6 +174,29 @@ FEA_10 = X.CLEANED_SQL + FILLS_CTE + " " + " UNION ALL ".join(
 SNK_2 = FEA_10
 
 
+CLIENTS = ["north", "south", "west"]
+
+
+def _clients(df):
+    """The customers of the table dealt to three clients."""
+    return df.withColumn("client_id", F.element_at(F.array(*[F.lit(c) for c in CLIENTS]), (F.col("customer_id").cast("bigint") % 3 + 1).cast("int")))
+
+
+def for_clients(base, name, rest):
+    """SQL that is ``rest`` for each client by itself; ``name`` is the table of ``base`` that it reads."""
+    own = "SELECT '{}' AS client_id, * FROM (WITH {} AS (SELECT * FROM everyone WHERE CAST(customer_id AS BIGINT) % 3 = {}){})"
+    return base + f", everyone AS (SELECT * FROM {name}) " + " UNION ALL ".join(own.format(c, name, i, rest) for i, c in enumerate(CLIENTS))
+
+
+def fea_10_clients(spark, sf):
+    """Three clients in one job; value lists by ranges over many tasks."""
+    state = GF.fit_features_by(_clients(X.cleaned(spark, sf)), few=0)
+    return state.stats.select("client_id", "feature", "kind", F.round("impute_num", 6).alias("impute_num"), "impute_cat", "n_classes", F.round("min", 4).alias("min"), F.round("max", 4).alias("max"))
+
+
+FEA_10_CLIENTS = for_clients(X.CLEANED_SQL, "cleaned", FEA_10[len(X.CLEANED_SQL) :])
+
+
 def fea_11(spark, sf):
     return _features(spark, sf).select("customer_id", *[F.round(c, 9).alias(c) for c in _SCALED])
 
@@ -420,6 +446,34 @@ SCR_5 = X.VECTORS_SQL + DELIVERABLE_CTE + " SELECT * FROM deliverable"
 SNK_3 = X.VECTORS_SQL + DELIVERABLE_CTE + " SELECT * REPLACE ('N/A' AS narrative_explanation) FROM deliverable"
 
 
+FACTORS = {"north": 1.0, "south": 2.0, "west": -1.0}
+
+
+def scr_5_clients(spark, sf):
+    """Three clients with a model each in one job, from features to deliverable; every client is dealt into several groups."""
+    clean = stage(_clients(X.cleaned(spark, sf)))
+    table = GF.apply_features_by(clean, GF.fit_features_by(clean))
+    names = ["tenure_months", "monthly_charges"]
+    models = {c: (f"{c}-1", [leaf._replace(value=leaf.value * k) for leaf in TREE], names) for c, k in FACTORS.items()}
+    path = new_folder(spark, "registry")
+    CT.write_table(R.registry_of(spark, models), path)
+    registry = spark.read.schema(R.REGISTRY_SCHEMA).parquet(path)
+    scored = R.score_by_client(table, registry, names, group_rows=100)
+    return S.deliverable(scored, names, keep=["client_id", "model_id"])
+
+
+_SIGNS = SCR_2[len(X.CLEANED_SQL) : SCR_2.rindex("SELECT customer_id, true")]
+_BY = SCR_2[SCR_2.rindex("linear_adds_up,") + 15 : SCR_2.rindex(" FROM signs")]
+_FACTOR = "CASE client_id " + " ".join(f"WHEN '{c}' THEN {k}::DOUBLE" for c, k in FACTORS.items()) + " END"
+SCR_5_CLIENTS = f"""
+WITH one AS ({for_clients(X.CLEANED_SQL, "cleaned", _SIGNS + "SELECT customer_id, t, m," + _BY + " FROM signs")}),
+scaled AS (SELECT client_id, customer_id, k * by_tenure AS bt, k * by_charges AS bc, 1 / (1 + exp(-k * CASE WHEN t = 1 THEN 0.8::DOUBLE WHEN m = 1 THEN -0.5::DOUBLE ELSE 0.3::DOUBLE END)) AS churn_probability
+           FROM (SELECT *, {_FACTOR} AS k FROM one))
+SELECT client_id, client_id || '-1' AS model_id, customer_id, {X.rounded('churn_probability', 4)} AS churn_probability, {X.TIER_SQL} AS risk_tier,
+       CASE WHEN abs(bt) > abs(bc) THEN 'tenure_months (' || {X.signed('bt')} || '); monthly_charges (' || {X.signed('bc')} || ')'
+            ELSE 'monthly_charges (' || {X.signed('bc')} || '); tenure_months (' || {X.signed('bt')} || ')' END AS top_3_reasons, 'N/A' AS narrative_explanation FROM scaled"""
+
+
 def scr_6(spark, sf):
     return S.tier_counts(S.deliverable(X.scored_vectors(spark, sf), X.VECTOR_NAMES))
 

@@ -56,13 +56,19 @@ def drop_exact_repeats(df: DataFrame, order: str = "src_row") -> DataFrame:
 def keep_first(df: DataFrame, keys: Sequence[str] | None = None, order: str = "src_row") -> DataFrame:
     """CLN-2: the earliest row per id, and per client where there is a ``client_id``; null ids count as one id. Without the id column nothing happens.
 
-    Equal rows share their id, so this alone also does the work of CLN-1 on tables that have the id.
+    Equal rows share their id, so this alone also does the work of CLN-1 on tables that have the id. Ids that repeat are counted
+    first, on their column alone; rows of other ids stay where they are, and only rows of these are ordered. ``df`` is read twice.
     """
     keys = _keys(df, keys)
     if not set(keys) <= set(df.columns):
         return df
-    rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_row")).select(*keys, "_row.*").select(*df.columns)
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
+    again = stage(counts.select(*[F.col(k).alias(f"_again_{i}") for i, k in enumerate(keys)]), "repeats")
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_again_{i}")) for i, k in enumerate(keys)])
+    # Each task keeps its own first row of an id before the shuffle, so a hot id is no burden.
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    kept = df.join(again, match, "left_semi").withColumn("_place", first).filter(F.col("_place") == 1).drop("_place")
+    return df.join(again, match, "left_anti").unionByName(kept)
 
 
 def remove_repeats(df: DataFrame, keys: Sequence[str] | None = None, order: str = "src_row") -> DataFrame:

@@ -150,26 +150,22 @@ def _grouped(leaves: Sequence[Leaf]) -> list[_Group]:
     return out
 
 
-def tree_contributions(df: DataFrame, leaves: Sequence[Leaf], names: Sequence[str], output: str = "contributions") -> DataFrame:
-    """Path-dependent Shapley values per row, as ``array<double>`` in the order of ``names``.
+class Explainer:
+    """Contributions of one model to columns of features. It keeps the patterns it has worked out for later calls."""
 
-    For a few neighbouring leaves only the pattern "which of their ranges does the row meet" matters. Patterns are found by counting,
-    not by sorting, their values are worked out once a task, and a row looks its own up. Only the features go through Python. The
-    leaves are the model and travel as a broadcast variable. A missing feature meets no range.
-    """
-    shared = df.sparkSession.sparkContext.broadcast(_grouped(leaves))
-    width = len(names)
-    known: dict = {}
+    def __init__(self, leaves: Sequence[Leaf], width: int):
+        self.groups, self.width = _grouped(leaves), width
+        self.known: dict[int, tuple] = {}
+        self.kept = 0
 
-    @F.arrow_udf("array<double>")
-    def explain(cells: pa.Array) -> pa.Array:
+    def __call__(self, x):
+        """``x`` and the result have a row for each feature. A missing feature meets no range."""
         import numpy as np
 
-        x = np.ascontiguousarray(cells.flatten().to_numpy(zero_copy_only=False).reshape(-1, width).T)
         rows = x.shape[1]
-        total = np.zeros_like(x)
+        total = np.zeros((self.width, rows))
         met: dict = {}
-        for number, group in enumerate(shared.value if rows else ()):
+        for number, group in enumerate(self.groups if rows else ()):
             pattern = np.zeros(rows, np.uint32)
             for bit, condition in enumerate(group.conditions):
                 if condition not in met:
@@ -181,23 +177,50 @@ def tree_contributions(df: DataFrame, leaves: Sequence[Leaf], names: Sequence[st
                         inside &= x[f] > low
                     met[condition] = inside.astype(np.uint32)
                 pattern |= met[condition] << np.uint32(bit)
-            place, values = known.get(number) or (np.full(1 << len(group.conditions), -1, np.int32), np.empty((len(group.features), 0)))
+            place, values = self.known.get(number) or (np.full(1 << len(group.conditions), -1, np.int32), np.empty((len(group.features), 0)))
             at = place[pattern]
             if at.min() < 0:
-                new = np.flatnonzero(np.bincount(pattern[at < 0]))
-                made = np.zeros((len(group.features), len(new)))
-                for value, share, own, bits in group.members:
-                    codes = sum(((new >> b) & 1) << i for i, b in enumerate(bits))
-                    made[list(own)] += leaf_contributions(codes, share, value).T
-                place[new] = values.shape[1] + np.arange(len(new))
-                values = np.hstack([values, made])
+                place, values = self._with_new(group, place, values, np.flatnonzero(np.bincount(pattern[at < 0])))
                 at = place[pattern]
-                kept = known.get("bytes", 0) + made.nbytes + (0 if number in known else place.nbytes)
+                kept = self.kept + values.nbytes + (0 if number in self.known else place.nbytes)
                 if kept <= _KEPT_BYTES:
-                    known[number], known["bytes"] = (place, values), kept
+                    self.known[number], self.kept = (place, values), kept
             for f, own in zip(group.features, values):
                 total[f] += own[at]
-        return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * width, pa.int32()), pa.array(total.T.ravel()))
+        return total
+
+    @staticmethod
+    def _with_new(group: _Group, place, values, new):
+        import numpy as np
+
+        made = np.zeros((len(group.features), len(new)))
+        for value, share, own, bits in group.members:
+            codes = sum(((new >> b) & 1) << i for i, b in enumerate(bits))
+            made[list(own)] += leaf_contributions(codes, share, value).T
+        place = place.copy()
+        place[new] = values.shape[1] + np.arange(len(new))
+        return place, np.hstack([values, made])
+
+
+def tree_contributions(df: DataFrame, leaves: Sequence[Leaf], names: Sequence[str], output: str = "contributions") -> DataFrame:
+    """Path-dependent Shapley values per row, as ``array<double>`` in the order of ``names``.
+
+    For a few neighbouring leaves only the pattern "which of their ranges does the row meet" matters. Patterns are found by counting,
+    not by sorting, their values are worked out once a task, and a row looks its own up. Only the features go through Python. The
+    leaves are the model and travel as a broadcast variable.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(list(leaves))
+    width = len(names)
+    held: list[Explainer] = []
+
+    @F.arrow_udf("array<double>")
+    def explain(cells: pa.Array) -> pa.Array:
+        import numpy as np
+
+        if not held:
+            held.append(Explainer(shared.value, width))
+        x = np.ascontiguousarray(cells.flatten().to_numpy(zero_copy_only=False).reshape(-1, width).T)
+        return pa.ListArray.from_arrays(pa.array(np.arange(x.shape[1] + 1) * width, pa.int32()), pa.array(held[0](x).T.ravel()))
 
     cells = [F.coalesce(F.col(n).cast("double"), F.lit(float("nan"))) for n in names]
     return df.withColumn(output, explain(F.array(*cells)))

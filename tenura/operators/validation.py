@@ -77,47 +77,57 @@ def bad_values(df: DataFrame, fields: list[ContractField] | None = None, group:
     return found.select(*group, "b.*").groupBy(*group, "field", "value").agg(F.count("*").alias("n"))
 
 
-def validation_report(df: DataFrame, fields: list[ContractField] | None = None) -> DataFrame:
-    """VAL-7 for one table: a row per contract field ``(pos, field, tier, present, n_bad, n_bad_values, error)``.
+def validation_report(df: DataFrame, fields: list[ContractField] | None = None, group: Sequence[str] = ()) -> DataFrame:
+    """VAL-7 for one table, or for each ``group`` of rows: a row per contract field ``(pos, field, tier, present, n_bad, n_bad_values, error)``.
 
     A last row with field ``*`` holds the verdict in ``present``: false when a required field is missing or there are
-    no rows. The error text counts the bad values and names the first in text order; ``bad_values`` lists
-    all of them, however many.
+    no rows; without ``group`` it is there for an empty table too. The error text counts the bad values and names the first in text
+    order; ``bad_values`` lists all of them, however many. The table is read once: each row gives what is wrong with it, and
+    tasks count that before they shuffle.
     """
     contract = fields or CONTRACT
-    have = set(df.columns)
+    have, group = set(df.columns), list(group)
     types = {f.name: f.dataType for f in df.schema}
-    spark = df.sparkSession
-    numeric = [c.field for c in contract if c.dtype in ("int", "float") and c.field in have]
-    checks = [F.count_if(V.present(F.col(c), types[c]) & V.to_number(F.col(c), types[c]).isNull()).alias(f"_bad_{c}") for c in numeric]
-    totals = df.agg(F.count("*").alias("n_rows"), *checks)
-    number_bad = {c: F.col(f"_bad_{c}") for c in numeric}
-    rows = [
+
+    def entry(field: str, kind: str, value=None):
+        return F.struct(F.lit(field).alias("field"), F.lit(kind).alias("kind"), (F.lit(None) if value is None else value).cast("string").alias("value"))
+
+    wrong = [entry("*", "rows")]
+    for c in contract:
+        if c.field not in have:
+            continue
+        cell, text = F.col(c.field), F.col(c.field).cast("string")
+        if c.dtype in ("int", "float"):
+            wrong.append(F.when(V.present(cell, types[c.field]) & V.to_number(cell, types[c.field]).isNull(), entry(c.field, "number")))
+        if c.dtype == "category" and c.allowed:
+            wrong.append(F.when(cell.isNotNull() & ~text.isin(c.allowed), entry(c.field, "value", text)))
+    told = df.select(*group, F.inline(F.filter(F.array(*wrong), lambda x: x.isNotNull())))
+    counted = told.groupBy(*group, "field", "kind", "value").agg(F.count("*").alias("n"))
+    of = {kind: F.col("kind") == kind for kind in ("rows", "number", "value")}
+    each = counted.groupBy(*group, "field").agg(
+        F.sum(F.when(of["rows"], F.col("n"))).alias("n_rows"), F.sum(F.when(of["number"], F.col("n"))).alias("n_number_bad"),
+        F.count_if(of["value"]).alias("n_bad_values"), F.sum(F.when(of["value"], F.col("n"))).alias("n_value_bad"), F.min("value").alias("first"),
+    )
+    # At most one entry per contract field.
+    found = F.collect_list(F.struct("field", F.struct("n_rows", "n_number_bad", "n_bad_values", "n_value_bad", "first")))
+    whole = each.groupBy(*group).agg(F.map_from_entries(found).alias("found"))
+    rows = F.coalesce(F.col("found")["*"]["n_rows"], F.lit(0))
+    required_there = all(c.field in have for c in contract if c.tier == REQUIRED)
+    listed = [(i, c.field, c.dtype, c.tier, c.field in have, c.allowed or []) for i, c in enumerate(contract)]
+    listed.append((len(contract), "*", "verdict", REQUIRED, required_there, []))
+    lines = [
         F.struct(
-            F.lit(i).alias("pos"),
-            F.lit(c.field).alias("field"),
-            F.lit(c.dtype).alias("dtype"),
-            F.lit(c.tier).alias("tier"),
-            (F.lit(c.field in have) & (F.col("n_rows") > 0)).alias("present"),
-            number_bad.get(c.field, F.lit(0).cast("bigint")).alias("n_number_bad"),
-            F.array(*[F.lit(a) for a in c.allowed or []]).cast("array<string>").alias("allowed"),
+            F.lit(pos).alias("pos"), F.lit(field).alias("field"), F.lit(dtype).alias("dtype"), F.lit(tier).alias("tier"), (F.lit(there) & (rows > 0)).alias("present"),
+            F.array(*[F.lit(a) for a in allowed]).cast("array<string>").alias("allowed"),
         )
-        for i, c in enumerate(contract)
-    ]
-    required_there = all(c.field in have for c in contract if c.tier == REQUIRED)
-    verdict = F.struct(
-        F.lit(len(contract)).alias("pos"),
-        F.lit("*").alias("field"),
-        F.lit("verdict").alias("dtype"),
-        F.lit(REQUIRED).alias("tier"),
-        (F.lit(required_there) & (F.col("n_rows") > 0)).alias("present"),
-        F.lit(0).cast("bigint").alias("n_number_bad"),
-        F.array().cast("array<string>").alias("allowed"),
-    )
-    per_field = totals.select("n_rows", F.inline(F.array(*rows, verdict)))
-    bad = bad_values(df, contract)
-    counts = bad.groupBy("field").agg(F.count("*").alias("n_bad_values"), F.sum("n").alias("n_value_bad"), F.min("value").alias("first"))
-    joined = per_field.join(counts, "field", "left")
+        for pos, field, dtype, tier, there, allowed in listed
+    ]
+    per_field = whole.select(*group, "found", rows.alias("n_rows"), F.inline(F.array(*lines)))
+    own = F.col("found")[F.col("field")]
+    joined = per_field.select(
+        *group, "pos", "field", "dtype", "tier", "present", "allowed", "n_rows", F.coalesce(own["n_number_bad"], F.lit(0)).alias("n_number_bad"),
+        F.coalesce(own["n_bad_values"], F.lit(0)).alias("n_bad_values"), F.coalesce(own["n_value_bad"], F.lit(0)).alias("n_value_bad"), own["first"].alias("first"),
+    )
     quoted = lambda a: F.array_join(F.transform(a, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", ")
     number_error = F.concat(
         F.lit("Field '"), F.col("field"), F.lit("': expected "), F.col("dtype"), F.lit(", but "),
@@ -129,12 +139,7 @@ def validation_report(df: DataFrame, fields: list[ContractField] | None = None)
     )
     empty_error = F.when((F.col("field") == "*") & (F.col("n_rows") == 0), "DataFrame is empty (0 rows)")
     error = F.when(F.col("n_number_bad") > 0, number_error).when(F.col("n_bad_values") > 0, value_error).otherwise(empty_error)
-    return joined.select(
-        "pos", "field", "tier", "present",
-        (F.col("n_number_bad") + F.coalesce("n_value_bad", F.lit(0))).alias("n_bad"),
-        F.coalesce("n_bad_values", F.lit(0)).alias("n_bad_values"),
-        error.alias("error"),
-    )
+    return joined.select(*group, "pos", "field", "tier", "present", (F.col("n_number_bad") + F.col("n_value_bad")).alias("n_bad"), "n_bad_values", error.alias("error"))
 
 
 def is_valid(df: DataFrame, fields: list[ContractField] | None = None) -> bool:

@@ -1,13 +1,14 @@
 """Ranks, running totals, medians and cuts against brute force, with hot keys and both ways of every size switch."""
 
 import hashlib
+import math
 import random
 import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
-from tenura.functions.order import global_rank, numeric_summary, running_totals
+from tenura.functions.order import global_rank, group_summary, numeric_summary, running_totals
 from tenura.operators import evaluation as E
 from tenura.operators import features as FE
 from tenura.operators import splitting as SP
@@ -42,6 +43,20 @@ def test_null_groups_keep_their_rows(spark):
         assert got == [("", 1, 0), ("", 2, 5), ("a", 1, 0)]
 
 
+def test_running_totals_move_rows_once(spark):
+    """One exchange by ranges; the sums are joined when the staged rows are read. Nulls add nothing, doubles are summed too."""
+    rows = [(None if i % 5 == 0 else f"g{i % 3}", i, i % 4 or None, i / 8) for i in range(400)]
+    df = small_table(spark, rows, "g string, k bigint, v bigint, w double").repartition(3)
+    out = running_totals(df, ["k"], ["v", "w"], ["g"], partitions=7, small=0)
+    assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r["k"]: (r["before_v"], r["before_w"]) for r in out.collect()}
+    seen, want = {}, {}
+    for g, k, v, w in rows:
+        want[k] = seen.get(g, (0, 0.0))
+        seen[g] = (want[k][0] + (v or 0), want[k][1] + w)
+    assert got == want
+
+
 CASES = {
     "even": [1.0, 2.0, 3.0, 10.0],
     "one": [5.0],
@@ -53,6 +68,22 @@ CASES = {
 }
 
 
+def test_exact_medians_of_many_groups(spark):
+    """Each case as a group and as a column, a hot group, a null group, a group without values; against ``numeric_summary`` of its rows."""
+    rng = random.Random(9)
+    rows = [(name, x, x * 2 if math.isfinite(x * 2) else x) for name, values in CASES.items() for x in values]
+    rows += [("hot group", float(rng.randint(0, 50)), rng.random()) for _ in range(4000)] + [(None, 1.0, None), (None, 4.0, float("nan")), ("none", None, None)]
+    rng.shuffle(rows)
+    df = small_table(spark, rows, "g string, a double, b double").repartition(4)
+    got = {(r["g"], r["column"]): r for r in group_summary(df, ["a", "b"], ["g"]).collect()}
+    assert set(got) == {(g, c) for g in {r[0] for r in rows} for c in "ab"} - {(None, "b"), ("none", "a"), ("none", "b")}
+    for (g, c), r in got.items():
+        values = [x for h, *v in rows if h == g and (x := v["ab".index(c)]) is not None and x == x]
+        low, high = sorted(values)[(len(values) - 1) // 2], sorted(values)[len(values) // 2]
+        assert (r["n"], r["min"], r["max"]) == (len(values), min(values), max(values))
+        assert r["median"] == (low if low == high else low + (high - low) * 0.5), (g, c)
+
+
 def test_exact_medians(spark):
     longest = max(map(len, CASES.values()))
     rows = [tuple(v[i] if i < len(v) else (None if i % 2 else float("nan")) for v in CASES.values()) + (None,) for i in range(longest)]
