@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tenura.contract import CONTRACT, ContractField
 from tenura.functions import values as V
 from tenura.functions.order import global_rank
-from tenura.session import stage
+from tenura.session import path_exists, stage, staged_folder
 
 # The wording of the narrative prompt.
 NARRATIVE_ROLE = (
@@ -79,14 +79,34 @@ def narrative_prompts(batched: DataFrame, definitions: Mapping[str, str] | None
     return listed.groupBy("batch_id").agg(F.count("*").alias("n_customers"), F.concat(F.lit(prompt_head(definitions)), joined).alias("prompt"))
 
 
-def ask(prompts: DataFrame, call: Callable[[str], str], key: str = "batch_id", tasks: int | None = None, threads: int = 4) -> DataFrame:
-    """LLM-5: ``(key, response)``; a call that raises gives a null response for its own row only.
+# Prompts of one task: what a task that dies has to ask again, at most.
+CHUNK = 8
+# Prompts after which answers are committed, at least.
+ROUND = 4096
 
-    Prompts are dealt to ``tasks`` tasks (all cores by default), each with ``threads`` calls at a time. Answers are staged, so that
-    reading them twice does not call twice; they last until ``clear_staged``.
+
+def ask(
+    prompts: DataFrame, call: Callable[[str], str], key: str = "batch_id", tasks: int | None = None, threads: int = 4, store: str | None = None, chunk: int = CHUNK, per_round: int | None = None
+) -> DataFrame:
+    """LLM-5: ``(key, response)``; a call that raises gives a null response for its own prompt only.
+
+    Answers are kept in the folder ``store`` by the hash of their prompt, and a prompt that has one is not asked again: equal prompts are
+    asked once, a rerun after a failure asks what is left, and failed calls are tried anew. Prompts are dealt to at least ``tasks``
+    tasks (all cores by default) of about ``chunk`` prompts with ``threads`` calls at a time, and answers are committed after each round of
+    ``per_round`` prompts, so a lost executor costs its chunks and a lost driver its round. Without ``store`` answers last until
+    ``clear_staged``. A null prompt is not asked.
     """
     spark = prompts.sparkSession
-    key_type = prompts.schema[key].dataType.simpleString()
+    asked = stage(prompts.select(key, "prompt", F.sha2("prompt", 256).alias("_hash")), "prompts")
+    store = store or staged_folder(spark, "answers")
+    schema = "_hash string, response string"
+    open_ = asked.where("_hash IS NOT NULL").groupBy("_hash").agg(F.first("prompt").alias("prompt"))
+    if path_exists(spark, store):
+        open_ = open_.join(spark.read.schema(schema).parquet(store), "_hash", "left_anti")
+    open_ = stage(open_, "open")
+    n, tasks = open_.count(), tasks or spark.sparkContext.defaultParallelism
+    rounds = -(-n // (per_round or max(ROUND, 8 * tasks * chunk)))
+    own_round = F.pmod(F.xxhash64("_hash"), F.lit(max(rounds, 1)))
 
     def run(frames):
         import logging
@@ -104,10 +124,16 @@ def ask(prompts: DataFrame, call: Callable[[str], str], key: str = "batch_id", t
         for frame in frames:
             with ThreadPool(threads) as pool:
                 out = pool.map(answer, frame["prompt"], chunksize=1)
-            yield pd.DataFrame({key: frame[key], "response": pd.Series(out, dtype=object, index=frame.index)})
-
-    dealt = prompts.select(key, "prompt").repartition(tasks or spark.sparkContext.defaultParallelism, key)
-    return stage(dealt.mapInPandas(run, f"{key} {key_type}, response string"), "answers")
+            yield pd.DataFrame({"_hash": frame["_hash"], "response": pd.Series(out, dtype=object, index=frame.index)})
+
+    for number in range(rounds):
+        dealt = open_.where(own_round == number).repartition(max(tasks, -(-n // (rounds * chunk))), "_hash")
+        dealt.mapInPandas(run, schema).where("response IS NOT NULL").write.mode("append").parquet(store)
+    if not path_exists(spark, store):
+        return asked.select(key, F.lit(None).cast("string").alias("response"))
+    # Two runs at once may both have answered a prompt.
+    answers = spark.read.schema(schema).parquet(store).groupBy("_hash").agg(F.min("response").alias("response"))
+    return asked.join(answers, "_hash", "left").select(key, "response")
 
 
 def parse_narratives(responses: DataFrame) -> DataFrame:

@@ -94,8 +94,12 @@ def score_batch(
     call: Callable[[str], str] | None = None,
     definitions: Mapping[str, str] | None = None,
     order: str = "src_row",
+    answers: str | None = None,
 ) -> DataFrame:
-    """Scoring: everything after the removal of repeats is one narrow pass; narratives, where asked for, add theirs."""
+    """Scoring: everything after the removal of repeats is one narrow pass; narratives, where asked for, add theirs.
+
+    ``answers`` names a folder that keeps what the model has said, for reruns.
+    """
     clean = clean_rows(apply_mapping(raw, mapping), order=order)
     names = trained.state.names
     table = predict(trained.model, apply_features(clean, trained.state, vector="features")).drop("features")
@@ -106,8 +110,8 @@ def score_batch(
             top_factors(F.col("contributions"), names).alias("top"),
         )
         batched = stage(P.batches(told, [order, "customer_id"]), "batches")
-        answers = P.ask(P.narrative_prompts(batched, definitions), call)
-        scored = P.attach_narratives(batched, P.parse_narratives(answers))
+        said = P.ask(P.narrative_prompts(batched, definitions), call, store=answers)
+        scored = P.attach_narratives(batched, P.parse_narratives(said))
     return deliverable(scored, names)
 
 

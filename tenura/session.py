@@ -75,6 +75,17 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that is cleared with the staged copies."""
+    _STAGED.append(new_folder(spark, name))
+    return _STAGED[-1]
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark._jsc.hadoopConfiguration()).exists(own)
+
+
 def clear_staged(spark: SparkSession) -> int:
     """Delete the copies this process has staged, once nothing reads them any more; returns how many."""
     return _clear_down_to(spark, 0)

@@ -393,6 +393,41 @@ def test_calls_are_spread_and_made_once(spark, tmp_path):
     assert len({r.response for r in answers.collect()}) > 1 and len(list(tmp_path.iterdir())) == 40
 
 
+def test_answers_outlive_tasks_and_jobs_that_die(spark, tmp_path):
+    """A job that dies midway keeps the rounds before; a rerun asks only what is left; failed calls are tried again; equal prompts are asked once."""
+    calls, store = tmp_path / "calls", str(tmp_path / "store")
+    calls.mkdir()
+
+    def caller(dies_at=None, fails_on=()):
+        def call(prompt):
+            import os
+            import uuid
+
+            (calls / uuid.uuid4().hex).write_text(prompt)
+            if prompt == dies_at:
+                os._exit(1)
+            if prompt in fails_on:
+                raise ValueError("down")
+            return prompt.upper()
+
+        return call
+
+    def made():
+        return [p.read_text() for p in calls.iterdir()]
+
+    prompts = small_table(spark, [(i, f"p{i % 50}") for i in range(60)] + [(99, None)], "batch_id bigint, prompt string")
+    with pytest.raises(Exception):
+        P.ask(prompts, caller(dies_at="p7"), store=store, chunk=2, per_round=10, threads=1).count()
+    kept = {r["response"].lower() for r in spark.read.parquet(store).collect()} if (tmp_path / "store").exists() else set()
+    before = len(made())
+    answers = P.ask(prompts, caller(fails_on=("p7",)), store=store, chunk=2, per_round=10, threads=1)
+    got = {r["batch_id"]: r["response"] for r in answers.collect()}
+    assert got == {**{i: None if i % 50 == 7 else f"P{i % 50}" for i in range(60)}, 99: None}
+    assert len(made()) - before == 50 - len(kept)
+    again = P.ask(prompts, caller(), store=store)
+    assert {r["batch_id"]: r["response"] for r in again.collect()}[7] == "P7" and len(made()) - before == 51 - len(kept)
+
+
 def test_failures_stay_in_their_batch(spark):
     def call(prompt):
         if "CUST_060" in prompt:
