@@ -1,7 +1,8 @@
 """Main text of web pages by a graphical model on the DOM tree.
 
 Every element and every run of text is a node with the label main or other. A node has a potential from its own features (tag,
-names, role, length, share of links), and every edge one from the two labels and the kind of child. Messages go from the
+names, role; length of its text, sentence marks, long runs of text, share of links and of the page's text, place in the page and depth;
+telling words of short texts), and every edge one from the two labels and the kind of child. Messages go from the
 leaves to the root and back (sum-product), which is exact on a tree; a run of text belongs to the main text when its
 marginal says so. The weights are learnt from labelled pages by gradient ascent on the likelihood. All trees of a batch are
 passed together, level by level.
@@ -14,18 +15,21 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.labelled_pages import training_pages
+from tenura.llm.labelled_pages import TELLING, training_pages
 from tenura.llm.tables import free_name, pieces
 
-FEATURES = 1 << 12
-TRAIN_PAGES = 300
+FEATURES = 1 << 13
+TRAIN_PAGES = 800
 STEPS = 150
+RATE = 0.3
+PENALTY = 0.1
 # Nodes of all trees that are passed together.
 PASSED_NODES = 60_000
 
@@ -209,23 +213,63 @@ def _kind(tag: str) -> int:
     return _KINDS.get(tag, 0)
 
 
+# Elements by the part they play; all others are inline.
+_ROLE = {
+    tag: role
+    for role, tags in {
+        "text": "#text", "space": "#space", "head": "h1 h2 h3 h4 h5 h6", "line": "p pre blockquote dd figcaption", "list": "ul ol dl li dt", "cell": "table tbody tr td th",
+        "box": "#root html body div section article main aside header footer nav form fieldset figure address details dialog center",
+    }.items()
+    for tag in tags.split()
+}
+# Texts of so many words are searched for telling words, and texts of so many characters count as long runs.
+SHORT_WORDS, LONG_RUN = 14, 60
+_SAID = {word: part for part, words in TELLING.items() for word in words}
+_WORD = re.compile(r"[^\W\d_]+|©")
+_MARK = re.compile(r"[.!?;:](?=\s|$)")
+
+
+def _size_step(n: int) -> int:
+    """0 for nothing, then a step for each doubling up to 2048."""
+    return min(n.bit_length(), 12)
+
+
 def forest_of(trees: list[Tree]) -> Forest:
     parent, depth, kind, node, slot, cuts = [], [], [], [], [], [0]
     for tree in trees:
         base, n = len(parent), len(tree.tag)
         own_depth = [0] * n
-        size, linked = [0] * n, [0] * n
+        size, linked, marks, runs, start = [0] * n, [0] * n, [0] * n, [0] * n, [0] * n
+        said: list[frozenset | set] = [frozenset()] * n
+        in_link = [False] * n
+        at = 0
         for i in range(1, n):
             own_depth[i] = own_depth[tree.parent[i]] + 1
+            in_link[i] = tree.tag[i] == "a" or in_link[tree.parent[i]]
+            start[i] = at
+            text = tree.text[i]
+            if text is not None and tree.tag[i] == "#text":
+                size[i] = len(text)
+                marks[i] = len(_MARK.findall(text))
+                runs[i] = int(size[i] >= LONG_RUN and not in_link[i])
+                at += size[i]
+                if size[i] < 200 and text.count(" ") < SHORT_WORDS:
+                    found = {_SAID[w] for w in _WORD.findall(text.lower()) if w in _SAID}
+                    said[i] = found or said[i]
         for i in range(n - 1, 0, -1):
-            if tree.text[i] is not None:
-                size[i] = len(tree.text[i])
+            up = tree.parent[i]
             if tree.tag[i] == "a":
                 linked[i] = size[i]
-            size[tree.parent[i]] += size[i]
-            linked[tree.parent[i]] += linked[i]
+            size[up] += size[i]
+            linked[up] += linked[i]
+            marks[up] += marks[i]
+            runs[up] += runs[i]
+            if said[i]:
+                said[up] = said[up] | said[i]
+        whole = max(size[0], 1)
         for i in range(n):
             tag = tree.tag[i]
+            role = _ROLE.get(tag, "inline")
             features = [f"tag {tag}"]
             if i and tag[0] != "#":
                 features.append(f"tag {tag} in {tree.tag[tree.parent[i]]}")
@@ -234,9 +278,22 @@ def forest_of(trees: list[Tree]) -> Forest:
                     features.append(name)
                 else:
                     words = _NAME.findall(name)
-                    features += [f"name {w}" for w in words] + [f"name {a} {b}" for a, b in zip(words, words[1:])]
-            if tag[0] != "#" and size[i]:
-                features.append(f"links {min(3, 4 * linked[i] // size[i])} {tag}")
+                    features += [f"name {w}" for w in words] + [f"name {a} {b}" for a, b in zip(words, words[1:])] + [f"stem {w[:5]}" for w in words if len(w) > 4]
+            if size[i]:
+                share = min(4, 5 * size[i] // whole)
+                if role in ("box", "cell", "list", "line", "head", "text"):
+                    features.append(f"size {_size_step(size[i])} {role}")
+                    features.append(f"marks {min(4, 250 * marks[i] // size[i])} {role}")
+                    features.append(f"place {min(4, 5 * start[i] // whole)} {role}")
+                if tag[0] != "#":
+                    part = min(3, 4 * linked[i] // size[i])
+                    features.append(f"links {part} {tag}")
+                    if role in ("box", "cell", "list"):
+                        features += [f"runs {min(5, runs[i].bit_length())} {part} {role}", f"share {share} {part} {role}", f"depth {min(4, own_depth[i] // 2)} {role}"]
+                elif in_link[i]:
+                    features.append("text in link")
+                for w in said[i]:
+                    features.append(f"said {w} {role} {0 if role == 'text' else share}")
             for s in set(_slots(features)):
                 node.append(base + i)
                 slot.append(s)
@@ -260,14 +317,16 @@ def _add(a, axis):
     return np.squeeze(top, axis) + np.log(np.exp(a - top).sum(axis))
 
 
-def marginals(forest: Forest, model: Model) -> tuple[np.ndarray, np.ndarray]:
+def marginals(forest: Forest, model: Model, known: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(probability of the label main for each node, joint probabilities (parent label, child label) for each edge).
 
-    Upward messages from the deepest level to the roots, then downward; both in logarithms.
+    Nodes that are ``known`` to be main are taken as such. Upward messages from the deepest level to the roots, then downward; both in logarithms.
     """
     n = len(forest.parent)
     own = np.zeros((n, 2))
     own[:, 1] = np.bincount(forest.node, weights=model.weights[forest.slot], minlength=n)
+    if known:
+        own[known, 1] += 60
     edge = model.edges[forest.kind]
     levels = np.argsort(forest.depth, kind="stable")
     borders = np.searchsorted(forest.depth[levels], np.arange(forest.depth.max() + 2 if n else 1))
@@ -275,7 +334,10 @@ def marginals(forest: Forest, model: Model) -> tuple[np.ndarray, np.ndarray]:
     for d in range(len(borders) - 2, 0, -1):
         rows = levels[borders[d] : borders[d + 1]]
         message[rows] = _add(edge[rows] + up[rows][:, None, :], 2)
-        np.add.at(up, forest.parent[rows], message[rows])
+        # Nodes of a level are in the order of their parents.
+        above = forest.parent[rows]
+        first = np.flatnonzero(np.append(True, above[1:] != above[:-1]))
+        up[above[first]] += np.add.reduceat(message[rows], first, axis=0)
     down = np.zeros((n, 2))
     joint = np.zeros((n, 2, 2))
     for d in range(1, len(borders) - 1):
@@ -292,8 +354,9 @@ def marginals(forest: Forest, model: Model) -> tuple[np.ndarray, np.ndarray]:
     return 1 / (1 + np.exp(np.clip(belief[:, 0] - belief[:, 1], -60, 60))), joint
 
 
-def train(n_pages: int = TRAIN_PAGES, steps: int = STEPS) -> Model:
-    """Gradient ascent on the likelihood of the labelled pages, with Adam's step sizes and a small quadratic penalty."""
+@lru_cache(maxsize=2)
+def train(n_pages: int = TRAIN_PAGES, steps: int = STEPS, rate: float = RATE, penalty: float = PENALTY) -> Model:
+    """The model, trained once a process. Gradient ascent on the likelihood of the labelled pages, with Adam's step sizes and a small quadratic penalty."""
     trees = [parse(p, labelled=True) for p in training_pages(n_pages)]
     forest = forest_of(trees)
     label = np.concatenate([t.label for t in trees])
@@ -306,12 +369,12 @@ def train(n_pages: int = TRAIN_PAGES, steps: int = STEPS) -> Model:
     for step in range(1, steps + 1):
         probable, joint = marginals(forest, model)
         slope = np.bincount(forest.slot, weights=(label - probable)[forest.node], minlength=FEATURES)
-        turn = np.zeros((len(EDGE_TAGS) + 1, 2, 2))
-        np.add.at(turn, forest.kind[inner], (there - joint)[inner])
-        for v, g, m, s in zip(values, (slope - 0.1 * model.weights, turn - 0.1 * model.edges), first, second):
+        off = (there - joint)[inner].reshape(-1, 4)
+        turn = np.stack([np.bincount(forest.kind[inner], weights=x, minlength=len(EDGE_TAGS) + 1) for x in off.T], 1).reshape(-1, 2, 2)
+        for v, g, m, s in zip(values, (slope - penalty * model.weights, turn - penalty * model.edges), first, second):
             m += 0.1 * (g - m)
             s += 0.01 * (g * g - s)
-            v += 0.1 * (1 - step / (steps + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)
+            v += rate * (1 - step / (steps + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)
     return model
 
 
@@ -343,6 +406,19 @@ def text_of(tree: Tree, main: np.ndarray) -> str:
     return "\n".join(t for t in (" ".join(b.split()) for b in _blocks(tree, main)) if t)
 
 
+def _likeliest_run(tree: Tree, probable: np.ndarray, base: int) -> int | None:
+    """The likeliest long run of text outside of links, by its place in the forest, where no text is main as yet; else None."""
+    best, linked = None, [False] * len(tree.tag)
+    for i, text in enumerate(tree.text):
+        linked[i] = tree.tag[i] == "a" or (i > 0 and linked[tree.parent[i]])
+        if tree.tag[i] == "#text":
+            if probable[i] > 0.5:
+                return None
+            if not linked[i] and len(text) >= LONG_RUN and (best is None or probable[i] > probable[best]):
+                best = i
+    return None if best is None else base + best
+
+
 def extract_texts(pages: list[str | None], model: Model) -> list[str]:
     out: list[str] = []
     at = 0
@@ -354,7 +430,12 @@ def extract_texts(pages: list[str | None], model: Model) -> list[str]:
             nodes += len(trees[-1].tag)
             at += 1
         forest = forest_of(trees)
-        main = marginals(forest, model)[0] > 0.5
+        probable = marginals(forest, model)[0]
+        # A page with a long run of text has a main text: where none is found, its likeliest run is taken as given.
+        given = [g for t, a, b in zip(trees, forest.cuts, forest.cuts[1:]) if (g := _likeliest_run(t, probable[a:b], int(a))) is not None]
+        if given:
+            probable = marginals(forest, model, given)[0]
+        main = probable > 0.5
         out += [text_of(t, main[a:b]) for t, a, b in zip(trees, forest.cuts, forest.cuts[1:])]
     return out
 
