@@ -28,29 +28,31 @@ PART_BYTES = 64 << 20
 # A pair is worth a rule from this many uses on; after a pass that saves less than this share of the sequence pairs are counted exactly.
 LEAST_USES = 4
 LEAST_GAIN = 0.03
-SLOT_BITS = 18
+SLOT_BITS = 20
+# Ids below this are looked up in a table when a shard is decoded.
+TABLE_IDS = 1 << 20
 _SLOTS = 1 << SLOT_BITS
 _HEAD = struct.Struct("<4sIIII")
 
 
 def _counts(pair: np.ndarray) -> np.ndarray:
-    """For each place how often its pair occurs at most, by hashed slots; 0 where that is not enough."""
+    """For each pair how often it occurs at most, by hashed slots; 0 where that is not enough."""
     slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
     score = np.bincount(slot, minlength=_SLOTS)[slot]
     score[score < LEAST_USES] = 0
     return score
 
 
-def _ranks(pair: np.ndarray) -> np.ndarray:
-    """For each place the rank of its pair by uses that do not overlap, no two pairs alike; 0 for pairs of too few uses.
+def _ranks(pair: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each pair, at places ``at``, its rank by uses that do not overlap, no two pairs alike; 0 for pairs of too few uses.
 
     All uses of the highest rank win against their neighbours, so as long as a pair has enough uses one is replaced.
     """
     out = np.zeros(len(pair), np.int64)
     found = np.flatnonzero(_counts(pair))  # a pair has no more uses than its slot
     if len(found):
-        own = pair[found]
-        fresh = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (np.diff(found) > 1)]))
+        own, place = pair[found], at[found]
+        fresh = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (np.diff(place) > 1)]))
         run = np.diff(np.append(fresh, len(own)))
         kinds, kind = np.unique(own[fresh], return_inverse=True)
         uses = np.bincount(kind, weights=(run + 1) // 2, minlength=len(kinds)).astype(np.int64)
@@ -61,25 +63,43 @@ def _ranks(pair: np.ndarray) -> np.ndarray:
     return out
 
 
+def _winners(score: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which of the pairs at places ``at`` are replaced: of overlapping ones the more frequent; in a run of equal ones every second."""
+    beside = np.diff(at) == 1
+    before = np.append(0, np.where(beside, score[:-1], 0))
+    after = np.append(np.where(beside, score[1:], 0), 0)
+    fresh = np.flatnonzero(score != before)
+    run = np.diff(np.append(fresh, len(score)))
+    place = np.arange(len(score)) - np.repeat(fresh, run)
+    late = np.repeat(before[fresh] > score[fresh], run)
+    return (score >= after) & (place % 2 == late)
+
+
 def compress(ids: np.ndarray) -> bytes:
-    """One grammar for ``ids`` (unsigned 32-bit, any values that leave room for new symbols). No ids: an empty grammar."""
+    """One grammar for ``ids`` (unsigned 32-bit, any values that leave room for new symbols). No ids: an empty grammar.
+
+    A pair of too few uses never gets more of them, as only pairs with a new symbol are new. So a pass looks at the places that had
+    enough uses in the pass before and at those beside its replacements, which soon are few.
+    """
     seq = ids.astype(np.uint32)
     base = int(seq.max()) + 1 if len(seq) else 0
     left, right, rules = [], [], 0
     exact = False
-    while len(seq) > 1:
-        pair = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        score = _ranks(pair) if exact else _counts(pair)
-        # Of overlapping pairs the more frequent is taken; in a run of equal ones every second, as in a run of one symbol.
-        before, after = np.concatenate([[0], score[:-1]]), np.concatenate([score[1:], [0]])
-        fresh = np.flatnonzero(score != before) if score[0] else np.concatenate([[0], np.flatnonzero(score[1:] != before[1:]) + 1])
-        place = np.arange(len(score))
-        place -= np.repeat(fresh, np.diff(np.append(fresh, len(score))))
-        late = np.repeat(before[fresh] > score[fresh], np.diff(np.append(fresh, len(score))))
-        at = np.flatnonzero((score > 0) & (score >= after) & (place % 2 == late))
-        kinds, kind, uses = np.unique(pair[at], return_inverse=True, return_counts=True)
+    live = np.arange(max(len(seq) - 1, 0))
+    while len(live):
+        pair = (seq[live].astype(np.uint64) << np.uint64(32)) | seq[live + 1]
+        score = _ranks(pair, live) if exact else _counts(pair)
+        enough = score > 0
+        live, pair, score = live[enough], pair[enough], score[enough]
+        if not len(live):
+            if exact:
+                break
+            exact = True
+            continue
+        won = _winners(score, live)
+        kinds, kind, uses = np.unique(pair[won], return_inverse=True, return_counts=True)
         worth = uses >= LEAST_USES
-        at, kind = at[worth[kind]], kind[worth[kind]]
+        at, kind = live[won][worth[kind]], kind[worth[kind]]
         if exact and not len(at):
             break
         # Counts by slot mix pairs; late passes, of few pairs, count each pair for itself, and so find the last one.
@@ -88,9 +108,15 @@ def compress(ids: np.ndarray) -> bytes:
             continue
         symbol = np.cumsum(worth) - 1 + base + rules
         seq[at] = symbol[kind]
+        touched = np.zeros(len(seq), bool)
+        touched[live] = True
+        touched[at[at > 0] - 1] = touched[at] = True
+        # The place that goes is that of the right half; what follows it moves up beside the new symbol.
+        touched[at + 1] = False
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq = seq[keep]
+        seq, touched = seq[keep], touched[keep]
+        live = np.flatnonzero(touched[:-1])
         left.append((kinds[worth] >> np.uint64(32)).astype(np.uint32))
         right.append(kinds[worth].astype(np.uint32))
         rules += int(worth.sum())
@@ -117,7 +143,37 @@ def _read(blob: bytes):
     return base, pairs, lengths, seq
 
 
+def _flat(base: int, pairs: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, start, length): what each symbol stands for, one after the other. Rules stand on rules before them, so they are laid out in turns."""
+    rules = len(pairs)
+    size = np.ones(base + rules, np.int64)
+    size[base:] = lengths
+    start = np.zeros(base + rules, np.int64)
+    start[:base] = np.arange(base)
+    start[base:] = base + np.cumsum(lengths, dtype=np.int64) - lengths
+    ids = np.empty(base + int(lengths.sum(dtype=np.int64)), np.uint32)
+    ids[:base] = np.arange(base)
+    todo, halves = np.arange(rules), pairs.astype(np.int64)
+    done = np.ones(base + rules, bool)
+    done[base:] = False
+    while len(todo):
+        ready = done[halves[todo]].all(1)
+        own, todo = todo[ready], todo[~ready]
+        for side, shift in ((0, 0), (1, size[halves[own, 0]])):
+            part = halves[own, side]
+            ids[_stretches(start[base + own] + shift, size[part])] = ids[_stretches(start[part], size[part])]
+        done[base + own] = True
+    return ids, start, size
+
+
+def _stretches(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ..., then start[1], ...: ``size`` of each."""
+    ends = np.cumsum(size)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)
+
+
 def _expand(seq: np.ndarray, base: int, pairs: np.ndarray) -> np.ndarray:
+    """What a few symbols stand for, level by level."""
     while True:
         new = seq >= base
         if not new.any():
@@ -131,8 +187,12 @@ def _expand(seq: np.ndarray, base: int, pairs: np.ndarray) -> np.ndarray:
 
 
 def decompress(blob: bytes) -> np.ndarray:
-    base, pairs, _, seq = _read(blob)
-    return _expand(seq, base, pairs)
+    """All ids of a shard, in one gather from what its symbols stand for."""
+    base, pairs, lengths, seq = _read(blob)
+    if base > TABLE_IDS:
+        return _expand(seq, base, pairs)
+    ids, start, size = _flat(base, pairs, lengths)
+    return ids[_stretches(start[seq], size[seq])]
 
 
 def decode_range(blob: bytes, start: int, stop: int) -> np.ndarray:
