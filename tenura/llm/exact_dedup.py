@@ -17,6 +17,9 @@ from tenura.llm import bloom
 from tenura.llm.tables import free_name, same
 from tenura.session import stage
 
+# A text with this share of the rows that may be copies, or more, is hot.
+ONE_IN = 1000
+
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: its group of equal texts and whether it stays.
@@ -34,10 +37,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "id", "sha", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(1).cast("bigint").alias("n_same")
     )
     again = flagged.where("may_repeat").select("id", "sha")
-    each = again.groupBy("sha", "id").agg(F.count(F.lit(1)).alias("n_same"))
-    groups = each.groupBy(F.col("sha").alias("_sha")).agg(F.max("id").alias("keep_id"), F.sum("n_same").alias("group_size"))
-    # A row for each (text, id) meets the row of its text; rows that repeat both are laid out again by their count.
-    met = each.join(groups, F.col("sha") == F.col("_sha"))
+    each = stage(again.groupBy("sha", "id").agg(F.count(F.lit(1)).alias("n_same")), "each")
+    groups = each.groupBy(F.col("sha").alias("_sha")).agg(F.max("id").alias("keep_id"), F.sum("n_same").alias("group_size"), F.count(F.lit(1)).alias("_ids"))
+    groups = stage(groups, "groups")
+    # A row for each (text, id) meets the row of its text; rows that repeat both are laid out again by their count. Texts with one in
+    # ``ONE_IN`` of these rows, or more, are at most as many; they are broadcast, and what is left is spread evenly.
+    large = F.col("_ids") * ONE_IN >= F.lit(each.count())
+    hot, rest = F.broadcast(groups.where(large)), groups.where(~large)
+    by_text = F.col("sha") == F.col("_sha")
+    met = each.join(hot, by_text).unionByName(each.join(hot.select("_sha"), by_text, "left_anti").join(rest, by_text))
     copies = met.select(F.explode(F.sequence(F.lit(1).cast("bigint"), "n_same")).alias("_copy"), "id", "sha", "keep_id", "group_size", "n_same")
     out = alone.unionByName(copies.drop("_copy"))
     return out.select(
