@@ -214,9 +214,13 @@ def pieces_of(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int =
 
 
 def pack_pieces(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``cut`` (written once before) with ``sequence_id`` and ``offset``. Sequence ids are unique, not consecutive."""
+    """``cut`` (written once before) with ``sequence_id`` and ``offset``. Sequence ids are unique, not consecutive. No pieces: no rows.
+
+    Pieces are dealt to buckets by a hash of ``_deal``, a number of each row, where ``cut`` has it; else by their own values.
+    """
     buckets = max(1, -(-cut.count() // BUCKET_PIECES))
-    schema = T.StructType([*cut.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    held = cut.drop("_deal")
+    schema = T.StructType([*held.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def pack(key, table):
         sequence, offset = pack_lengths(table.column("length").to_numpy(), capacity)
@@ -224,13 +228,19 @@ def pack_pieces(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         own = own.append_column("sequence_id", pa.array(sequence + (key[0].as_py() << 32), pa.int64()))
         return own.append_column("offset", pa.array(offset, pa.int64()))
 
-    dealt = cut.withColumn("_bucket", F.pmod(F.xxhash64(*[c for c in cut.columns if c != "ids"]), F.lit(buckets)))
+    by = ["_deal"] if "_deal" in cut.columns else [c for c in cut.columns if c != "ids"]
+    dealt = cut.withColumn("_bucket", F.pmod(F.xxhash64(*by), F.lit(buckets))).drop("_deal")
     return dealt.groupBy("_bucket").applyInArrow(pack, schema)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """``(doc_id, piece, start, length, ids_crc32[, ids], sequence_id, offset)`` of all documents."""
-    return pack_pieces(stage(pieces_of(docs, vocabulary, end_id, capacity, with_ids=with_ids), "pieces"), capacity)
+    """``(doc_id, piece, start, length, ids_crc32[, ids], sequence_id, offset)`` of all documents; no documents, no rows.
+
+    Rows that repeat, also those without an id, are documents of their own. Other columns are not read.
+    """
+    cut = pieces_of(docs, vocabulary, end_id, capacity, with_ids=with_ids)
+    # A number of its own deals each piece, so that equal rows do not meet in one bucket; it is fixed by this copy.
+    return pack_pieces(stage(cut.withColumn("_deal", F.monotonically_increasing_id()), "pieces"), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
