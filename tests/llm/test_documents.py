@@ -367,3 +367,56 @@ def test_pipeline_stages_keep_what_they_should(spark, sf):
     assert [s[0] for s in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontamination", "packing"]
     out = corpus_pipeline.run(spark, sf)
     assert held_together(out.collect(), 2048) > 0
+
+
+def test_items_of_one_repeated_word(spark):
+    """A bucket holds equal windows once: time and memory follow the words, not their square."""
+    words = ["same"] * 20_000
+    (table,) = decontaminate.tables_of([(i, " ".join(words)) for i in range(3)])
+    assert sum(map(len, table.buckets.values())) == 1
+    spans, items = decontaminate.spans_in([w.encode() for w in words], [table])
+    assert spans == [(0, 20_000)] and items == {0, 1, 2}
+
+
+@pytest.mark.parametrize("size", [1, 60, 400])
+def test_a_benchmark_of_many_parts_finds_what_one_part_finds(spark, edge, monkeypatch, size):
+    items = [(i, " ".join(f"w{(i * 7 + k) % 40}" for k in range(16))) for i in range(12)] + [(20, "one two three four five"), (None, "same line"), (21, None), (22, "")]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    texts = [(100 + i, " ".join(f"w{(i * 5 + k) % 40}" for k in range(30)), "en", None, 1) for i in range(15)]
+    docs = edge.unionByName(spark.createDataFrame(texts, edge.schema)).withColumns({"row": F.lit(1), "key": F.lit(2), "all_spans": F.lit("x")})
+    columns = ["doc_id", "text", "row", "key", "all_spans", "n_words", "n_hit", "items_sha256", "contaminated"]
+    held = [F.to_json(F.struct("spans", "items")).alias("found")]
+
+    def found():
+        return Counter(map(tuple, decontaminate.find_items(docs, benchmark).select(*columns, *held).collect()))
+
+    want = found()
+    monkeypatch.setattr(decontaminate, "PART_BYTES", size)
+    assert found() == want
+    assert decontaminate.clean(docs, benchmark).columns == docs.columns
+
+
+def test_equal_rows_are_dealt_to_all_buckets(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BUCKET_PIECES", 1000)
+    docs = spark.range(20_000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("a few words").alias("text"))
+    packed = packing.pack_documents(docs, queries.vocabulary())
+    own = packed.withColumn("bucket", F.shiftright("sequence_id", 32)).groupBy("bucket").count().collect()
+    assert len(own) == 20 and max(r["count"] for r in own) < 1300 and sum(r["count"] for r in own) == 20_000
+
+
+def test_hot_texts_are_broadcast(spark):
+    """Texts of a hundred copies and more next to pairs and single ones, with repeated ids and null ids."""
+    rows = [(i, f"hot {i % 3}") for i in range(900)] + [(i, f"pair {i // 2}") for i in range(2000, 3200)] + [(i, f"one {i}") for i in range(5000, 5200)]
+    rows += [(5, "hot 2"), (None, "hot 1"), (None, "pair 1000"), (2001, "pair 1000")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    assert bag(exact_dedup.exact_groups(df), *EXACT) == Counter(plain.exact(rows))
+
+
+CLASHING = ("__key", "__sha", "__kept", "__fp", "__own", "__maybe", "__hash", "__at", "__words", "_host", "_drop", "_stays", "_html")
+
+
+def test_extra_columns_may_have_the_names_used_inside(edge):
+    odd = edge.withColumns({c: F.lit(1) for c in CLASHING})
+    assert exact_dedup.keep_one(odd, exact_dedup.exact_groups(odd)).columns == odd.columns
+    assert simhash.keep_one(odd, simhash.near_groups(odd)).columns == odd.columns
+    assert set(odd.columns) <= set(line_dedup.drop_boilerplate(odd).columns)
