@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tenura.llm import decontaminate, exact_dedup, packing, simhash, toxicity
 from tenura.llm.queries import vocabulary
 from tenura.llm.tables import table
-from tenura.session import stage
+from tenura.session import drop_staged, stage_alone
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The pieces of the documents that stay, with their places.
+
+    Null texts are empty, rows without an id pass the near-duplicate stage, rows that repeat are copies, extra columns are carried up to the
+    last stage, and without documents there are no rows. What a stage has written is deleted once the next one has read it.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        done = stage_alone(spark, lambda: step(spark, docs, sf_dir), name)
+        if before is not None:
+            drop_staged(before)
+        docs = before = done
     return docs

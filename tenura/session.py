@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -100,6 +100,34 @@ def _clear_down_to(spark: SparkSession, mark: int) -> int:
     return n
 
 
+def stage_alone(spark: SparkSession, make: Callable[[], DataFrame], name: str = "stage") -> DataFrame:
+    """Stage what ``make`` gives and delete the copies that making it has left; they are deleted after an error too."""
+    mark = len(_STAGED)
+    try:
+        done = stage(make(), name)
+    except BaseException:
+        _clear_down_to(spark, mark)
+        raise
+    own = _STAGED.pop()
+    _clear_down_to(spark, mark)
+    _STAGED.append(own)
+    return done
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Delete the staged copies that ``df`` reads; nothing else may read them any more."""
+    spark, files = df.sparkSession, df.inputFiles()
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in [p for p in _STAGED if any(_reads(f, p) for f in files)]:
+        own = jvm.org.apache.hadoop.fs.Path(path)
+        own.getFileSystem(conf).delete(own, True)
+        _STAGED.remove(path)
+
+
+def _reads(file: str, path: str) -> bool:
+    return path.split(":", 1)[-1].lstrip("/") in file
+
+
 @contextmanager
 def staging(spark: SparkSession):
     """A scope whose staged copies are deleted at its end, also after an error; it gives a function that spares a table's copies.
@@ -110,7 +138,7 @@ def staging(spark: SparkSession):
 
     def spare(df: DataFrame) -> None:
         files = df.inputFiles()
-        _STAGED[mark:] = [p for p in _STAGED[mark:] if not any(p.split(":", 1)[-1].lstrip("/") in f for f in files)]
+        _STAGED[mark:] = [p for p in _STAGED[mark:] if not any(_reads(f, p) for f in files)]
 
     try:
         yield spare
