@@ -1,14 +1,18 @@
 """Near duplicates by SimHash: 64-bit fingerprints, and a self-join of a binary trie over the distinct ones.
 
-The trie's top is cut where at most ``LEAF`` fingerprints hang below a node. Every fingerprint walks down the cut trie with a
-budget of differing bits and arrives at each leaf that may hold a partner; a leaf is one group of one task. There pairs
-of nodes are walked down together: their differing bits add up, and a pair over the budget is dropped. What a
-leaf reports is not its pairs but, for each fingerprint with a partner, one that stands for its component there.
-Components over the leaves come from rounds of contraction in Spark.
+There is a trie for each block of bits, one block more than bits may differ, and it reads its block first: of two fingerprints
+within the budget at least one block is equal, so the pair lies below one node of that block's trie. Each trie is cut at a depth at which
+about ``LEAF`` / 2 fingerprints are expected below a node; a node that holds more than ``LEAF`` is dealt again by the blocks of its remaining
+bits, up to ``DEALS`` times. So a fingerprint goes to as many leaves as there are blocks, however many fingerprints there are. A
+leaf is one group of one task. There pairs of nodes are walked down together: their differing bits add up, and a pair over the
+budget is dropped. What a leaf reports is not its pairs but, for each fingerprint with a partner, one that stands for its
+component there. Components over the leaves come from rounds of contraction in Spark.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,13 +21,13 @@ from pyspark.sql import types as T
 
 from tenura.llm import bloom
 from tenura.llm.tables import free_name, pieces, same
-from tenura.session import small_table, stage
+from tenura.session import stage
 
 SHINGLE = 3
 BUDGET = 2
 LEAF = 20_000
-# Deepest cut; below it fingerprints that share so many leading bits are one leaf.
-DEEPEST = 40
+# How often the fingerprints of a node are dealt at most. After three times 46 bits are equal, which leaves 2 ** 18 fingerprints.
+DEALS = 3
 # Shingles of one text whose bits are counted at a time.
 _COUNTED = 1 << 15
 # Node pairs walked at a time, and the product of sizes from which a pair of nodes is compared outright.
@@ -147,95 +151,107 @@ def _stand_ins(n: int, pairs) -> np.ndarray:
     return root
 
 
-# --- the cut trie --------------------------------------------------------------------------------------------------
+# --- the tries -----------------------------------------------------------------------------------------------------
 
 
-def cut_trie(distinct: DataFrame, leaf: int = LEAF) -> list[tuple[int, int]]:
-    """Leaves (depth, leading bits) that hold all fingerprints, at most ``leaf`` each where the depth allows.
+def blocks_of(route: int, blocks: int) -> tuple[list[int], list[list[int]]]:
+    """(bits that are equal, blocks of the other bits) of a route, bits counted from the first.
 
-    Only nodes over the limit are split and counted again, so the driver sees some 16 counts for each ``leaf`` rows.
+    A route is the list of blocks chosen so far, as the digits of a number behind a leading 1.
     """
-    leaves: list[tuple[int, int]] = []
-    heavy, depth = [0], 0
-    while heavy:
-        step = min(4, DEEPEST - depth)
-        held = distinct
-        if depth:
-            above = small_table(distinct.sparkSession, [(h,) for h in heavy], "above bigint")
-            held = distinct.join(F.broadcast(above), F.shiftrightunsigned("fp", 64 - depth) == F.col("above"), "left_semi")
-        counts = {r[0]: r[1] for r in held.groupBy(F.shiftrightunsigned("fp", 64 - depth - step).alias("node")).count().collect()}
-        if not depth and sum(counts.values()) <= leaf:
-            return [(0, 0)]
-        depth += step
-        nodes = [(h << step) + k for h in heavy for k in range(1 << step)]
-        heavy = [x for x in nodes if counts.get(x, 0) > leaf and depth < DEEPEST]
-        leaves += [(depth, x) for x in nodes if x in counts and x not in set(heavy)]
-    return leaves
-
-
-def _routes(values: np.ndarray, leaves: list[tuple[int, int]], budget: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(index of value, number of leaf, whether it is the leaf's own) for every leaf within the budget."""
-    index, number, own = [], [], []
-    depths = sorted({d for d, _ in leaves})
-    by_depth = {d: {x: k for k, (e, x) in enumerate(leaves) if e == d} for d in depths}
-    inner = {(d, x >> (e - d)) for e, x in leaves for d in depths if d < e}
-    # Walk from one depth that has leaves to the next; in between all ways to spend the budget are tried.
+    digits = []
+    while route > 1:
+        route, digit = divmod(route, blocks)
+        digits.append(digit)
+    equal, rest = [], list(range(64))
+    for digit in reversed(digits):
+        parts = [p.tolist() for p in np.array_split(rest, blocks)]
+        equal += parts[digit]
+        rest = [x for k, p in enumerate(parts) if k != digit for x in p]
+    return equal, [p.tolist() for p in np.array_split(rest, blocks)]
+
+
+def turned(values: np.ndarray, route: int, blocks: int) -> np.ndarray:
+    """The values with the bits in the order in which the trie of ``route`` reads them."""
+    equal, parts = blocks_of(route, blocks)
+    order = equal + [x for p in parts for x in p]
+    out = np.zeros(len(values), np.uint64)
     at = 0
-    rows, nodes, diffs = np.arange(len(values)), np.zeros(len(values), np.uint64), np.zeros(len(values), np.int64)
-    for depth in depths:
-        for bit in range(at, depth):
-            true = (values[rows] >> np.uint64(63 - bit)) & np.uint64(1)
-            same_, other = (nodes << np.uint64(1)) | true, (nodes << np.uint64(1)) | (true ^ np.uint64(1))
-            ok = diffs < budget
-            rows, nodes, diffs = np.concatenate([rows, rows[ok]]), np.concatenate([same_, other[ok]]), np.concatenate([diffs, diffs[ok] + 1])
-        at = depth
-        table = by_depth[depth]
-        keys = np.array(sorted(table), np.uint64)
-        place = np.minimum(np.searchsorted(keys, nodes), len(keys) - 1)
-        found = keys[place] == nodes
-        index.append(rows[found])
-        number.append(np.array([table[int(k)] for k in keys])[place[found]])
-        own.append(diffs[found] == 0)
-        below = np.array(sorted(x for d, x in inner if d == depth), np.uint64)
-        on = np.isin(nodes, below)
-        rows, nodes, diffs = rows[on], nodes[on], diffs[on]
-    return np.concatenate(index), np.concatenate(number), np.concatenate(own)
+    while at < 64:
+        # Bits that are neighbours before and after move together.
+        stop = at + 1
+        while stop < 64 and order[stop] == order[stop - 1] + 1:
+            stop += 1
+        size = stop - at
+        part = (values << np.uint64(order[at])) >> np.uint64(64 - size)
+        out |= part << np.uint64(64 - stop)
+        at = stop
+    return out
 
 
-def local_links(distinct: DataFrame, budget: int = BUDGET, leaf: int = LEAF) -> DataFrame:
-    """``(a, b)``: fingerprints joined to a stand-in of their component in one leaf; a row per linked one and leaf."""
-    leaves = cut_trie(distinct, leaf)
-    if not leaves:
-        return small_table(distinct.sparkSession, [], "a bigint, b bigint")
+def _depth(n: int, leaf: int, block: int) -> int:
+    """The bits of a block that deal ``n`` fingerprints into nodes of about ``leaf`` / 2."""
+    return min(block, max(0, (2 * n // max(leaf, 1)).bit_length()))
+
 
-    def deal(batches):
+def _deal(leaf: int, blocks: int, last: bool):
+    """Task step: (fp, route, n) of nodes of n fingerprints to (fp, route, bits, node) in the trie of each block; the last deal takes whole blocks."""
+
+    def step(batches):
         for batch in batches:
-            values = batch.column(0).to_numpy().astype(np.int64).view(np.uint64)
-            for at in range(0, len(values), 1 << 14):
-                part = values[at : at + (1 << 14)]
-                index, number, own = _routes(part, leaves, budget)
-                home = np.zeros(len(part), np.int64)
-                home[index[own]] = number[own]
-                # A pair over two leaves is looked for in the later one only.
-                goes = own | (number > home[index])
-                yield pa.RecordBatch.from_arrays([pa.array(part[index[goes]].view(np.int64)), pa.array(number[goes].astype(np.int32)), pa.array(own[goes])], ["fp", "leaf", "own"])
+            values = batch.column("fp").to_numpy().view(np.uint64)
+            routes, sizes = batch.column("route").to_numpy(), batch.column("n").to_numpy()
+            for route, n in set(zip(routes.tolist(), sizes.tolist())):
+                own = values[(routes == route) & (sizes == n)]
+                equal, parts = blocks_of(route, blocks)
+                for k, part in enumerate(parts):
+                    new = route * blocks + k
+                    bits = len(equal) + (len(part) if last else _depth(n, leaf, len(part)))
+                    node = turned(own, new, blocks) >> np.uint64(64 - bits) if bits else np.zeros(len(own), np.uint64)
+                    columns = [pa.array(own.view(np.int64)), pa.repeat(pa.scalar(new, pa.int32()), len(own)), pa.repeat(pa.scalar(bits, pa.int32()), len(own)), pa.array(node.view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, ["fp", "route", "bits", "node"])
 
-    def join(key, table):
-        values = table.column("fp").to_numpy().view(np.uint64)
-        own = table.column("own").to_numpy(zero_copy_only=False)
-        a, b = np.sort(values[own]), np.sort(values[~own])
+    return step
 
-        def pairs():
-            yield from near_pairs(a, None, budget)
-            for i, j in near_pairs(a, b, budget):
-                yield i, j + len(a)
 
-        root = _stand_ins(len(a) + len(b), pairs())
-        both = np.concatenate([a, b])
+def leaves_of(distinct: DataFrame, budget: int = BUDGET, leaf: int = LEAF) -> DataFrame:
+    """``(fp, route, bits, node)``: the leaves that each fingerprint goes to. Equal (route, bits, node) are one leaf.
+
+    Whether a node is too large is told by a table of counts that stays in Spark; the driver sees only how many fingerprints there are.
+    """
+    blocks, n = budget + 1, distinct.count()
+    if n <= leaf:
+        return distinct.select("fp", F.lit(blocks).alias("route"), F.lit(0).alias("bits"), F.lit(0).cast("bigint").alias("node"))
+    asked = distinct.select("fp", F.lit(1).alias("route"), F.lit(n).cast("bigint").alias("n"))
+    at = ["route", "bits", "node"]
+    done = []
+    for deal in range(DEALS):
+        last = deal == DEALS - 1 and deal > 0
+        dealt = stage(asked.mapInArrow(_deal(leaf, blocks, last), "fp bigint, route int, bits int, node bigint"), "dealt")
+        counts = dealt.groupBy(*at).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf)
+        heavy = stage(counts, "heavy")
+        if last or not heavy.limit(1).count():
+            done.append(dealt)
+            break
+        done.append(dealt.join(heavy, at, "left_anti"))
+        asked = dealt.join(heavy, at).select("fp", "route", "n")
+    return reduce(DataFrame.unionByName, done)
+
+
+def local_links(distinct: DataFrame, budget: int = BUDGET, leaf: int = LEAF) -> DataFrame:
+    """``(a, b)``: fingerprints joined to a stand-in of their component in one leaf; a row per linked one and leaf."""
+    blocks = budget + 1
+
+    def join(key, table):
+        values = table.column("fp").to_numpy().view(np.uint64)
+        read = turned(values, key[0].as_py(), blocks)
+        order = np.argsort(read)
+        read, values = read[order], values[order]
+        root = _stand_ins(len(read), near_pairs(read, None, budget))
         linked = np.flatnonzero(root != np.arange(len(root)))
-        return pa.table({"a": pa.array(both[linked].view(np.int64)), "b": pa.array(both[root[linked]].view(np.int64))})
+        return pa.table({"a": pa.array(values[linked].view(np.int64)), "b": pa.array(values[root[linked]].view(np.int64))})
 
-    return distinct.mapInArrow(deal, "fp bigint, leaf int, own boolean").groupBy("leaf").applyInArrow(join, "a bigint, b bigint")
+    return leaves_of(distinct, budget, leaf).groupBy("route", "bits", "node").applyInArrow(join, "a bigint, b bigint")
 
 
 # --- components ----------------------------------------------------------------------------------------------------

@@ -71,6 +71,37 @@ def test_links_over_leaves_make_chains(spark, monkeypatch, leaf):
     assert got == dict(zip(ids, plain.components(ids, plain.near(values))))
 
 
+def test_turned_values_keep_distances():
+    rng = np.random.default_rng(2)
+    values = rng.integers(0, 2**64, 200, dtype=np.uint64)
+    for route in (1, 3, 4, 5, 9, 13, 17, 44):
+        read = simhash.turned(values, route, 3)
+        equal, parts = simhash.blocks_of(route, 3)
+        order = equal + [x for p in parts for x in p]
+        assert sorted(order) == list(range(64)) and len(np.unique(read)) == 200
+        plainly = [sum((int(v) >> (63 - b) & 1) << (63 - i) for i, b in enumerate(order)) for v in values[:20]]
+        assert read[:20].tolist() == plainly
+        assert (np.bitwise_count(read ^ read[0]) == np.bitwise_count(values ^ values[0])).all()
+
+
+@pytest.mark.parametrize("budget", [0, 1, 2, 3])
+def test_each_value_goes_to_a_leaf_of_each_block(spark, budget):
+    """Spread values: one leaf a block. Many with one beginning: dealt again. Every near pair shares a leaf."""
+    rng = np.random.default_rng(6)
+    spread = rng.integers(0, 2**64, 1500, dtype=np.uint64)
+    even = spark.createDataFrame([(int(v),) for v in spread.view(np.int64)], "fp bigint")
+    assert simhash.leaves_of(even, budget, 200).count() == 1500 * (budget + 1)
+    close = (np.uint64(0xABCDEF12345) << np.uint64(20)) | rng.integers(0, 2**20, 900, dtype=np.uint64)
+    values = np.unique(np.concatenate([spread, close, spread[:50] ^ np.uint64(1 << 33), close[:50] ^ np.uint64(5)]))
+    df = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp bigint")
+    leaves = {}
+    for r in simhash.leaves_of(df, budget, 60).collect():
+        leaves.setdefault((r.route, r.bits, r.node), set()).add(r.fp & (2**64 - 1))
+    together = {(a, b) for held in leaves.values() for a in held for b in held if a < b and (a ^ b).bit_count() <= budget}
+    small = [int(v) for v in values]
+    assert together == {(a, b) for i, a in enumerate(small) for b in small[i + 1 :] if (a ^ b).bit_count() <= budget}
+
+
 def test_trie_join_finds_every_pair_once():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 300, dtype=np.uint64)
