@@ -14,13 +14,18 @@ from pyspark.sql import functions as F
 
 from tenura.llm.tables import lowered
 
-# Strict terms, and soft terms with their weights.
-STRICT = ["porn", "porno", "xxx", "hentai", "escort", "escorts", "camgirl", "camgirls", "viagra", "cialis", "warez", "phishing", "malware", "spam"]
+# Strict terms, and soft terms with their weights: 1.5 for words that mostly name what is not wanted, 1 for words that
+# often do, 0.75 and 0.5 for everyday words that tell only beside others. English, German, French and Spanish. A caller brings its own.
+STRICT = [
+    "porn", "porno", "xxx", "hentai", "escort", "escorts", "camgirl", "camgirls", "viagra", "cialis", "warez", "phishing", "malware", "spam",
+    "pornos", "sexfilme", "pornographie", "pornografia",
+]
 SOFT = {
-    "adult": 1.0, "sex": 1.0, "nude": 1.0, "casino": 1.0, "poker": 1.0, "bet": 1.0, "bets": 1.0, "betting": 1.0, "jackpot": 1.0,
-    "slots": 1.0, "pills": 1.0, "pharmacy": 1.0, "drugs": 1.0, "cheap": 1.0, "free": 1.0, "bonus": 1.0, "win": 1.0, "loan": 1.0,
-    "loans": 1.0, "crack": 1.0, "keygen": 1.0, "torrent": 1.0, "ads": 1.0, "track": 1.0, "tracker": 1.0, "click": 1.0,
-    "popup": 1.0, "farm": 1.0, "replica": 1.0, "hacks": 1.0, "dating": 1.0, "singles": 1.0,
+    "adult": 1.5, "sex": 1.5, "nude": 1.5, "erotik": 1.5, "erotique": 1.5, "erotico": 1.5, "casino": 1.5, "poker": 1.5, "bets": 1.5, "betting": 1.5,
+    "jackpot": 1.5, "wetten": 1.5, "paris-sportifs": 1.5, "apuestas": 1.5, "keygen": 1.5, "torrent": 1.5, "replica": 1.5,
+    "bet": 1.0, "slots": 1.0, "pills": 1.0, "pharmacy": 1.0, "apotheke": 1.0, "pharmacie": 1.0, "farmacia": 1.0, "drugs": 1.0, "cheap": 1.0, "billig": 1.0,
+    "barato": 1.0, "crack": 1.0, "hacks": 1.0, "ads": 1.0, "track": 1.0, "tracker": 1.0, "popup": 1.0, "dating": 1.0, "singles": 1.0, "loans": 1.0, "kredit": 1.0,
+    "loan": 0.75, "bonus": 0.75, "click": 0.75, "farm": 0.5, "free": 0.5, "gratis": 0.5, "gratuit": 0.5, "win": 0.5, "gewinn": 0.5, "gagner": 0.5, "ganar": 0.5,
 }
 SOFT_LIMIT = 2.0
 
