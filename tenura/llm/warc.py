@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import gzip
+import hashlib
 import json
 import re
 import struct
@@ -90,9 +91,13 @@ def _revisits(pages: DataFrame, least: int) -> DataFrame:
     """(__key, __sha, refers_to): id and digest of pages whose payload a page of larger id has too. Only ids, lengths and digests are moved."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     narrow = stage(pages.where("page_id IS NOT NULL").select(F.col("page_id").alias("page"), F.sha1(payload).alias("sha"), F.octet_length(payload).alias("n")), "payloads")
-    narrow = narrow.where(F.col("n") >= least).groupBy("sha", "page").agg(F.lit(1).alias("one"))
-    groups = narrow.groupBy("sha").agg(F.max("page").alias("refers_to"), F.count("page").alias("pages")).where("pages > 1").select("sha", "refers_to")
-    return stage(narrow.join(groups, "sha").where("page < refers_to").select(F.col("page").alias("__key"), F.col("sha").alias("__sha"), "refers_to"), "revisits")
+    narrow = stage(narrow.where(F.col("n") >= least).select("sha", "page").distinct(), "payloads")
+    groups = stage(narrow.groupBy("sha").agg(F.max("page").alias("refers_to"), F.count("page").alias("pages")).where("pages > 1"), "groups")
+    # Payloads of a thousandth of these pages, or more, are at most a thousand; they are broadcast, the others spread evenly.
+    large = F.col("pages") * 1000 >= F.lit(narrow.count())
+    hot, rest = F.broadcast(groups.where(large)), groups.where(~large)
+    met = narrow.join(hot, "sha").unionByName(narrow.join(hot.select("sha"), "sha", "left_anti").join(rest, "sha"))
+    return stage(met.where("page < refers_to").select(F.col("page").alias("__key"), F.col("sha").alias("__sha"), "refers_to"), "revisits")
 
 
 def write_archives(pages: DataFrame, folder: str, least: int = LEAST_REVISIT) -> DataFrame:
@@ -238,6 +243,17 @@ class Index:
             number += 1
 
 
+def _told(head: dict, found: dict) -> tuple[int, str]:
+    """(bytes, SHA-1) of a record's payload: of what a response holds, which must be what its headers say; a revisit has only those."""
+    size, sha = int(found["http"]["content-length"]), base64.b32decode(head["warc-payload-digest"].removeprefix("sha1:")).hex()
+    if head["warc-type"] == "response":
+        payload = found["payload"] or b""
+        read = len(payload), hashlib.sha1(payload).hexdigest()
+        if read != (size, sha):
+            raise ValueError(f"{head.get('warc-record-id')} holds {read}, its headers say {(size, sha)}")
+    return size, sha
+
+
 def look_up(wanted: DataFrame, folder: str, heads: list[tuple[str, str]], by_page: bool = True) -> DataFrame:
     """The records of ``wanted`` (url and, ``by_page``, page_id): one row for each capture found.
 
@@ -267,8 +283,8 @@ def look_up(wanted: DataFrame, folder: str, heads: list[tuple[str, str]], by_pag
                         found = parse_record(gzip.decompress(opened[file].read_at(length, offset)))
                         head = found["headers"]
                         page, refers = (re.fullmatch(r"<urn:page:(-?\d+)>", head.get(h, "")) for h in ("warc-record-id", "warc-refers-to"))
-                        sha = base64.b32decode(head["warc-payload-digest"].removeprefix("sha1:")).hex()
-                        rows.append((page and int(page[1]), head.get("warc-target-uri"), head["warc-type"], int(found["http"]["content-length"]), sha, refers and int(refers[1]), found["payload"]))
+                        size, sha = _told(head, found)
+                        rows.append((page and int(page[1]), head.get("warc-target-uri"), head["warc-type"], size, sha, refers and int(refers[1]), found["payload"]))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(types), types)], names=names)
         for f in opened.values():
             f.close()
