@@ -16,7 +16,9 @@ from tenura.operators.cleaning import clean_rows, clean_table
 from tenura.operators.contributions import Leaf, tree_contributions, tree_leaves
 from tenura.operators.evaluation import evaluate, model_cards
 from tenura.operators.features import FEW_VALUES, FeatureState, apply_features, feature_columns, fit_features
-from tenura.operators.mapping import apply_mapping
+from tenura.operators.group_features import GroupState, apply_features_by, fit_features_by
+from tenura.operators.mapping import apply_catalog, apply_mapping
+from tenura.operators.registry import registry_of, score_by_client
 from tenura.operators.scoring import deliverable, predict, risk_tier, top_factors
 from tenura.operators.splitting import positive_weight, stratified_split, with_weights
 from tenura.operators.training import DEFAULTS, MAX_ROUNDS, fit_trees
@@ -115,6 +117,40 @@ def score_batch(
     return deliverable(scored, names)
 
 
+def _clean_clients(raw: DataFrame, catalog: DataFrame, order: str) -> DataFrame:
+    """Rows of all clients, mapped and cleaned; the label, which the catalog gives as text, as a number."""
+    clean = clean_rows(apply_catalog(raw, catalog), order=order)
+    return clean.withColumn(LABEL_FIELD, F.col(LABEL_FIELD).try_cast("int"))
+
+
+def train_clients(raw: DataFrame, catalog: DataFrame, settings: Mapping[str, float] | None = None, rounds: int = MAX_ROUNDS, seed: int = 42, order: str = "src_row") -> tuple[GroupState, DataFrame, DataFrame]:
+    """Onboarding of all clients of ``raw`` (client_id, src_row, raw map): ``(state, registry, reports)``.
+
+    Mapping, cleaning, the report and the features of all clients are one job each; then each client's trees are fitted, one client
+    after the other, as Spark fits one model at a time. Ids of clients come to the driver. A client whose report is not valid fails.
+    """
+    table = stage(_clean_clients(raw, catalog, order), "clients")
+    reports = stage(validation_report(table, group=["client_id"]), "reports")
+    refused = [r["client_id"] for r in reports.where("field = '*' AND NOT present").collect()]
+    if refused:
+        raise ValueError(f"a required field is missing or there are no rows: {refused}")
+    state = fit_features_by(table)
+    labelled = stage(apply_features_by(table, state, vector="features"), "features")
+    models = {}
+    for (client,) in labelled.select("client_id").distinct().collect():
+        own = stratified_split(labelled.where(F.col("client_id") == client), seed=seed)
+        weight = positive_weight(own, LABEL_FIELD).first()["weight"]
+        model = fit_trees(stage(with_weights(own, weight), "training"), settings, rounds, seed=seed)
+        models[client] = (f"{client}-{model.uid}", tree_leaves(model), state.names)
+    return state, registry_of(raw.sparkSession, models), reports
+
+
+def score_clients(raw: DataFrame, catalog: DataFrame, state: GroupState, registry: DataFrame, order: str = "src_row") -> DataFrame:
+    """Scoring of all clients of ``raw`` in one job: each row by its client's mapping, statistics and model."""
+    table = stage(apply_features_by(_clean_clients(raw, catalog, order), state), "features")
+    return deliverable(score_by_client(table, registry, state.names), state.names, keep=["client_id", "model_id"])
+
+
 def check_batch(raw: DataFrame, mapping: ClientMapping, trained_snapshot: DataFrame, run_date: str, threshold: float = D.THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """Drift: ``(scores with bands, report)`` of a later batch; an alert stops nothing."""
     clean = clean_rows(apply_mapping(raw, mapping))

@@ -371,6 +371,18 @@ def test_onboarding(spark, trained):
     assert {r["feature"] for r in trained.snapshot.collect()} == {"tenure_months", "monthly_charges", "total_charges", "support_tickets"}
 
 
+def test_three_clients_from_raw_rows_to_deliverable(spark, sf):
+    """Trained and scored together: each client's rows come out once, with its own model; scores are those of its own trees."""
+    raw = X.clients_raw(spark, sf)
+    state, registry, reports = runs.train_clients(raw, X.catalog(spark), settings={"max_depth": 2}, rounds=2)
+    assert reports.where("field = '*' AND present").count() == 3 and registry.count() == 3
+    out = runs.score_clients(raw, X.catalog(spark), state, registry)
+    counts = {r["client_id"]: (r["count"], r["n"]) for r in out.groupBy("client_id").agg(F.count("*").alias("count"), F.countDistinct("customer_id").alias("n")).collect()}
+    assert set(counts) == {"retail", "shop", "bank"} and all(n == ids > 100 for n, ids in counts.values())
+    assert out.where("NOT startswith(model_id, client_id) OR churn_probability NOT BETWEEN 0 AND 1").count() == 0
+    assert out.select("model_id").distinct().count() == 3 and out.where("risk_tier IS NULL OR top_3_reasons IS NULL").count() == 0
+
+
 def test_gate_before_training(spark, sf):
     raw = X.churn_raw(spark, sf).drop("Churned")
     with pytest.raises(ValueError):
