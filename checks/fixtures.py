@@ -196,6 +196,7 @@ def signed(x: str) -> str:
 
 BOUNDS_SQL = {"tenure_months": (0, 120), "monthly_charges": (0, 500), "total_charges": (0, 50000), "support_tickets": (0, 100)}
 
+# The category spellings once more, as SQL.
 _SPELL = {
     "contract_type": """CASE lower(regexp_replace(contract_type, '^\\s+|\\s+$', '', 'g'))
       WHEN 'month to month' THEN 'month-to-month' WHEN 'month-to-month' THEN 'month-to-month' WHEN 'm2m' THEN 'month-to-month'
