@@ -66,7 +66,7 @@ def src_3(spark, sf):
     """Write every config as its own file, load all files in one job, render them back and parse once more."""
     path = new_folder(spark, "configs")
     texts = _supplier_clients(spark, sf).select("client_id", _config_text(F.col("client_id")).alias("value"))
-    texts.repartition("client_id").write.partitionBy("client_id").text(path)
+    C.write_configs(texts, path)
     loaded = C.read_configs(spark, path)
     again = C.config_texts(loaded).select(F.concat("client_id", F.lit(".yaml")).alias("path"), "value")
     return C.parse_configs(again).select("client_id", "kind", "field", "from_value", "to_value", "status")

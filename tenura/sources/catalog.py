@@ -8,12 +8,18 @@ of all clients is an ordinary table.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.session import small_table
 
+# Config files that one task writes to a folder of its own.
+FOLDER_FILES = 2000
 CATALOG_SCHEMA = (
     "client_id string, kind string, field string, from_value string, to_value string, "
     "confidence string, reasoning string, status string"
@@ -99,13 +105,67 @@ def parse_configs(texts: DataFrame) -> DataFrame:
 
 
 def read_configs(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-3: all config files below ``path`` in one job."""
+    """SRC-3: all config files below ``path`` in one job.
+
+    Spark opens 32 small files a task; a Python worker takes longer to begin than to parse them, so tasks are merged, to some for each core.
+    """
     texts = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-    return parse_configs(texts.select(F.col("_metadata.file_path").alias("path"), "value"))
+    return parse_configs(texts.select(F.col("_metadata.file_path").alias("path"), "value").coalesce(_tasks(spark)))
+
+
+def write_configs(texts: DataFrame, path: str) -> None:
+    """SRC-3: a file ``config-<client_id>.yaml`` for each client of ``(client_id, value)`` below the new folder ``path``.
+
+    A client's texts follow each other in its file, one a line or more. Each task fills one folder with some thousand files, so neither
+    writing nor listing costs a folder a client; a task that runs again writes the same files.
+    """
+
+    def step(batches):
+        files, root = _files(path)
+        own, attempt = f"{root}/part-{TaskContext.get().partitionId():05d}", TaskContext.get().taskAttemptId()
+        files.create_dir(own, recursive=True)
+        name, lines, n = None, [], 0
+
+        def close():
+            # Other tasks see a file whole or not at all; Spark reads no names that begin with an underscore.
+            with files.open_output_stream(f"{own}/_{attempt}") as f:
+                f.write("".join(lines).encode())
+            files.move(f"{own}/_{attempt}", f"{own}/config{'' if name is None else '-' + quote(name, safe='').replace('.', '%2E')}.yaml")
+
+        for batch in batches:
+            for client, value in zip(batch["client_id"].to_pylist(), batch["value"].to_pylist()):
+                if lines and client != name:
+                    close()
+                    lines, n = [], n + 1
+                name = client
+                lines.append((value or "") + "\n")
+        if lines:
+            close()
+            n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    spark = texts.sparkSession
+    folders = max(spark.sparkContext.defaultParallelism, -(-texts.count() // FOLDER_FILES))
+    dealt = texts.select(F.col("client_id").cast("string"), "value").repartition(folders, "client_id").sortWithinPartitions("client_id")
+    dealt.mapInArrow(step, "n bigint").agg(F.sum("n")).collect()
+
+
+def _tasks(spark: SparkSession) -> int:
+    """Tasks of a step that is much work a client: some for each core."""
+    return max(32, 4 * spark.sparkContext.defaultParallelism)
+
+
+def _files(path: str) -> tuple[fs.FileSystem, str]:
+    """(Arrow's file system, path) of a folder that Spark names."""
+    uri = path.replace("s3a://", "s3://", 1) if "://" in path else path if ":" not in path else "file://" + path.split(":", 1)[1]
+    return fs.FileSystem.from_uri(uri)
 
 
 def config_texts(catalog: DataFrame) -> DataFrame:
-    """SRC-3, the other way: one YAML document ``(client_id, status, value)`` per client; empty sections are left out."""
+    """SRC-3, the other way: one YAML document ``(client_id, status, value)`` per client; empty sections are left out.
+
+    Entries are few bytes and their YAML much work, so clients are dealt to all cores and not merged by size.
+    """
 
     def render(batches):
         import pandas as pd
@@ -140,7 +200,7 @@ def config_texts(catalog: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["client_id", "status", "value"])
 
     entry = F.struct("kind", "field", "from_value", "to_value", "confidence", "reasoning")
-    per_client = catalog.groupBy("client_id", "status").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    per_client = catalog.repartition(_tasks(catalog.sparkSession), "client_id", "status").groupBy("client_id", "status").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     return per_client.mapInPandas(render, "client_id string, status string, value string")
 
 

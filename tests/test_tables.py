@@ -1,6 +1,7 @@
 """Configs, paths, validation over column subsets, prompts and responses."""
 
 import itertools
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -65,6 +66,22 @@ def test_config_files(spark, tmp_path):
             C.parse_configs(small_table(spark, [("p", bad)], "path string, value string")).collect()
 
 
+def test_written_configs_share_folders_and_are_read_by_many_tasks(spark, tmp_path):
+    ids = ["_a", "b.draft", "c/d e", "ü%", *[f"client_{k}" for k in range(300)]]
+    rows = [(i, f"client_id: '{i}'\ncolumn_mappings:\n  x: y") for i in ids] * 2
+    C.write_configs(spark.createDataFrame(rows, "client_id string, value string"), f"file://{tmp_path}/configs")
+    files = list((tmp_path / "configs").rglob("*.yaml"))
+    assert len(files) == len(ids) and len({f.parent for f in files}) <= spark.sparkContext.defaultParallelism
+    loaded = C.read_configs(spark, f"file://{tmp_path}/configs")
+    assert Counter(map(tuple, loaded.select("client_id", "from_value", "status").collect())) == Counter((i, "x", "approved") for i in ids)
+    texts = C.config_texts(loaded).select("client_id", F.spark_partition_id().alias("task")).collect()
+    assert len(texts) == len(ids) and len({r.task for r in texts}) > spark.sparkContext.defaultParallelism
+    nameless = spark.createDataFrame([(None, None)], "client_id string, value string")
+    C.write_configs(nameless, f"file://{tmp_path}/nameless")
+    with pytest.raises(Exception, match="empty mapping config"):
+        C.read_configs(spark, f"file://{tmp_path}/nameless").collect()
+
+
 def test_paths_belong_to_their_client(spark):
     """Property 9."""
     ids = ["acme", "acme2", "acm", "zeta"]
