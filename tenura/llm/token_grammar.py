@@ -24,7 +24,8 @@ from tenura.llm.words import coder
 from tenura.session import new_folder, small_table
 
 SHARD_IDS = 1 << 18
-PART_BYTES = 64 << 20
+# Bytes of text that a task sorts: the less of them while parts are few, the more beyond, as every reader takes a block from every writer.
+PART_BYTES, MOST_PART_BYTES, MANY_PARTS = 16 << 20, 32 << 20, 2000
 # A pair is worth a rule from this many uses on; after a pass that saves less than this share of the sequence pairs are counted exactly.
 LEAST_USES = 4
 LEAST_GAIN = 0.03
@@ -210,6 +211,11 @@ def decode_range(blob: bytes, start: int, stop: int) -> np.ndarray:
     return _expand(seq[a:b], base, pairs)[start - skipped : stop - skipped]
 
 
+def _parts(size: int) -> int:
+    """Range partitions for so many bytes of text."""
+    return max(1, min(-(-size // PART_BYTES), max(MANY_PARTS, -(-size // MOST_PART_BYTES))))
+
+
 def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every whole text, end it with ``end_id``, and write the ids in ascending order of ``id_col``.
 
@@ -217,8 +223,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 1,
     their texts' hashes. No rows: a table without shards.
     """
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    parts = max(1, -(-size // PART_BYTES))
-    spread = max(parts, min(docs.sparkSession.sparkContext.defaultParallelism, -(-size // (4 << 20)) or 1))
+    spread = max(_parts(size), min(docs.sparkSession.sparkContext.defaultParallelism, -(-size // (4 << 20)) or 1))
 
     def step(batches):
         code = coder(vocabulary)

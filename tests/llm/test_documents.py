@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenura.llm import bloom, decontaminate, exact_dedup, line_dedup, packing, queries, simhash, token_grammar, toxicity
+from tenura.session import new_folder
 
 
 def bag(df, *columns):
@@ -223,6 +224,19 @@ def test_grammar_round_trip(kind):
         assert (token_grammar.decode_range(blob, int(a), int(b)) == ids[a:b]).all()
 
 
+def test_a_task_sorts_few_texts(spark, empty):
+    parts = [token_grammar._parts(n) for n in (0, 1, 510_000_000, 30_000_000_000, 300_000_000_000)]
+    assert parts == [1, 1, 31, 1789, 8941]
+    text = " ".join(f"w{i % 997}" for i in range(50_000))
+    docs = spark.range(300, numPartitions=2).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    folder = new_folder(spark, "tokens")
+    token_grammar.write_tokens(docs, folder, queries.vocabulary())
+    size = spark.read.parquet(folder).groupBy("part").agg(F.sum(F.size("doc_ids")).alias("n")).agg(F.max("n")).first()[0]
+    assert size * len(text) < 32 << 20
+    got = token_grammar.read_documents(spark, folder)
+    assert got.count() == 300 and got.select("n_tokens", "ids_crc32").distinct().count() == 1
+
+
 def test_op5_equals_plain(spark, sf, pair_ids):
     got = {r.doc_id: r for r in queries.op5_token_grammar(spark, sf).collect()}
     start = 0
