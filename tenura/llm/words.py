@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,7 @@ _BOUNDARY = r"([a-z0-9])([.,;:!?#$%&*()\"-])"
 # Words that are one pre-token as they stand: letters up to U+00FF (none changes under NFC, all have one lower-case
 # form), or a run of ASCII punctuation without the apostrophe. Digits are one pre-token each.
 _LETTERS = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_ASCII = re.compile("[a-z]+")
 _SIGNS = re.compile(r"[!-&(-/:-@\[-`{-~]+")
 _DIGITS = re.compile("[0-9]+")
 # Texts with a special string, or with white space beyond ASCII, go to the tokenizer whole.
@@ -73,27 +75,40 @@ class WordCoder:
             return [t.id for digit in word for t in self.model.tokenize(digit)]
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
+    def _codes(self, words: list[str]) -> list[list[int]]:
+        """The ids of each word; most words are plain letters."""
+        tokenize, plain, ids = self.model.tokenize, _ASCII.fullmatch, self._ids
+        return [[t.id for t in tokenize(w)] if plain(w) else ids(w) for w in words]
+
     def _learn(self, words: list[str]):
-        codes = [self._ids(w) for w in words]
+        codes = self._codes(words)
         n = len(self.index)
         self.index.update(zip(words, range(n, n + len(words))))
-        self.lengths = np.concatenate([self.lengths, np.array([len(c) for c in codes], np.int64)])
-        self.ids = np.concatenate([self.ids, np.array([i for c in codes for i in c], np.uint32)])
+        lengths = np.fromiter(map(len, codes), np.int64, len(codes))
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(codes), np.uint32, int(lengths.sum()))])
         self.met = np.concatenate([self.met, np.zeros(len(words), np.int32)])
 
+    def _places(self, distinct: list[str]) -> np.ndarray:
+        """Where each of these words stands among those known; new ones are learnt first."""
+        if len(self.index) > KEPT_WORDS:
+            self._trim()
+        known = len(self.index)
+        places = np.fromiter(map(self.index.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            self._learn([distinct[i] for i in new.tolist()])
+            places[new] = np.arange(known, known + len(new))
+        return places
+
     def _plain(self, texts: pa.Array):
         lowered = pc.replace_substring_regex(pc.ascii_lower(texts), pattern=_BOUNDARY, replacement=r"\1 \2")
         words = pc.ascii_split_whitespace(lowered)
         offsets = words.offsets.to_numpy()
         coded = words.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.index) > KEPT_WORDS:
-            self._trim()
-        new = [w for w in distinct if w not in self.index]
-        if new:
-            self._learn(new)
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = self._places(distinct)
         starts = np.concatenate([[0], np.cumsum(self.lengths)])
-        places = np.array([self.index[w] for w in distinct], np.int64)
         self.met[places] += 1
         word = places[coded.indices.to_numpy()] if len(distinct) else np.zeros(0, np.int64)
         lengths = self.lengths[word]

@@ -7,7 +7,7 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 
-from tenura.llm import bloom, decontaminate, exact_dedup, line_dedup, packing, queries, simhash, token_grammar, toxicity
+from tenura.llm import bloom, decontaminate, exact_dedup, line_dedup, packing, queries, simhash, token_grammar, toxicity, words
 from tenura.session import new_folder
 
 
@@ -212,6 +212,22 @@ def test_tokens_round_trip(spark, edge, empty, tmp_path):
     assert token_grammar.token_table(empty, path).count() == 0
 
 
+def test_only_odd_words_take_the_long_way(monkeypatch):
+    """Ids as the tokenizer gives them, words forgotten between batches too; plain words are encoded as they stand, each once a batch."""
+    import pyarrow as pa
+
+    code = words.WordCoder(queries.vocabulary())
+    long_way, own = [], code._ids
+    monkeypatch.setattr(code, "_ids", lambda w: long_way.append(w) or own(w))
+    monkeypatch.setattr(words, "KEPT_WORDS", 4)
+    batches = [["one two three one", None, "don't é ÉCOLE 12"], ["two four", "", "one five é"], [""], ["a.b one Two x1 ... don't"]]
+    for texts in batches:
+        flat, cuts = code.encode(pa.array(texts, pa.string()))
+        assert [flat[a:b].tolist() for a, b in zip(cuts, cuts[1:])] == [code.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert {"don't", "é", "École".lower(), "12"} <= {w.lower() for w in long_way}
+    assert not [w for w in long_way if w.isascii() and w.isalpha()]
+
+
 @pytest.mark.parametrize("kind", ["none", "one", "same", "few", "many"])
 def test_grammar_round_trip(kind):
     rng = np.random.default_rng(2)
