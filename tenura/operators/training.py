@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
+from decimal import Decimal
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -15,15 +16,18 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from tenura.functions.order import RANGE_ROWS
 from tenura.operators.contributions import tree_nodes
-from tenura.operators.evaluation import auc
 from tenura.session import shared_folder, small_table
 
 # Default settings of the boosted trees.
 DEFAULTS = {"max_depth": 6, "eta": 0.1, "subsample": 0.8, "colsample_bytree": 0.8, "min_child_weight": 3}
 MAX_ROUNDS = 200
 PATIENCE = 20
+# Rows, about, from which the ranges of margins are told.
+CUT_ROWS = 5_000
 
 # Type, least and greatest setting searched.
 SETTING_RANGES = {
@@ -93,32 +97,106 @@ def leaf_values(model: GBTClassificationModel) -> list[list[float]]:
     return out
 
 
-def round_margins(model: GBTClassificationModel, df: DataFrame, name: str = "margins") -> DataFrame:
-    """``df`` with the margin after each round, as one ``array<double>`` a row: the running sum of the leaves that the row falls in."""
+def _leaf_table(model: GBTClassificationModel) -> np.ndarray:
+    """``leaf_values`` as one table, a row a tree."""
     values = leaf_values(model)
     table = np.zeros((len(values), max(map(len, values))))
     for tree, own in enumerate(values):
         table[tree, : len(own)] = own
-    shared = df.sparkSession.sparkContext.broadcast(table)
+    return table
+
+
+def _leaves(model: GBTClassificationModel, df: DataFrame) -> DataFrame:
+    """``df`` with ``_leaves``, the number of the leaf in each tree."""
+    return model.copy({model.leafCol: "_leaves"}).transform(df)
+
+
+def _margins(leaves: pa.Array, table: np.ndarray) -> np.ndarray:
+    """The margin of each row after each round: the running sum of the leaves that it falls in."""
+    at = leaves.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(table)).astype(np.int64)
+    return table[np.arange(len(table)), at].cumsum(axis=1)
+
+
+def round_margins(model: GBTClassificationModel, df: DataFrame, name: str = "margins") -> DataFrame:
+    """``df`` with the margin after each round, as one ``array<double>`` a row."""
+    shared = df.sparkSession.sparkContext.broadcast(_leaf_table(model))
 
     @F.arrow_udf("array<double>")
     def summed(leaves: pa.Array) -> pa.Array:
-        trees = shared.value.shape[0]
-        at = leaves.flatten().to_numpy(zero_copy_only=False).reshape(-1, trees).astype(np.int64)
-        margins = shared.value[np.arange(trees), at].cumsum(axis=1)
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * trees, pa.int32()), pa.array(margins.ravel()))
+        margins = _margins(leaves, shared.value)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(margins) + 1) * margins.shape[1], pa.int32()), pa.array(margins.ravel()))
 
-    told = model.copy({model.leafCol: "_leaves"}).transform(df)
-    return told.select(*df.columns, summed(vector_to_array("_leaves")).alias(name))
+    return _leaves(model, df).select(*df.columns, summed(vector_to_array("_leaves")).alias(name))
 
 
 def round_aucs(model: GBTClassificationModel, df: DataFrame, label: str = "churn_label") -> list[float | None]:
-    """The AUC of the model of the first 1, 2, ... rounds on ``df``, all in one grouped job; null where one class is missing."""
-    every = round_margins(model, df.select("features", label)).select(label, F.posexplode("margins").alias("round", "margin"))
-    areas = {r["round"]: r["auc"] for r in auc(every, label, "margin", ["round"]).collect()}
+    """The AUC of the model of the first 1, 2, ... rounds on ``df``, exact, ties counted half; null where one class is missing.
+
+    Tasks count the rows of equal margins and send sorted runs, one a round and range of margins, as packed columns; a run of a range
+    meets those of the same round and range, about ``RANGE_ROWS`` rows. The ranges of a round, one row each, are added up at the end.
+    """
+    spark = df.sparkSession
+    used = df.filter(F.col(label).isNotNull()).select("features", F.col(label).cast("double").alias("_label"))
+    shared = spark.sparkContext.broadcast(_leaf_table(model))
+    cuts = spark.sparkContext.broadcast(_margin_cuts(model, used, shared))
+    told = _leaves(model, used).select(vector_to_array("_leaves").alias("leaves"), "_label")
+
+    def counted(batches):
+        for batch in batches:
+            margins = _margins(batch.column("leaves"), shared.value)
+            label = batch.column("_label").to_numpy(zero_copy_only=False)
+            rows = []
+            for i, column in enumerate(np.ascontiguousarray(margins.T)):
+                scores, pos, neg = _by_score(column, label == 1, label == 0)
+                ends = [0, *np.searchsorted(scores, cuts.value[i], "right").tolist(), len(scores)]
+                rows += [(i, k, *(x[a:b].tobytes() for x in (scores, pos.astype(np.int32), neg.astype(np.int32)))) for k, (a, b) in enumerate(zip(ends, ends[1:])) if a < b]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+
+    names, kinds = ["round", "span", "scores", "pos", "neg"], [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    runs = told.mapInArrow(counted, "round int, span int, scores binary, pos binary, neg binary")
+    spans = runs.groupBy("round", "span").applyInArrow(_span_area, "round int, span int, won decimal(38,0), pos bigint, neg bigint")
+    # Each positive row of a range wins against the negative rows of all earlier ranges too.
+    earlier = Window.partitionBy("round").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    placed = spans.withColumn("before", F.coalesce(F.sum("neg").over(earlier), F.lit(0)))
+    pos, before = (F.col(c).cast("decimal(18,0)") for c in ("pos", "before"))
+    won = F.sum((F.col("won") + pos * before * F.lit(2).cast("decimal(1,0)")).cast("decimal(38,0)")).cast("double")
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    areas = {r["round"]: r["auc"] for r in placed.groupBy("round").agg(F.try_divide(won, pairs * 2.0).alias("auc")).collect()}
     return [areas.get(i) for i in range(model.getNumTrees)]
 
 
+def _margin_cuts(model: GBTClassificationModel, used: DataFrame, shared) -> np.ndarray:
+    """For each round the margins that part its rows into ranges, told from a sample; they only share out the work."""
+    n = used.count()
+    spans = -(-n // RANGE_ROWS)
+    if spans <= 1:
+        return np.zeros((len(shared.value), 0))
+    leaves = _leaves(model, used.sample(min(1.0, CUT_ROWS / n), seed=1)).select(vector_to_array("_leaves").alias("leaves"))
+    return np.quantile(_margins(leaves.toArrow().column("leaves").combine_chunks(), shared.value), np.arange(1, spans) / spans, axis=0, method="nearest").T
+
+
+def _by_score(scores: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct scores in rising order, with the sums of ``pos`` and ``neg`` at each."""
+    order = np.argsort(scores)
+    scores = scores[order]
+    first = np.flatnonzero(np.append(True, scores[1:] != scores[:-1]))
+    return scores[first], *(np.add.reduceat(x[order].astype(np.int64), first) for x in (pos, neg))
+
+
+def _span_area(key: tuple[pa.Scalar, ...], runs: pa.Table) -> pa.Table:
+    """Twice the pairs won among the rows of one round and range, a tie half, and its rows by class."""
+    scores, pos, neg = (np.frombuffer(b"".join(runs.column(c).to_pylist()), kind) for c, kind in (("scores", np.float64), ("pos", np.int32), ("neg", np.int32)))
+    _, pos, neg = _by_score(scores, pos, neg)
+    n_pos, n_neg = int(pos.sum()), int(neg.sum())
+    if 2 * n_pos * n_neg >= 1 << 62:
+        pos, neg = pos.astype(object), neg.astype(object)
+    won = int((pos * (2 * (np.cumsum(neg) - neg) + neg)).sum())
+    kinds = (pa.int32(), pa.int32(), pa.decimal128(38, 0), pa.int64(), pa.int64())
+    row = (key[0].as_py(), key[1].as_py(), Decimal(won), n_pos, n_neg)
+    return pa.table([pa.array([x], kind) for x, kind in zip(row, kinds)], ["round", "span", "won", "pos", "neg"])
+
+
 def fit_trees(
     df: DataFrame,
     settings: Mapping[str, float] | None = None,

@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -173,6 +174,37 @@ def test_early_stopping(spark):
     assert 0.0 <= scored[0] < scored[1] <= 1.0
 
 
+def test_areas_of_rounds_stage_no_margins(spark, monkeypatch):
+    """A margin of every row and round is never a row on disk; many ranges of margins give what one gives; ties count half."""
+    rng = np.random.default_rng(8)
+    rows = [(float(a), float(b), None if i % 50 == 0 else int(a + rng.normal(0, 0.5) > 0.5)) for i, (a, b) in enumerate(rng.random((700, 2)))]
+    df = small_table(spark, rows, "a double, b double, churn_label bigint")
+    table = FE.VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df).repartition(3)
+    model = T.fit_trees(table, {"max_depth": 2, "eta": 0.3}, rounds=6, weight=None, split=None)
+    margins = [(r["churn_label"], r["margins"]) for r in T.round_margins(model, table).collect() if r["churn_label"] is not None]
+    want = []
+    for n in range(6):
+        pairs = [(m[n] > k[n]) + 0.5 * (m[n] == k[n]) for y, m in margins if y for z, k in margins if not z]
+        want.append(sum(pairs) / len(pairs))
+
+    def never(*_):
+        raise AssertionError("staged")
+
+    monkeypatch.setattr("tenura.functions.order.stage", never)
+    assert T.round_aucs(model, table) == pytest.approx(want, abs=1e-12)
+    monkeypatch.setattr(T, "RANGE_ROWS", 90)
+    assert T.round_aucs(model, table) == pytest.approx(want, abs=1e-12)
+    assert T.round_aucs(model, table.filter("churn_label = 1")) == [None] * 6
+    assert T.round_aucs(model, table.limit(0)) == [None] * 6
+
+
+def test_pairs_won_in_a_range_are_exact():
+    most = 2**31 - 1
+    runs = pa.table({"scores": [np.array([0.5, 1.0]).tobytes()] * 2, "pos": [np.array([most, 0], np.int32).tobytes()] * 2, "neg": [np.array([most, 1], np.int32).tobytes()] * 2})
+    (row,) = T._span_area((pa.scalar(3), pa.scalar(1)), runs).to_pylist()
+    assert row == {"round": 3, "span": 1, "won": (2 * most) ** 2, "pos": 2 * most, "neg": 2 * most + 2}
+
+
 def _client_rows(n=900):
     rng = np.random.default_rng(12)
     rows = []
