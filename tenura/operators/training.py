@@ -270,7 +270,7 @@ def draw_settings(n: int, seed: int = 42) -> list[dict[str, float]]:
     return [{name: pick[kind](lo, hi) for name, (kind, lo, hi) in SETTING_RANGES.items()} for _ in range(n)]
 
 
-def tune_trees(df: DataFrame, settings: list[dict[str, float]], rounds: int = MAX_ROUNDS, label: str = "churn_label", weight: str | None = "weight", parallelism: int = 2, seed: int = 42) -> DataFrame:
+def tune_trees(df: DataFrame, settings: list[dict[str, float]], rounds: int = MAX_ROUNDS, label: str = "churn_label", weight: str | None = "weight", parallelism: int = 3, seed: int = 42) -> DataFrame:
     """TRN-4: fit each setting on the train rows and report its AUC on the validation rows, best first."""
     spark = df.sparkSession
     with _parts(df, label, weight, "split") as (train, held):

@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import threading
 
 import numpy as np
 import pyarrow as pa
@@ -205,6 +206,17 @@ def test_pairs_won_in_a_range_are_exact():
     assert row == {"round": 3, "span": 1, "won": (2 * most) ** 2, "pos": 2 * most, "neg": 2 * most + 2}
 
 
+def test_three_settings_are_fitted_at_a_time(spark, monkeypatch):
+    together = threading.Barrier(3)
+
+    class Fitted:
+        getNumTrees = 5
+
+    monkeypatch.setattr(T, "_fit_parts", lambda *_: (Fitted, float(together.wait(20) >= 0)))
+    df = small_table(spark, [(0.5, 1, 1.0, "train")], "features double, churn_label bigint, weight double, split string")
+    assert [(r["trial"], r["trees"]) for r in T.tune_trees(df, T.draw_settings(3)).collect()] == [(0, 5), (1, 5), (2, 5)]
+
+
 def _client_rows(n=900):
     rng = np.random.default_rng(12)
     rows = []
